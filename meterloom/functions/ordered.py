@@ -21,8 +21,6 @@ from pyspark.sql.window import Window
 _CHUNK = "__chunk"
 _BEFORE = (Window.unboundedPreceding, -1)
 _UPTO = (Window.unboundedPreceding, 0)
-_AFTER = (1, Window.unboundedFollowing)
-_FROM = (0, Window.unboundedFollowing)
 _ALL = (Window.unboundedPreceding, Window.unboundedFollowing)
 
 
@@ -41,7 +39,17 @@ class Step:
     value: Column
 
 
-def _inside(step: Step, w) -> Column:
+def _both_ways(keys: Sequence[str], order: Sequence[str]):
+    """Forward and reversed window.
+
+    Looking ahead uses the reversed one: a frame that grows with the row is
+    computed once per row, one that ends at the last row is recomputed each time.
+    """
+    base = Window.partitionBy(*keys)
+    return base.orderBy(*order), base.orderBy(*[F.desc(c) for c in order])
+
+
+def _inside(step: Step, w, back) -> Column:
     v = step.value
     return {
         "sum": lambda: F.sum(v).over(w.rowsBetween(*_UPTO)),
@@ -50,7 +58,7 @@ def _inside(step: Step, w) -> Column:
         "max": lambda: F.max(v).over(w.rowsBetween(*_UPTO)),
         "max_before": lambda: F.max(v).over(w.rowsBetween(*_BEFORE)),
         "last": lambda: F.last(v, ignorenulls=True).over(w.rowsBetween(*_UPTO)),
-        "next_value": lambda: F.first(v, ignorenulls=True).over(w.rowsBetween(*_FROM)),
+        "next_value": lambda: F.last(v, ignorenulls=True).over(back.rowsBetween(*_UPTO)),
         "prev": lambda: F.lag(F.struct(v.alias("v")), 1).over(w),
         "next": lambda: F.lead(F.struct(v.alias("v")), 1).over(w),
     }[step.kind]()
@@ -72,7 +80,7 @@ def _summary(step: Step, at: Column) -> Column:
     }[step.kind]()
 
 
-def _carry(step: Step, s: Column, w) -> Column:
+def _carry(step: Step, s: Column, w, back) -> Column:
     return {
         "sum": lambda: F.sum(s).over(w.rowsBetween(*_BEFORE)),
         "total": lambda: F.sum(s).over(w.rowsBetween(*_ALL)),
@@ -80,7 +88,7 @@ def _carry(step: Step, s: Column, w) -> Column:
         "max": lambda: F.max(s).over(w.rowsBetween(*_BEFORE)),
         "max_before": lambda: F.max(s).over(w.rowsBetween(*_BEFORE)),
         "last": lambda: F.last(s, ignorenulls=True).over(w.rowsBetween(*_BEFORE)),
-        "next_value": lambda: F.first(s, ignorenulls=True).over(w.rowsBetween(*_AFTER)),
+        "next_value": lambda: F.last(s, ignorenulls=True).over(back.rowsBetween(*_BEFORE)),
         "prev": lambda: F.lag(s, 1).over(w),
         "next": lambda: F.lead(s, 1).over(w),
     }[step.kind]()
@@ -112,20 +120,20 @@ def ordered_scan(
     """
     unwrap = {s.out: F.col(f"{s.out}.v") for s in steps if s.kind in ("prev", "next")}
     if chunk is None:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        out = df.withColumns({s.out: _inside(s, w) for s in steps})
+        w, back = _both_ways(keys, order)
+        out = df.withColumns({s.out: _inside(s, w, back) for s in steps})
         return out.withColumns(unwrap) if unwrap else out
 
     parts = df.withColumn(_CHUNK, chunk)
     at = F.struct(*order)
-    inner = Window.partitionBy(*keys, _CHUNK).orderBy(*order)
-    across = Window.partitionBy(*keys).orderBy(_CHUNK)
+    inner = _both_ways([*keys, _CHUNK], order)
+    across = _both_ways(keys, [_CHUNK])
     carried = (
         parts.groupBy(*keys, _CHUNK)
         .agg(*[_summary(s, at).alias(f"__s{i}") for i, s in enumerate(steps)])
-        .select(*keys, _CHUNK, *[_carry(s, F.col(f"__s{i}"), across).alias(f"__c{i}") for i, s in enumerate(steps)])
+        .select(*keys, _CHUNK, *[_carry(s, F.col(f"__s{i}"), *across).alias(f"__c{i}") for i, s in enumerate(steps)])
     )
-    inside = parts.withColumns({f"__i{i}": _inside(s, inner) for i, s in enumerate(steps)})
+    inside = parts.withColumns({f"__i{i}": _inside(s, *inner) for i, s in enumerate(steps)})
     joined = inside.join(carried, [*keys, _CHUNK], "left")
     out = joined.withColumns(
         {s.out: _combine(s, F.col(f"__i{i}"), F.col(f"__c{i}")) for i, s in enumerate(steps)}

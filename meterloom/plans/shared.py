@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterloom.operators import align
+from meterloom.functions.ordered import running_total
+from meterloom.operators import align, grid
 from meterloom.plans import views
 
 
@@ -52,3 +53,42 @@ def energy_hourly(spark, folder) -> DataFrame:
         .groupBy("energy", F.date_trunc("hour", "ts").alias("hour"))
         .agg(F.sum("value").alias("value"))
     )
+
+
+def by_day(c: str = "ts") -> Column:
+    """Chunk of a meter's raw readings."""
+    return F.date_trunc("day", c)
+
+
+def by_hour(c: str = "ts") -> Column:
+    """Chunk of an energy type's raw readings."""
+    return F.date_trunc("hour", c)
+
+
+def meters(spark, folder) -> DataFrame:
+    """Raw readings of instant, counter and mixed meters."""
+    acc = running_total(
+        views.readings(spark, folder).drop("props"),
+        ["device", "energy"],
+        ["ts", "event_id"],
+        "value",
+        "accumulated",
+        by_day(),
+    )
+    kind = F.col("device") % 3
+    return acc.withColumn("accumulated", F.when(kind != 0, F.col("accumulated"))).withColumn(
+        "value", F.when(kind != 1, F.col("value"))
+    )
+
+
+def energy_counter(spark, folder) -> DataFrame:
+    """Readings of an energy type as one running counter."""
+    return running_total(
+        views.readings(spark, folder).drop("props"), ["energy"], ["ts", "event_id"], "value", "counter", by_hour()
+    )
+
+
+def energy_grid(spark, folder) -> DataFrame:
+    """Hourly totals on a complete grid, empty hours 0."""
+    full = grid.fill_grid(energy_hourly(spark, folder), ["energy"], "hour", grid.STEPS[3600])
+    return full.withColumn("value", F.coalesce("value", F.lit(0.0)))

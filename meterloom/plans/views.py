@@ -47,6 +47,12 @@ VIEW_SQL = {
         count(*) AS n_days FROM unit_daily GROUP BY 1, 2""",
     "energy_hourly": """SELECT energy, date_trunc('hour', ts) AS hour, sum(value) AS value
         FROM readings GROUP BY 1, 2""",
+    "meters": """SELECT device, energy, ts, event_id, CASE WHEN device % 3 = 1 THEN NULL ELSE value END AS value,
+        CASE WHEN device % 3 = 0 THEN NULL ELSE sum(value) OVER (PARTITION BY device, energy ORDER BY ts, event_id
+          ROWS UNBOUNDED PRECEDING) END AS accumulated FROM readings""",
+    "energy_grid": """SELECT energy, hour, coalesce(value, 0) AS value FROM (SELECT energy,
+        unnest(generate_series(min(hour), max(hour), INTERVAL 1 HOUR)) AS hour FROM energy_hourly GROUP BY energy)
+        LEFT JOIN energy_hourly USING (energy, hour)""",
 }
 
 
@@ -73,6 +79,19 @@ def with_views(sql: str) -> str:
     return f"WITH RECURSIVE {head}\n{body}"
 
 
+def interpolated(source: str, keys: str, time: str, value: str) -> str:
+    """Check SQL: linear interpolation in time on an already complete grid."""
+    back = f"(PARTITION BY {keys} ORDER BY {time} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    ahead = f"(PARTITION BY {keys} ORDER BY {time} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
+    at = f"epoch({time})"
+    known = f"CASE WHEN {value} IS NOT NULL THEN {at} END"
+    return f"""SELECT {keys}, {time}, CASE WHEN {value} IS NOT NULL THEN {value} WHEN lv IS NULL OR nv IS NULL THEN lv
+        ELSE lv + (nv - lv) * ({at} - lt) / (nt - lt) END AS {value} FROM (SELECT *,
+        last_value({value} IGNORE NULLS) OVER {back} AS lv, last_value({known} IGNORE NULLS) OVER {back} AS lt,
+        first_value({value} IGNORE NULLS) OVER {ahead} AS nv, first_value({known} IGNORE NULLS) OVER {ahead} AS nt
+        FROM {source})"""
+
+
 # Rank of a reading's source, first listed wins.
 SOURCES = ["R", "A", "N"]
 TIE = ["l_orderkey", "l_linenumber", "l_partkey"]

@@ -13,6 +13,7 @@ def local_session(cpus: str | None = None, partitions: int = 8) -> SparkSession:
         SparkSession.builder.master(f"local[{cores}]")
         .appName("meterloom")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(partitions))
