@@ -92,3 +92,21 @@ def energy_grid(spark, folder) -> DataFrame:
     """Hourly totals on a complete grid, empty hours 0."""
     full = grid.fill_grid(energy_hourly(spark, folder), ["energy"], "hour", grid.STEPS[3600])
     return full.withColumn("value", F.coalesce("value", F.lit(0.0)))
+
+
+def energy_model(spark, folder) -> DataFrame:
+    """Hourly totals with the mean temperature of the hour."""
+    weather = views.meteo_hourly(spark, folder).groupBy("hour").agg(F.avg("temperature").alias("temperature"))
+    return energy_hourly(spark, folder).join(weather, "hour")
+
+
+def unit_station(spark, folder) -> DataFrame:
+    return views.units(spark, folder).groupBy("unit").agg(F.min("station").alias("station"))
+
+
+def unit_model(spark, folder) -> DataFrame:
+    """Daily consumption of a unit with its station's temperature."""
+    rows = unit_daily(spark, folder).join(unit_station(spark, folder), "unit")
+    return align.weather_join(
+        rows, views.meteo_daily(spark, folder), F.col("day"), F.col("day"), ["temperature"]
+    ).drop("station")

@@ -50,6 +50,11 @@ VIEW_SQL = {
     "meters": """SELECT device, energy, ts, event_id, CASE WHEN device % 3 = 1 THEN NULL ELSE value END AS value,
         CASE WHEN device % 3 = 0 THEN NULL ELSE sum(value) OVER (PARTITION BY device, energy ORDER BY ts, event_id
           ROWS UNBOUNDED PRECEDING) END AS accumulated FROM readings""",
+    "energy_model": """SELECT energy, hour, value, temperature FROM energy_hourly JOIN (SELECT hour,
+        avg(temperature) AS temperature FROM meteo_hourly GROUP BY hour) USING (hour)""",
+    "unit_station": "SELECT unit, min(station) AS station FROM units GROUP BY unit",
+    "unit_model": """SELECT unit, day, value, temperature FROM unit_daily JOIN unit_station USING (unit)
+        JOIN meteo_daily USING (station, day)""",
     "energy_grid": """SELECT energy, hour, coalesce(value, 0) AS value FROM (SELECT energy,
         unnest(generate_series(min(hour), max(hour), INTERVAL 1 HOUR)) AS hour FROM energy_hourly GROUP BY energy)
         LEFT JOIN energy_hourly USING (energy, hour)""",
