@@ -2,24 +2,30 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint into the shared folder named by ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder of the session.
 
-    The folder is set here only when the session has none at all, which is the
-    case in local tests; a cluster has to name shared storage.
+    A cluster names shared storage in ``spark.checkpoint.dir``.  Only a local
+    session without that setting, as in tests, gets a temporary folder.
     """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current is None:
+        current = spark.conf.get("spark.checkpoint.dir", None)
+        if current is None:
             if not sc.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-            folder = tempfile.mkdtemp(prefix="meterloom-", dir=os.environ.get("TMPDIR"))
-        sc.setCheckpointDir(folder)
+            current = tempfile.mkdtemp(prefix="meterloom-")
+        sc.setCheckpointDir(current)
+    return sc.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
