@@ -224,7 +224,7 @@ def balance_terms(temperature, flag, balance) -> dict[str, Column]:
 def sector(degrees) -> Column:
     """Name of the 45-degree sector, ``NA`` for a missing direction."""
     d = col(degrees)
-    index = (F.floor((d + 22.5) / 45).cast("int") % 8) + 1
+    index = (F.ceil((d - 22.5) / 45).cast("int") % 8) + 1
     return F.coalesce(F.element_at(F.array(*[F.lit(s) for s in SECTORS]), index), F.lit("NA"))
 
 

@@ -110,3 +110,18 @@ def unit_model(spark, folder) -> DataFrame:
     return align.weather_join(
         rows, views.meteo_daily(spark, folder), F.col("day"), F.col("day"), ["temperature"]
     ).drop("station")
+
+
+def load_input(spark, folder) -> DataFrame:
+    """Complete hourly series per energy type with the hour's weather."""
+    weather = (
+        views.meteo_hourly(spark, folder)
+        .groupBy("hour")
+        .agg(
+            F.avg("temperature").alias("temperature"),
+            F.max("ghi").alias("ghi"),
+            F.avg("wind_speed").alias("wind_speed"),
+            F.min("wind_bearing").alias("wind_bearing"),
+        )
+    )
+    return energy_grid(spark, folder).join(weather, "hour", "left")

@@ -58,6 +58,9 @@ VIEW_SQL = {
     "energy_grid": """SELECT energy, hour, coalesce(value, 0) AS value FROM (SELECT energy,
         unnest(generate_series(min(hour), max(hour), INTERVAL 1 HOUR)) AS hour FROM energy_hourly GROUP BY energy)
         LEFT JOIN energy_hourly USING (energy, hour)""",
+    "load_input": """SELECT energy, hour, value, temperature, ghi, wind_speed, wind_bearing FROM energy_grid LEFT JOIN
+        (SELECT hour, avg(temperature) AS temperature, max(ghi) AS ghi, avg(wind_speed) AS wind_speed,
+          min(wind_bearing) AS wind_bearing FROM meteo_hourly GROUP BY hour) USING (hour)""",
 }
 
 

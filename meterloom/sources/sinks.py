@@ -30,11 +30,11 @@ def read_tsv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 def write_table(df: DataFrame, path: str, partitions: Sequence[str] = (), cluster_by: Sequence[str] = ()) -> None:
     """Full overwrite of a columnar table.
 
-    Rows are clustered by the partition columns plus ``cluster_by`` so that a
-    large partition is written by several tasks and files stay few.
+    The rebalance hint clusters rows by the partition columns and lets adaptive
+    execution split a partition that holds most of the rows over several tasks.
     """
     keys = [*partitions, *cluster_by]
-    out = df.repartition(*keys) if keys else df
+    out = df.hint("rebalance", *keys) if keys else df
     out.write.mode("overwrite").partitionBy(*partitions).parquet(path)
 
 
