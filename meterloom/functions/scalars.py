@@ -89,7 +89,7 @@ def percent_distance(value, reference) -> Column:
 
 def percent_norm(values, references) -> Column:
     """Euclidean norm of element-wise percentage differences of two arrays."""
-    diffs = F.zip_with(col(values), col(references), lambda a, b: F.pow((a - b) / b * 100, 2.0))
+    diffs = F.zip_with(col(values), col(references), lambda a, b: F.pow((a - b) / F.nullif(b, F.lit(0.0)) * 100, 2.0))
     return F.sqrt(F.aggregate(diffs, F.lit(0.0), lambda s, x: s + x))
 
 
@@ -140,7 +140,7 @@ def to_epoch(c) -> Column:
 
 def dated_json(c) -> Column:
     """Timestamp of a ``{"$date": milliseconds}`` text."""
-    return F.timestamp_millis(F.get_json_object(col(c), "$['$date']").cast("bigint"))
+    return F.timestamp_millis(F.get_json_object(col(c), "$['$date']").try_cast("bigint"))
 
 
 def bin_start(c, seconds: int) -> Column:

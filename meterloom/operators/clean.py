@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql.window import Window
 
 from meterloom.functions.ordered import Step, most_frequent, ordered_scan
 from meterloom.functions.recovery import cut_lineage
+from meterloom.operators.grid import spread_interval
 
 # Z-score limit, big gap (7 days), temperature limits of the weather cleaning.
 ZSCORE_LIMIT = 30.0
@@ -200,11 +202,11 @@ def remove_extremes(
     """Drop rows outside mean +- ``sd_limit`` population deviations until nothing changes.
 
     ``prepare`` recomputes ``value`` at the start of every round, because a rate
-    depends on the reading before it.  Every round removes at least one row, so
-    the loop ends; each round costs one small aggregate, a join and a checkpoint.
-    Null values stay.
+    depends on the reading before it.  Only keys that lost a row go into the next
+    round, each of them with at least one row less, so the loop ends and its
+    rounds get small quickly.  Null values stay.
     """
-    current = cut_lineage(df)
+    current, finished = df, []
     while True:
         judged = prepare(current) if prepare else current
         stats = judged.groupBy(*keys).agg(F.avg(value).alias("__m"), F.stddev_pop(value).alias("__s"))
@@ -213,17 +215,22 @@ def remove_extremes(
         high = F.col("__m") + sd_limit * F.col("__s")
         bad = F.coalesce((F.col(value) < low) | (F.col(value) > high), F.lit(False))
         judged = cut_lineage(judged.join(stats, list(keys)).withColumn("__bad", bad).drop("__m", "__s"))
-        removed = not judged.filter("__bad").isEmpty()
-        current = judged.filter("not __bad").drop("__bad")
-        if not removed:
-            return current
+        changed = judged.filter("__bad").select(*keys).distinct()
+        if changed.isEmpty():
+            finished.append(judged.drop("__bad"))
+            return reduce(DataFrame.unionByName, finished)
+        finished.append(judged.join(changed, list(keys), "left_anti").drop("__bad"))
+        current = judged.filter("not __bad").join(changed, list(keys), "left_semi").drop("__bad")
 
 
 def consumption_rates(
     df: DataFrame, keys: Sequence[str], time: str, value: str, chunk: Column | None = None
 ) -> DataFrame:
     """Movement per second since the previous reading; null on the first row."""
-    return steps_between(df, keys, time, "__s", chunk).withColumn("rate", F.col(value) / F.col("__s")).drop("__s")
+    scanned = ordered_scan(df, keys, [time], [Step("__p", "prev", F.col(time))], chunk)
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    seconds = (micros(time) - micros("__p")) / 1e6
+    return scanned.withColumn("rate", F.col(value) / F.nullif(seconds, F.lit(0.0))).drop("__p")
 
 
 def clean_series(
@@ -250,25 +257,21 @@ def clean_series(
 
 
 def bill_days(df: DataFrame, keys: Sequence[str], keep_all: bool = False) -> DataFrame:
-    """Daily consumption from bills (ini, fin, value, bill_id).
+    """Daily consumption from bills (ini, fin, value, bill_id), with the number of bills per day.
 
     A day covered by several bills keeps the one that starts last, unless
     ``keep_all`` asks for all of them.
     """
-    from .align import keep_last
-    from .grid import spread_interval
-
     days = spread_interval(df, "ini", "fin", "value")
     if keep_all:
         return days
-    return keep_last(days, [*keys, "day"], ["ini", "bill_id"], ["value"])
-
+    return days.groupBy(*keys, "day").agg(
+        F.max_by("value", F.struct("ini", "bill_id")).alias("value"), F.count("*").alias("n_bills")
+    )
 
-def bill_overlaps(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Days covered by more than one bill."""
-    from .grid import spread_interval
 
-    days = spread_interval(df, "ini", "fin", "value").groupBy(*keys, "day").agg(F.count("*").alias("n_bills"))
+def bill_overlaps(days: DataFrame) -> DataFrame:
+    """Days of ``bill_days`` covered by more than one bill."""
     return days.filter("n_bills > 1")
 
 

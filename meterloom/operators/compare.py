@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from meterloom.functions.quantiles import exact_percentiles
+from meterloom.operators.grid import fill_grid
 
 # Peer-group percentiles and the smallest group that is reported.
 BREAKS = [5, 25, 50, 75, 90]
@@ -24,9 +25,7 @@ def monthly_means(df: DataFrame, keys: Sequence[str], time: str, value: str) ->
 
 def month_grid(monthly: DataFrame, keys: Sequence[str], month: str = "month") -> DataFrame:
     """Every month between a key's first and last one; a few hundred rows per key at most."""
-    span = monthly.groupBy(*keys).agg(F.min(month).alias("__a"), F.max(month).alias("__b"))
-    grid = span.select(*keys, F.explode(F.sequence("__a", "__b", F.expr("interval 1 month"))).alias(month))
-    return grid.join(monthly, [*keys, month], "left")
+    return fill_grid(monthly, keys, month, "interval 1 month")
 
 
 def annual_mean(monthly: DataFrame, keys: Sequence[str], value: str, months: int = 12) -> DataFrame:
@@ -77,7 +76,7 @@ def group_cost(
 ) -> DataFrame:
     """Cost of belonging to a peer group: distance to its mean weighted by its dispersion."""
     part = fixed / 100
-    diff = F.abs((F.col(value) - F.col(average)) / F.col(average)) * 100
+    diff = F.abs((F.col(value) - F.col(average)) / F.nullif(F.col(average), F.lit(0.0))) * 100
     return (
         own.join(peers, list(on))
         .withColumn("diff", diff)

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from meterloom.functions.ordered import Step, ordered_scan
 
@@ -18,10 +19,19 @@ STEPS = {1800: "interval 30 minutes", 3600: "interval 1 hour", 86400: "interval
 
 
 def fill_grid(binned: DataFrame, keys: Sequence[str], time: str, step: str) -> DataFrame:
-    """Add the missing bins between each key's first and last one."""
-    span = binned.groupBy(*keys).agg(F.min(time).alias("__a"), F.max(time).alias("__b"))
-    grid = span.select(*keys, F.explode(F.sequence("__a", "__b", F.expr(step))).alias(time))
-    return grid.join(binned, [*keys, time], "left")
+    """Add the missing bins between each key's first and last one.
+
+    ``binned`` has one row per (key, time).  Every row brings along the empty
+    bins up to its successor, so no grid has to be built and joined.
+    """
+    width = F.expr(step)
+    near = ordered_scan(binned, keys, [time], [Step("__next", "next", F.col(time))])
+    bins = F.sequence(F.col(time), F.coalesce(F.col("__next") - width, F.col(time)), width)
+    rest = [c for c in binned.columns if c not in keys and c != time]
+    own = F.col("__at") == F.col(time)
+    return near.withColumn("__at", F.explode(bins)).select(
+        *keys, F.col("__at").alias(time), *[F.when(own, F.col(c)).alias(c) for c in rest]
+    )
 
 
 def resample_sum(
@@ -34,28 +44,53 @@ def resample_sum(
 
 
 def resample_counter(
-    df: DataFrame, keys: Sequence[str], bin_col: Column, counter: str, step: str, out_time: str = "bin"
+    df: DataFrame, keys: Sequence[str], bin_col: Column, counter: str, step_s: int, out_time: str = "bin"
 ) -> DataFrame:
     """Consumption per bin of a counter: highest reading, interpolated, differenced."""
     tops = df.groupBy(*keys, bin_col.alias(out_time)).agg(F.max(counter).alias("__c"))
-    full = fill_grid(tops, keys, out_time, step)
-    full = interpolate(full, keys, out_time, "__c", "__c")
-    prev = ordered_scan(full, keys, [out_time], [Step("__p", "prev", F.col("__c"))])
-    return prev.withColumn("value", F.col("__c") - F.col("__p")).drop("__c", "__p")
+    return counter_movement(tops, keys, out_time, "__c", step_s)
+
+
+def counter_movement(df: DataFrame, keys: Sequence[str], time: str, counter: str, step_s: int) -> DataFrame:
+    """Difference of a counter interpolated on its grid.
+
+    Between two known counts the interpolated difference is the same for every
+    bin, so each known count fills the bins since the one before it.  The first
+    known bin and anything before it is null, bins after the last one are 0.
+    """
+    width = F.expr(STEPS[step_s])
+    w = Window.partitionBy(*keys)
+    ends = df.withColumns({"__a": F.min(time).over(w), "__b": F.max(time).over(w)})
+    known = ends.filter(F.col(counter).isNotNull())
+    near = ordered_scan(
+        known,
+        keys,
+        [time],
+        [Step("__p", "prev", F.struct(F.col(time).alias("t"), F.col(counter).alias("c"))), Step("__n", "next", F.col(time))],
+    )
+    p, t = F.col("__p"), F.col(time)
+    start = F.when(p.isNull(), F.col("__a")).otherwise(p["t"] + width)
+    stop = F.when(F.col("__n").isNull(), F.col("__b")).otherwise(t)
+    bins = (F.unix_seconds(t.cast("timestamp")) - F.unix_seconds(p["t"].cast("timestamp"))) / step_s
+    slope = F.when(p.isNotNull(), (F.col(counter) - p["c"]) / F.nullif(bins, F.lit(0.0)))
+    spread = near.withColumn("__v", slope).withColumn("__at", F.explode(F.sequence(start, stop, width)))
+    return spread.select(
+        *keys, F.col("__at").alias(time), F.when(F.col("__at") > t, F.lit(0.0)).otherwise(F.col("__v")).alias("value")
+    )
 
 
 def interpolate(
     df: DataFrame, keys: Sequence[str], time: str, value: str, out: str, chunk: Column | None = None
 ) -> DataFrame:
     """Linear interpolation in time; a leading gap stays null, a trailing gap repeats the last value."""
-    at = F.unix_timestamp(F.col(time).cast("timestamp")).cast("double")
+    at = F.unix_micros(F.col(time).cast("timestamp")).cast("double")
     v = F.col(value)
     known = F.when(v.isNotNull(), F.struct(at.alias("t"), v.alias("v")))
     scanned = ordered_scan(
         df, keys, [time], [Step("__l", "last", known), Step("__n", "next_value", known)], chunk
     )
     l, n = F.col("__l"), F.col("__n")
-    line = l.v + (n.v - l.v) * (at - l.t) / (n.t - l.t)
+    line = l.v + (n.v - l.v) * (at - l.t) / F.nullif(n.t - l.t, F.lit(0.0))
     filled = F.when(v.isNotNull(), v).when(l.isNull() | n.isNull(), l.v).otherwise(line)
     return scanned.withColumn(out, filled).drop("__l", "__n")
 
@@ -68,7 +103,6 @@ def regularise(
     seconds: int,
     counter: bool = True,
     chunk: Column | None = None,
-    step: str | None = None,
 ) -> DataFrame:
     """Irregular readings onto a fixed grid, in counter space for consumption.
 
@@ -76,46 +110,35 @@ def regularise(
     in (or on an end of) a step between readings longer than two grid steps.
     ``df`` holds one row per (key, time) without null values.
     """
-    at = F.unix_timestamp(time).cast("double")
     base = df.select(*keys, time, F.col(value).alias("__v"))
-    steps = [Step("__before", "prev", F.col(time)), Step("__after", "next", F.col(time))]
     if counter:
-        steps.append(Step("__v", "sum", F.col("__v")))
-    known = ordered_scan(base, keys, [time], steps, chunk)
-    limit = 2 * seconds
-    reading = F.struct(
-        F.col(time).alias("t"),
-        F.col("__v").alias("v"),
-        ((F.unix_timestamp("__after") - F.unix_timestamp(time)) > limit).alias("gap_after"),
-        ((F.unix_timestamp(time) - F.unix_timestamp("__before")) > limit).alias("gap_before"),
-    )
-    known = known.select(*keys, F.col(time), reading.alias("__r"), F.lit(0).alias("__g"))
-    span = df.groupBy(*keys).agg(F.min(time).alias("__a"), F.max(time).alias("__b"))
-    first = F.timestamp_seconds(F.ceil(F.unix_micros("__a") / (seconds * 1_000_000)) * seconds)
-    last = F.timestamp_seconds(F.floor(F.unix_micros("__b") / (seconds * 1_000_000)) * seconds)
-    grid = (
-        span.select(*keys, first.alias("__a"), last.alias("__b"))
-        .filter(F.col("__a") <= F.col("__b"))
-        .select(*keys, F.explode(F.sequence("__a", "__b", F.expr(step or STEPS[seconds]))).alias(time))
-        .withColumn("__g", F.lit(1))
-    )
-    both = known.unionByName(grid, allowMissingColumns=True)
-    placed = ordered_scan(
-        both,
+        base = ordered_scan(base, keys, [time], [Step("__v", "sum", F.col("__v"))], chunk)
+    near = ordered_scan(
+        base,
         keys,
-        [time, "__g"],
-        [Step("__l", "last", F.col("__r")), Step("__n", "next_value", F.col("__r"))],
+        [time],
+        [Step("__p", "prev", F.col(time)), Step("__n", "next", F.struct(F.col(time).alias("t"), F.col("__v").alias("v")))],
         chunk,
-    ).filter("__g = 1")
-    l, n = F.col("__l"), F.col("__n")
-    on_reading = l.t == F.col(time)
+    )
+    # Grid points from this reading up to, but not including, the next one.
+    width, t, n = seconds * 1_000_000, F.col(time), F.col("__n")
+    first = F.ceil(F.unix_micros(t) / width)
+    last = F.when(n.isNull(), F.floor(F.unix_micros(t) / width)).otherwise(F.ceil(F.unix_micros(n["t"]) / width) - 1)
+    points = near.withColumns({"__a": first, "__b": last}).filter(F.col("__a") <= F.col("__b"))
+    points = points.withColumn("__k", F.explode(F.sequence("__a", "__b"))).withColumn(
+        "__at", F.timestamp_seconds(F.col("__k") * seconds)
+    )
     micros = lambda c: F.unix_micros(c).cast("double")
-    line = l.v + (n.v - l.v) * (micros(F.col(time)) - micros(l.t)) / (micros(n.t) - micros(l.t))
-    placed = placed.select(
+    ahead = micros(F.col("__at")) - micros(t)
+    line = F.col("__v") + (n["v"] - F.col("__v")) * ahead / F.nullif(micros(n["t"]) - micros(t), F.lit(0.0))
+    limit = 2 * seconds
+    gap_after = F.unix_timestamp(n["t"]) - F.unix_timestamp(t) > limit
+    gap_before = F.unix_timestamp(t) - F.unix_timestamp("__p") > limit
+    placed = points.select(
         *keys,
-        time,
-        F.when(on_reading | n.isNull(), l.v).otherwise(line).alias("__p"),
-        F.coalesce(l.gap_after | (on_reading & l.gap_before), F.lit(False)).alias("missing"),
+        F.col("__at").alias(time),
+        F.when((F.col("__at") == t) | n.isNull(), F.col("__v")).otherwise(line).alias("__p"),
+        F.coalesce(gap_after | ((F.col("__at") == t) & gap_before), F.lit(False)).alias("missing"),
     )
     if not counter:
         return placed.withColumnRenamed("__p", "value")
@@ -137,12 +160,15 @@ def spread_interval(df: DataFrame, start: str, stop: str, value: str, out_day: s
 def spread_readings(df: DataFrame, keys: Sequence[str], day: str, value: str) -> DataFrame:
     """Spread readings that are more than a day apart over the days between them.
 
-    Cumulated, interpolated on the daily grid and differenced again; readings
-    are floored to their day and summed first, so the grid bounds every window.
+    Cumulating, interpolating daily and differencing gives every day since the
+    previous reading the same share of a reading; the first day has none.
+    Readings are floored to their day and summed first, so the calendar bounds
+    the window.
     """
     daily = df.groupBy(*keys, F.to_date(day).alias("day")).agg(F.sum(value).alias("__m"))
-    total = ordered_scan(daily, keys, ["day"], [Step("__c", "sum", F.col("__m"))])
-    full = fill_grid(total, keys, "day", "interval 1 day")
-    full = interpolate(full, keys, "day", "__c", "__c")
-    prev = ordered_scan(full, keys, ["day"], [Step("__p", "prev", F.col("__c"))])
-    return prev.select(*keys, "day", (F.col("__c") - F.col("__p")).alias("value"))
+    near = ordered_scan(daily, keys, ["day"], [Step("__p", "prev", F.col("day"))])
+    start = F.coalesce(F.date_add("__p", 1), F.col("day"))
+    share = F.col("__m") / F.datediff("day", "__p")
+    return near.select(
+        *keys, F.explode(F.sequence(start, F.col("day"), F.expr("interval 1 day"))).alias("day"), share.alias("value")
+    )

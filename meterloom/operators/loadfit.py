@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterloom.functions.stats import t_table
+from meterloom.operators.loadmodel import VARIANCE_FLOOR
 
 # Settings of the feature gate and limits of the hyper-parameter search.
 GATE = {"n": 1, "alpha_t": 0.05, "alpha_w": 0.05, "alpha_g": 0.05, "tbal": 20.0, "p": 15.0}
@@ -213,9 +214,6 @@ def predict_models(features: DataFrame, models: DataFrame, key: str, lags: int)
 
 # --- mixture of day profiles ---------------------------------------------------------
 
-VARIANCE_FLOOR = 1e-6
-
-
 def _mixture(z: np.ndarray, start: np.ndarray, k: int, spherical: bool, rounds: int = 200):
     """Expectation-maximisation of k diagonal (or spherical) normal clusters."""
     n, d = z.shape

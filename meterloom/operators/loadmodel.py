@@ -20,6 +20,8 @@ HOURS = list(range(24))
 TAIL_LOW, TAIL_HIGH, TAIL_RATIO = 0.025, 0.975, 2.0
 # Scale of the occupancy rate and consumption counted as none.
 OCCUPANCY_MAX, OCCUPANCY_FLOOR = 100.0, 1.0
+# Least variance of a cluster's hour.
+VARIANCE_FLOOR = 1e-6
 # Widths of the trailing means.
 MEAN_WIDTHS = range(2, 13)
 
@@ -257,7 +259,8 @@ def assign_clusters(profiles: DataFrame, params: DataFrame, keys: Sequence[str],
     """
     full = profiles.filter(F.col(z).isNotNull()).join(params, [*keys, "dayhour"])
     d = F.col(z) - F.col("mean")
-    density = -0.5 * (F.log(2 * F.pi() * F.col("variance")) + d * d / F.col("variance"))
+    var = F.greatest(F.col("variance"), F.lit(VARIANCE_FLOOR))
+    density = -0.5 * (F.log(2 * F.pi() * var) + d * d / var)
     score = (
         full.groupBy(*keys, "day", "s")
         .agg(F.sum(density).alias("__d"), F.first("weight").alias("__w"), F.count("*").alias("__n"))

@@ -132,7 +132,7 @@ def validation_scores(df: DataFrame, keys: Sequence[str], actual: str, predicted
     err = F.col(actual) - F.col(predicted)
     return df.groupBy(*keys).agg(
         F.pow(F.corr(actual, predicted), 2.0).alias("r2"),
-        (F.sqrt(F.avg(err * err)) / F.avg(actual)).alias("nrmse"),
+        (F.sqrt(F.avg(err * err)) / F.nullif(F.avg(actual), F.lit(0.0))).alias("nrmse"),
         F.avg(F.abs(err / F.nullif(F.col(actual), F.lit(0.0)))).alias("mape"),
     )
 

@@ -10,7 +10,7 @@ from meterloom.operators import align, clean, grid
 from meterloom.plans import views
 from meterloom.plans.registry import query
 from meterloom.plans.shared import (
-    by_day,
+    by_month,
     by_hour,
     energy_counter,
     energy_grid,
@@ -67,7 +67,7 @@ def a01(spark, folder):
 )
 def a02(spark, folder):
     out = grid.resample_counter(
-        energy_counter(spark, folder), ["energy"], F.date_trunc("hour", "ts"), "counter", grid.STEPS[3600]
+        energy_counter(spark, folder), ["energy"], F.date_trunc("hour", "ts"), "counter", 3600
     )
     return out.select("energy", stamp("bin"), r4("value"))
 
@@ -81,7 +81,7 @@ _STEP = """WITH d AS (SELECT device, energy, CAST(floor(epoch(ts)) AS BIGINT) -
 
 
 def _intervals(spark, folder):
-    return clean.dominant_interval(views.readings(spark, folder), ["device", "energy"], "ts", by_day())
+    return clean.dominant_interval(views.readings(spark, folder), ["device", "energy"], "ts", by_month())
 
 
 @query(
@@ -143,10 +143,8 @@ def a07(spark, folder):
       AS kept FROM days GROUP BY device, day HAVING count(*) > 1""",
 )
 def w21(spark, folder):
-    b = views.bills(spark, folder)
-    kept = clean.bill_days(b, ["device"]).withColumnRenamed("value", "kept")
-    out = clean.bill_overlaps(b, ["device"]).join(kept, ["device", "day"])
-    return out.select("device", text("day"), "n_bills", r4("kept"))
+    out = clean.bill_overlaps(clean.bill_days(views.bills(spark, folder), ["device"]))
+    return out.select("device", text("day"), "n_bills", r4("value", "kept"))
 
 
 @query(
@@ -172,7 +170,7 @@ def a08(spark, folder):
 )
 def w03(spark, folder):
     out = first_difference(
-        views.readings(spark, folder), ["device", "energy"], ["ts", "event_id"], "value", "diff", by_day()
+        views.readings(spark, folder), ["device", "energy"], ["ts", "event_id"], "value", "diff", by_month()
     )
     return out.select("device", "energy", stamp("ts"), "event_id", r4("diff"))
 
@@ -257,7 +255,7 @@ _GAPS = f"""WITH p AS (SELECT device, ts, lag(ts) OVER (PARTITION BY device ORDE
 
 
 def _gaps(spark, folder):
-    return clean.long_gaps(views.readings(spark, folder), ["device"], "ts", GAP_S, by_day())
+    return clean.long_gaps(views.readings(spark, folder), ["device"], "ts", GAP_S, by_month())
 
 
 @query(
@@ -284,7 +282,7 @@ _REGULAR = f"""WITH r AS (SELECT energy, ts, sum(value) OVER w AS v, lag(ts) OVE
 
 def _regular(spark, folder):
     return grid.regularise(
-        views.readings(spark, folder), ["energy"], "ts", "value", 900, chunk=by_hour(), step="interval 15 minutes"
+        views.readings(spark, folder), ["energy"], "ts", "value", 900, chunk=by_hour()
     )
 
 
@@ -353,7 +351,7 @@ def m36(spark, folder):
         "value",
         "electricity",
         sd_limit=ZLIMIT,
-        chunk=by_day(),
+        chunk=by_month(),
         arrival_chunk=F.floor(F.col("event_id") / 100000),
     )
     return out.select("device", stamp("ts"), r4("value"))

@@ -10,7 +10,7 @@ from meterloom.operators import align, clean, compare, models
 from meterloom.plans import views
 from meterloom.plans.registry import query
 from meterloom.plans.shared import (
-    by_day,
+    by_month,
     energy_grid,
     energy_hourly,
     energy_model,
@@ -657,7 +657,7 @@ WATER = "view"  # the energy type that plays water here
       CASE WHEN step >= 3600 OR energy = 'view' THEN 'constant' ELSE 'constant,line,heating' END AS candidates FROM i""",
 )
 def m18(spark, folder):
-    found = clean.dominant_interval(views.readings(spark, folder), ["device", "energy"], "ts", by_day())
+    found = clean.dominant_interval(views.readings(spark, folder), ["device", "energy"], "ts", by_month())
     hourly = F.col("interval_s") >= 3600
     return found.filter("interval_s is not null").select(
         "device",

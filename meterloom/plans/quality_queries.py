@@ -10,7 +10,7 @@ from meterloom.operators import align, clean, quality
 from meterloom.plans import views
 from meterloom.plans.registry import query
 from meterloom.plans.shared import (
-    by_day,
+    by_month,
     energy_hourly,
     energy_model,
     preferred,
@@ -165,7 +165,7 @@ _RECENT = """WITH d AS (SELECT device, energy, CAST(floor(epoch(ts)) AS BIGINT)
 def _recent(spark, folder):
     r = views.readings(spark, folder)
     keys = ["device", "energy"]
-    found = clean.dominant_interval(r, keys, "ts", by_day())
+    found = clean.dominant_interval(r, keys, "ts", by_month())
     latest = r.groupBy(*keys).agg(F.max("ts").alias("last_ts"))
     return quality.recent_hourly_flag(found, latest, keys, "2024-04-20 00:00:00")
 
