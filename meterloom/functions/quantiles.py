@@ -36,14 +36,19 @@ def exact_percentiles(
     names: Sequence[str],
     size: str | None = None,
 ) -> DataFrame:
-    """One row per key with the interpolated percentiles of the non-null values."""
-    counts = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).cast("double").alias("__v"))
-        .agg(F.count("*").alias("__n"))
-    )
-    steps = [Step("__to", "sum", F.col("__n")), Step("__total", "total", F.col("__n"))]
-    ranked = ordered_scan(counts, keys, ["__v"], steps, value_band(F.col("__v")))
+    """One row per key with the interpolated percentiles of the non-null values.
+
+    ``size`` names an extra column with the number of rows, nulls included.
+    """
+    counts = df.groupBy(*keys, F.col(value).cast("double").alias("__v")).agg(F.count("*").alias("__rows"))
+    counts = counts.withColumn("__n", F.when(F.col("__v").isNotNull(), F.col("__rows")).otherwise(0))
+    steps = [
+        Step("__to", "sum", F.col("__n")),
+        Step("__total", "total", F.col("__n")),
+        Step("__size", "total", F.col("__rows")),
+    ]
+    band = F.coalesce(value_band(F.col("__v")), F.lit(-(2**62)))
+    ranked = ordered_scan(counts, keys, ["__v"], steps, band)
     below = F.col("__to") - F.col("__n")
     aggs, cols = [], []
     for i, p in enumerate(probs):
@@ -56,9 +61,9 @@ def exact_percentiles(
         part = part - F.floor(part)
         a, b = F.col(f"__a{i}"), F.col(f"__b{i}")
         cols.append((a + (b - a) * part).alias(names[i]))
-    out = ranked.groupBy(*keys, "__total").agg(*aggs)
+    out = ranked.groupBy(*keys, "__total", "__size").agg(*aggs)
     if size:
-        cols.append(F.col("__total").alias(size))
+        cols.append(F.col("__size").alias(size))
     return out.select(*keys, *cols)
 
 

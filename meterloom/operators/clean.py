@@ -80,11 +80,13 @@ def route_series(kinds: DataFrame, intervals: DataFrame, keys: Sequence[str]) ->
 def zscore_outliers(df: DataFrame, keys: Sequence[str], value: str, limit: float, out: str) -> DataFrame:
     """Flag values more than ``limit`` sample deviations from the mean of their key.
 
-    Differences of the size of rounding noise never count.
+    For binned series, whose length the calendar bounds.  Differences of the size
+    of rounding noise never count.
     """
-    stats = df.groupBy(*keys).agg(F.avg(value).alias("__m"), F.stddev_samp(value).alias("__s"))
+    w = Window.partitionBy(*keys)
+    stats = df.withColumns({"__m": F.avg(value).over(w), "__s": F.stddev_samp(value).over(w)})
     flag = F.abs(F.col(value) - F.col("__m")) > limit * F.col("__s") + 1e-9 * F.abs(F.col("__m"))
-    return df.join(stats, list(keys), "left").withColumn(out, F.coalesce(flag, F.lit(False))).drop("__m", "__s")
+    return stats.withColumn(out, F.coalesce(flag, F.lit(False))).drop("__m", "__s")
 
 
 def rolling_outliers(

@@ -60,9 +60,8 @@ def peer_percentiles(
     df: DataFrame, keys: Sequence[str], value: str, min_size: int = MIN_GROUP, breaks: Sequence[int] = BREAKS
 ) -> DataFrame:
     """Percentiles of every peer group with at least ``min_size`` rows."""
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("n_rows")).filter(F.col("n_rows") >= min_size)
-    found = exact_percentiles(df, keys, value, [b / 100 for b in breaks], [f"p{b}" for b in breaks])
-    return found.join(sizes, list(keys))
+    found = exact_percentiles(df, keys, value, [b / 100 for b in breaks], [f"p{b}" for b in breaks], "n_rows")
+    return found.filter(F.col("n_rows") >= min_size)
 
 
 def rolling_annual(df: DataFrame, keys: Sequence[str], value: str, rows: int = 12) -> DataFrame:

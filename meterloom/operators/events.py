@@ -36,8 +36,8 @@ def critical_value(alpha: float) -> float:
 
 def constant_residuals(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Value minus the mean of its segment."""
-    mean = df.groupBy(*keys).agg(F.avg(value).alias("__mean"))
-    return df.join(mean, list(keys)).withColumn("residual", F.col(value) - F.col("__mean")).drop("__mean")
+    mean = F.avg(value).over(Window.partitionBy(*keys))
+    return df.withColumn("residual", F.col(value) - mean)
 
 
 def scaled_cusum(df: DataFrame, keys: Sequence[str], time: str, residual: str = "residual") -> DataFrame:
@@ -46,10 +46,12 @@ def scaled_cusum(df: DataFrame, keys: Sequence[str], time: str, residual: str =
     ``lambda`` of a row covers the rows before it, so a peak marks the first row
     of a new regime; the first row of a segment has 0.
     """
-    stats = df.groupBy(*keys).agg(F.count("*").alias("__n"), F.stddev_pop(residual).alias("__sd"))
-    w = Window.partitionBy(*keys).orderBy(time)
-    rows = df.join(stats, list(keys)).withColumns(
+    whole = Window.partitionBy(*keys)
+    w = whole.orderBy(time)
+    rows = df.withColumns(
         {
+            "__n": F.count("*").over(whole),
+            "__sd": F.stddev_pop(residual).over(whole),
             "__i": F.row_number().over(w) - 1,
             "__sum": F.sum(residual).over(w.rowsBetween(Window.unboundedPreceding, -1)),
         }

@@ -40,11 +40,10 @@ def day_profiles(df: DataFrame, keys: Sequence[str], time: str, value: str) -> D
 
 def day_shares(df: DataFrame, keys: Sequence[str], time: str, value: str, out: str = "share") -> DataFrame:
     """Hour's share of its day's total; null on days that are not complete."""
-    day = F.to_date(time)
-    total = df.groupBy(*keys, day.alias("day")).agg(F.sum(value).alias("__total"), F.count(value).alias("__n"))
-    share = F.when(F.col("__n") == 24, F.col(value) / F.nullif(F.col("__total"), F.lit(0.0)))
-    joined = df.withColumn("day", day).withColumn("dayhour", F.hour(time)).join(total, [*keys, "day"])
-    return joined.withColumn(out, share).drop("__total", "__n")
+    dated = df.withColumns({"day": F.to_date(time), "dayhour": F.hour(time)})
+    w = Window.partitionBy(*keys, "day")
+    share = F.col(value) / F.nullif(F.sum(value).over(w), F.lit(0.0))
+    return dated.withColumn(out, F.when(F.count(value).over(w) == 24, share))
 
 
 def hour_statistics(shares: DataFrame, keys: Sequence[str], share: str = "share") -> DataFrame:
@@ -52,8 +51,14 @@ def hour_statistics(shares: DataFrame, keys: Sequence[str], share: str = "share"
     return shares.groupBy(*keys, "dayhour").agg(F.avg(share).alias("mean"), F.stddev_samp(share).alias("sd"))
 
 
-def znorm(shares: DataFrame, spec: DataFrame, keys: Sequence[str], share: str = "share", out: str = "z") -> DataFrame:
+def znorm(
+    shares: DataFrame, keys: Sequence[str], spec: DataFrame | None = None, share: str = "share", out: str = "z"
+) -> DataFrame:
     """Standardise by own or stored statistics (``spec``: keys, dayhour, mean, sd)."""
+    if spec is None:
+        w = Window.partitionBy(*keys, "dayhour")
+        spread = F.nullif(F.stddev_samp(share).over(w), F.lit(0.0))
+        return shares.withColumn(out, (F.col(share) - F.avg(share).over(w)) / spread)
     joined = shares.join(spec, [*keys, "dayhour"])
     return joined.withColumn(out, (F.col(share) - F.col("mean")) / F.nullif(F.col("sd"), F.lit(0.0))).drop("mean", "sd")
 
@@ -62,13 +67,12 @@ def scale_range(
     df: DataFrame, keys: Sequence[str], value: str, out: str, low: float, high: float, floor: float | None = None
 ) -> DataFrame:
     """Min-max scaling; constant groups and values below ``floor`` get ``low``."""
-    span = df.groupBy(*keys).agg(F.min(value).alias("__a"), F.max(value).alias("__b"))
-    v = F.col(value)
-    scaled = (v - F.col("__a")) / F.nullif(F.col("__b") - F.col("__a"), F.lit(0.0)) * (high - low) + low
+    w = Window.partitionBy(*keys)
+    v, a, b = F.col(value), F.min(value).over(w), F.max(value).over(w)
+    scaled = (v - a) / F.nullif(b - a, F.lit(0.0)) * (high - low) + low
     if floor is not None:
         scaled = F.when(v >= floor, scaled).otherwise(F.lit(low))
-    scaled = F.when(F.col("__a") == F.col("__b"), F.lit(low)).otherwise(scaled)
-    return df.join(span, list(keys)).withColumn(out, scaled).drop("__a", "__b")
+    return df.withColumn(out, F.when(a == b, F.lit(low)).otherwise(scaled))
 
 
 def centroids(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

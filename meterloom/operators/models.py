@@ -126,7 +126,10 @@ def fit_heating(df: DataFrame, keys: Sequence[str], value: str, temp: str) -> Da
 def fit(
     df: DataFrame, keys: Sequence[str], value: str, temp: str | None = None, candidates: Sequence[str] = ("constant",)
 ) -> DataFrame:
-    """All candidate models per key, one row each; models with too few rows are left out."""
+    """All candidate models per key, one row each; models with too few rows are left out.
+
+    ``df`` is read once per candidate and pass: pass a stored table.
+    """
     made = {
         "constant": lambda: fit_constant(df, keys, value),
         "line": lambda: fit_line(df, keys, value, temp),
@@ -261,12 +264,13 @@ def backtest(
     """Rolling-origin backtest: for each of the last ``folds`` windows of ``width`` rows,
     fit on everything before, predict the window, add bands and residual scores.
 
-    A training row appears once per fold it belongs to (at most ``folds``
+    ``df`` is read several times: pass a stored table.  A training row appears once per fold it belongs to (at most ``folds``
     times); folds need more than ``width`` training rows.
     """
-    w = Window.partitionBy(*keys).orderBy(F.desc(time))
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("__size"))
-    ranked = df.withColumn("__rn", F.row_number().over(w)).join(sizes, list(keys))
+    whole = Window.partitionBy(*keys)
+    ranked = df.withColumns(
+        {"__rn": F.row_number().over(whole.orderBy(F.desc(time))), "__size": F.count("*").over(whole)}
+    )
     usable = lambda fold: F.col("__size") - width * fold > width
     top = F.least(F.lit(folds), F.floor((F.col("__rn") - 1) / width).cast("int"))
     train = (
@@ -381,11 +385,12 @@ def monthly_baseline(
     month, hdd, cdd).  Training leaves the holdout out only for series of more
     than ``split_after`` months.
     """
-    w = Window.partitionBy(*keys).orderBy(F.desc("month"))
-    size = monthly.groupBy(*keys).agg(F.count("*").alias("__size"))
-    rows = monthly.withColumn("__rn", F.row_number().over(w)).join(size, list(keys))
+    whole = Window.partitionBy(*keys)
+    rows = monthly.withColumns(
+        {"__rn": F.row_number().over(whole.orderBy(F.desc("month"))), "__size": F.count("*").over(whole)}
+    )
     rows = rows.join(degrees.select(*keys, "month", "hdd", "cdd"), [*keys, "month"], "left")
-    train = rows.filter(
+    in_training = (
         ((F.col("__size") <= split_after) | (F.col("__rn") > holdout))
         & F.col(value).isNotNull()
         & F.col("hdd").isNotNull()
@@ -395,16 +400,17 @@ def monthly_baseline(
         F.count_if(F.col("hdd").isNotNull()).alias("__weather"),
         F.count_if((F.col("__rn") <= holdout)).alias("__val"),
         F.count_if((F.col("__rn") <= holdout) & F.col("hdd").isNotNull()).alias("__val_weather"),
+        F.count_if(in_training).alias("__train"),
     )
-    trained = train.groupBy(*keys).agg(F.count("*").alias("__train"))
+    train = rows.filter(in_training)
     status = (
         F.when(F.col("__weather") == 0, "no weather data found")
         .when(F.col("__data") == 0, "no data obtained")
-        .when(F.coalesce(F.col("__train"), F.lit(0)) == 0, "no training data")
+        .when(F.col("__train") == 0, "no training data")
         .when((F.col("__val_weather") <= 1) | (F.col("__val_weather") != F.col("__val")), "weather data not matching")
         .otherwise("ok")
     )
-    states = check.join(trained, list(keys), "left").select(*keys, status.alias("status"))
+    states = check.select(*keys, status.alias("status"))
     means = calendar_month_means(train, keys, value)
     val = (
         rows.filter(F.col("__rn") <= holdout)

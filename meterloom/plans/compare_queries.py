@@ -9,7 +9,7 @@ from meterloom.functions.quantiles import exact_percentiles
 from meterloom.operators import align, compare
 from meterloom.plans import views
 from meterloom.plans.registry import query
-from meterloom.plans.shared import preferred, r4, text, unit_daily, whole
+from meterloom.plans.shared import preferred, r4, stored, text, unit_daily, whole
 
 CRITERIA = {"type": ["use_type"], "organization+type": ["organization", "use_type"]}
 # Group size used on the small test tables; production keeps compare.MIN_GROUP.
@@ -27,7 +27,7 @@ def comparable(spark, folder) -> DataFrame:
 
 
 def flagship(spark, folder, min_size: int = 1) -> DataFrame:
-    rows = compare.with_criteria(comparable(spark, folder), CRITERIA)
+    rows = compare.with_criteria(stored(comparable(spark, folder)), CRITERIA)
     found = compare.peer_percentiles(rows, ["criteria", "criteria_values", "month"], "per_area", min_size)
     return found.select(
         "criteria", "criteria_values", text("month"), whole("n_rows"), *[r4(f"p{b}") for b in compare.BREAKS]
@@ -157,7 +157,7 @@ _ANNUAL = """, annual AS (SELECT *, avg(value) OVER (PARTITION BY criteria, crit
 
 
 def _rolling(spark, folder):
-    rows = compare.with_criteria(comparable(spark, folder), CRITERIA)
+    rows = compare.with_criteria(stored(comparable(spark, folder)), CRITERIA)
     return compare.rolling_annual(rows, ["criteria", "criteria_values", "unit"], "value")
 
 
@@ -254,7 +254,7 @@ _COST = (
 
 
 def _costs(spark, folder):
-    rows = compare.with_criteria(comparable(spark, folder), CRITERIA)
+    rows = compare.with_criteria(stored(comparable(spark, folder)), CRITERIA)
     keys = ["criteria", "criteria_values", "month"]
     peers = rows.groupBy(*keys).agg(
         F.avg("per_area").alias("mean"),

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from meterloom.operators import events
 from meterloom.plans.registry import query
-from meterloom.plans.shared import r4, text, unit_daily, whole
+from meterloom.plans.shared import r4, stored, text, unit_daily, whole
 
 ALPHA = 0.1
 
@@ -54,8 +54,10 @@ def w14(spark, folder):
     FROM unit_daily JOIN best USING (unit) GROUP BY unit, day >= event""",
 )
 def m22(spark, folder):
-    best = events.strongest_change(_cusum(spark, folder), ["unit"], "day")
-    out = events.segmented_fit(unit_daily(spark, folder), best, ["unit"], "day", "value")
+    rows = stored(unit_daily(spark, folder))
+    residuals = events.constant_residuals(rows, ["unit"], "value")
+    best = events.strongest_change(events.scaled_cusum(residuals, ["unit"], "day"), ["unit"], "day")
+    out = events.segmented_fit(rows, best, ["unit"], "day", "value")
     return out.select("unit", whole("period"), text("period_from"), text("period_to"), "n", r4("mean"), r4("sd"))
 
 
@@ -73,6 +75,6 @@ def m24(spark, folder):
 
 @query("m25_confirm_events")
 def m25(spark, folder):
-    rows = unit_daily(spark, folder)
+    rows = stored(unit_daily(spark, folder))
     found = events.detect_events(rows, ["unit"], "day", "value", ALPHA, every_segment=True)
     return events.confirm_events(rows, found, ["unit"], "day", "value", ALPHA).select("unit", text("event"))

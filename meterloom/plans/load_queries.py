@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from meterloom.functions import scalars as S
-from meterloom.functions.recovery import cut_lineage
 from meterloom.operators import align, loadfit, loadmodel
 from meterloom.plans import views
 from meterloom.plans.registry import query
+from meterloom.plans.shared import energy_grid, energy_hourly, load_input, r4, stamp, stored, text, whole
 from meterloom.sources import sinks
-from meterloom.plans.shared import energy_grid, energy_hourly, load_input, r4, stamp, text, whole
 
 TS = "'%Y-%m-%d %H:%M:%S'"
 LATITUDE, LONGITUDE = 41.6, 0.62
@@ -79,8 +78,7 @@ def _shares(spark, folder):
 
 
 def _znorm(spark, folder):
-    shares = _shares(spark, folder)
-    return loadmodel.znorm(shares, loadmodel.hour_statistics(shares, ["energy"]), ["energy"])
+    return loadmodel.znorm(_shares(spark, folder), ["energy"])
 
 
 def _week_clusters(profiles):
@@ -118,7 +116,7 @@ _CENT = _SHARES + """, lab AS (SELECT sh.*, s FROM sh JOIN cl USING (energy, day
 
 
 def _labelled(spark, folder):
-    shares = _shares(spark, folder)
+    shares = stored(_shares(spark, folder))
     return loadmodel.attach_clusters(shares, _week_clusters(shares), ["energy"], "right")
 
 
@@ -293,7 +291,7 @@ def f16(spark, folder):
       AS kept FROM di JOIN qu USING (energy, s)""",
 )
 def w25(spark, folder):
-    z = _znorm(spark, folder).filter("z is not null")
+    z = stored(_znorm(spark, folder).filter("z is not null"))
     out = loadmodel.cluster_tails(_week_clusters(z), z, ["energy"])
     return out.select("energy", text("day"), "s", r4("distance"), "kept")
 
@@ -310,7 +308,9 @@ def w25(spark, folder):
     SELECT energy, CAST(day AS VARCHAR) AS day, arg_min(s, ROW(-score, s)) AS s FROM sc WHERE n = 24 GROUP BY energy, day""",
 )
 def m28(spark, folder):
-    z = _znorm(spark, folder).filter("z is not null")
+    shares = stored(_shares(spark, folder))
+    spec = loadmodel.hour_statistics(shares, ["energy"])
+    z = stored(loadmodel.znorm(shares, ["energy"], spec).filter("z is not null"))
     labelled = loadmodel.attach_clusters(z, _week_clusters(z), ["energy"], "right")
     params = labelled.groupBy("energy", "s", "dayhour").agg(
         F.avg("z").alias("mean"), F.greatest(F.var_pop("z"), F.lit(0.01)).alias("variance"), F.lit(0.5).alias("weight")
@@ -318,8 +318,7 @@ def m28(spark, folder):
     return loadmodel.assign_clusters(z, params, ["energy"]).select("energy", text("day"), "s")
 
 
-def _cluster_params(spark, folder):
-    z = _znorm(spark, folder)
+def _cluster_params(z):
     wide = loadmodel.day_profiles(z, ["energy"], "hour", "z")
     totals = z.groupBy("energy", "day").agg(F.sum("value").alias("total"))
     return loadfit.train_clusters(wide.join(totals, ["energy", "day"]), "energy")
@@ -331,14 +330,16 @@ def _trained_days(spark, folder):
     The fitted labels are stored once (one row per unit and day), because every
     later step reads them.
     """
-    z = _znorm(spark, folder).filter("z is not null")
-    days = cut_lineage(loadmodel.assign_clusters(z, _cluster_params(spark, folder), ["energy"]))
+    z = stored(_znorm(spark, folder))
+    params = _cluster_params(z)
+    z = z.filter("z is not null")
+    days = stored(loadmodel.assign_clusters(z, params, ["energy"]))
     return loadmodel.cluster_tails(days, z, ["energy"]).filter("kept").select("energy", "day", "s")
 
 
 @query("m27_cluster_profiles")
 def m27(spark, folder):
-    out = _cluster_params(spark, folder)
+    out = _cluster_params(stored(_znorm(spark, folder)))
     return out.select("energy", "s", whole("dayhour"), r4("mean"), r4("variance"), r4("weight"))
 
 
@@ -349,7 +350,7 @@ def m27_days(spark, folder):
 
 @query("w24_unused_days")
 def w24(spark, folder):
-    rows = energy_grid(spark, folder)
+    rows = stored(energy_grid(spark, folder))
     limits = loadfit.no_usage_limits(rows, "energy", "value")
     return loadfit.unused_days(rows, limits, "energy", "hour", "value").select("energy", text("day"))
 
@@ -364,7 +365,7 @@ def _features(spark, folder, days):
     rows = load_input(spark, folder).withColumns({"day": F.to_date("hour"), "dayhour": F.hour("hour")})
     rows = loadmodel.attach_clusters(rows, days, ["energy"], "right").withColumnRenamed("hour", "time")
     rows = rows.filter("s is not null and time is not null")
-    out = loadmodel.prepare_features(rows, ["energy"], "time", "value", LAGS, F.lit(LATITUDE), F.lit(LONGITUDE))
+    out = loadmodel.prepare_features(stored(rows), ["energy"], "time", "value", LAGS, F.lit(LATITUDE), F.lit(LONGITUDE))
     return loadmodel.calendar_features(out, "time")
 
 

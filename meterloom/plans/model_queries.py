@@ -18,6 +18,7 @@ from meterloom.plans.shared import (
     r4,
     series,
     stamp,
+    stored,
     text,
     unit_daily,
     unit_model,
@@ -236,7 +237,7 @@ def a28(spark, folder):
         THEN pj ELSE coalesce(pc, ph) END, month_mean) * coalesce(n_days, 0)) END) AS p50 FROM pr""",
 )
 def m21(spark, folder):
-    out = models.monthly_baseline(_month_rows(spark, folder), _unit_degrees(spark, folder), ["unit"])
+    out = models.monthly_baseline(stored(_month_rows(spark, folder)), stored(_unit_degrees(spark, folder)), ["unit"])
     return out.select("unit", text("month"), "status", r4("value"), r4("p50"))
 
 
@@ -324,7 +325,7 @@ def m02(spark, folder):
     SELECT unit, n, r4(change_point) AS change_point, r4(slope) AS slope, r4(intercept) AS intercept, r4(sse) AS sse FROM h""",
 )
 def m03(spark, folder):
-    fits = models.fit_heating(unit_model(spark, folder), ["unit"], "value", "temperature")
+    fits = models.fit_heating(stored(unit_model(spark, folder)), ["unit"], "value", "temperature")
     return fits.select("unit", "n", r4("change_point"), r4("slope"), r4("intercept"), r4("sse"))
 
 
@@ -339,7 +340,7 @@ _ALL_UNIT = f"""WITH {_heating_sql("unit_model", "unit", "h")},
       r4(n * ln(sse) + ln(n) * n_params) AS bic, r4({_AIC1}) AS aic, r4({_AIC2}) AS aic2 FROM allm""",
 )
 def a20(spark, folder):
-    params = models.fit(unit_model(spark, folder), ["unit"], "value", "temperature", models.ALL_MODELS)
+    params = models.fit(stored(unit_model(spark, folder)), ["unit"], "value", "temperature", models.ALL_MODELS)
     out = models.fit_quality(params).join(
         models.fit_quality(params, "v2").select("unit", "model", F.col("aic").alias("aic2")), ["unit", "model"]
     )
@@ -351,7 +352,7 @@ def a20(spark, folder):
     _ALL_UNIT + f", b AS ({_best_sql('allm', 'unit')}) SELECT unit, model, r4(intercept) AS intercept, r4(slope) AS slope FROM b",
 )
 def m05(spark, folder):
-    params = models.fit(unit_model(spark, folder), ["unit"], "value", "temperature", models.ALL_MODELS)
+    params = models.fit(stored(unit_model(spark, folder)), ["unit"], "value", "temperature", models.ALL_MODELS)
     return models.select_model(params, ["unit"]).select("unit", "model", r4("intercept"), r4("slope"))
 
 
@@ -360,7 +361,7 @@ def m05(spark, folder):
     _ALL_UNIT + f", b AS ({_best_sql('allm', 'unit', 'n * ln(sse) + ln(n) * n_params')}) SELECT unit, model FROM b",
 )
 def o03(spark, folder):
-    params = models.fit(unit_model(spark, folder), ["unit"], "value", "temperature", models.ALL_MODELS)
+    params = models.fit(stored(unit_model(spark, folder)), ["unit"], "value", "temperature", models.ALL_MODELS)
     return models.select_model(params, ["unit"], "bic").select("unit", "model")
 
 
@@ -372,7 +373,7 @@ _PRED = """CASE model WHEN 'constant' THEN intercept WHEN 'line' THEN intercept
 
 
 def _slotted(spark, folder):
-    rows = weekday_slot(unit_model(spark, folder))
+    rows = stored(weekday_slot(unit_model(spark, folder)))
     params = models.fit(rows, ["unit", "slot"], "value", "temperature", models.ALL_MODELS)
     return rows, models.select_model(params, ["unit", "slot"])
 
@@ -393,7 +394,7 @@ def m06(spark, folder):
     SELECT energy, strftime(hour, {TS}) AS hour, r4(value - p) AS residual FROM s LEFT JOIN m USING (energy, slot)""",
 )
 def m06h(spark, folder):
-    rows = hour_slot(energy_hourly(spark, folder))
+    rows = stored(hour_slot(energy_hourly(spark, folder)))
     params = models.fit(rows, ["energy", "slot"], "value")
     out = models.predict(rows, params, ["energy", "slot"])
     return out.select("energy", stamp("hour"), r4(F.col("value") - F.col("prediction"), "residual"))
@@ -409,7 +410,7 @@ def m04(spark, folder):
     week = F.floor(
         (F.dayofyear("day") + 6 - F.weekday("day")) / 7
     )
-    rows = unit_model(spark, folder).withColumn(
+    rows = stored(unit_model(spark, folder)).withColumn(
         "slot", F.concat_ws("-", F.year("day"), F.lpad(week.cast("string"), 2, "0"))
     )
     params = models.fit(rows, ["unit", "slot"], "value")
@@ -447,7 +448,7 @@ def m08(spark, folder):
       b AS ({_best_sql("m", "unit, holiday")}) SELECT unit, holiday, model, n, r4(intercept) AS intercept FROM b""",
 )
 def m09(spark, folder):
-    rows = unit_model(spark, folder).withColumn("holiday", F.month("day").isin(7, 8))
+    rows = stored(unit_model(spark, folder)).withColumn("holiday", F.month("day").isin(7, 8))
     params = models.fit(rows, ["unit", "holiday"], "value", "temperature", ("constant", "line"))
     return models.select_model(params, ["unit", "holiday"]).select("unit", "holiday", "model", "n", r4("intercept"))
 
@@ -459,7 +460,7 @@ _RECUR = """WITH a AS (SELECT energy, min(hour) AS a FROM energy_grid WHERE isod
 
 def _recurrent(spark, folder):
     monday = (F.weekday("hour") == 0) & (F.hour("hour") == 0)
-    return models.recurrent_slot(energy_grid(spark, folder), ["energy"], "hour", 168, monday)
+    return models.recurrent_slot(stored(energy_grid(spark, folder)), ["energy"], "hour", 168, monday)
 
 
 @query(
@@ -486,7 +487,7 @@ def m10(spark, folder):
     FROM unit_model JOIN l USING (unit) WHERE month(day) = m GROUP BY unit, m""",
 )
 def m11(spark, folder):
-    out = models.next_month_model(unit_model(spark, folder), ["unit"], "day", "value")
+    out = models.next_month_model(stored(unit_model(spark, folder)), ["unit"], "day", "value")
     return out.select("unit", whole("month"), "n", r4("mean"), r4("sd"))
 
 
@@ -505,7 +506,7 @@ def m12(spark, folder):
     SELECT energy, strftime(hour, {TS}) AS hour, r4(intercept) AS prediction FROM src LEFT JOIN m USING (energy, slot)""",
 )
 def m13(spark, folder):
-    rows = _recurrent(spark, folder)
+    rows = stored(_recurrent(spark, folder))
     params = models.fit(rows, ["energy", "slot"], "value")
     return models.predict(rows, params, ["energy", "slot"]).select("energy", stamp("hour"), r4("prediction"))
 
@@ -555,7 +556,7 @@ def m14(spark, folder):
     SELECT unit, CAST(day AS VARCHAR) AS day, r4((lt + le + CASE WHEN le > lt THEN 1 ELSE 0 END) * 50 / n) AS score FROM c""",
 )
 def m15(spark, folder):
-    rows = models.latest_rows(unit_daily(spark, folder), ["unit"], "day", 12)
+    rows = stored(models.latest_rows(unit_daily(spark, folder), ["unit"], "day", 12))
     train = rows.filter(~F.col("validation"))
     test = rows.filter("validation").select("unit", "day", "value")
     return models.score_percentile(train, test, ["unit"], "value").select("unit", text("day"), r4("score"))
@@ -610,7 +611,7 @@ _SHOW = ["value", "prediction", *[f"p{b}" for b in models.BANDS], "score"]
     ),
 )
 def m16(spark, folder):
-    rows = weekday_slot(unit_daily(spark, folder))
+    rows = stored(weekday_slot(unit_daily(spark, folder)))
     out = models.backtest(rows, ["unit"], "day", "value", "slot", 7, 16)
     return out.select("unit", text("day"), whole("fold"), *[r4(c) for c in _SHOW])
 
@@ -623,7 +624,7 @@ def m16(spark, folder):
     ),
 )
 def m16h(spark, folder):
-    rows = hour_slot(energy_hourly(spark, folder))
+    rows = stored(hour_slot(energy_hourly(spark, folder)))
     out = models.backtest(rows, ["energy"], "hour", "value", "slot", 168, 16)
     return out.select("energy", stamp("hour"), whole("fold"), *[r4(c) for c in _SHOW])
 
@@ -636,7 +637,7 @@ def m16h(spark, folder):
     ),
 )
 def m17(spark, folder):
-    rows = unit_model(spark, folder).withColumn("slot", F.when(F.weekday("day") > 4, "weekend").otherwise("work"))
+    rows = stored(unit_model(spark, folder)).withColumn("slot", F.when(F.weekday("day") > 4, "weekend").otherwise("work"))
     out = models.backtest(
         rows, ["unit"], "day", "value", "slot", 7, 4, "temperature", models.ALL_MODELS, "v2", score_by_slot=True
     )
@@ -678,7 +679,7 @@ def m18(spark, folder):
 )
 def m26(spark, folder):
     period = F.col("day").between(F.to_date(F.lit("1996-01-01")), F.to_date(F.lit("1998-12-31")))
-    rows = weekday_slot(unit_daily(spark, folder).filter(period))
+    rows = stored(weekday_slot(unit_daily(spark, folder).filter(period)))
     keys = ["unit", "slot"]
     params = models.fit(rows, keys, "value")
     res = models.predict(rows, params, keys).withColumn("residual", F.col("value") - F.col("prediction"))

@@ -17,6 +17,7 @@ from meterloom.plans.shared import (
     r4,
     series,
     stamp,
+    stored,
     text,
     unit_daily,
     whole,
@@ -61,7 +62,7 @@ def a30(spark, folder):
       r4(avg(days)) AS days_mean FROM d JOIN m USING (device) WHERE days IS NOT NULL GROUP BY device""",
 )
 def a30_medians(spark, folder):
-    rows = quality.bill_gap_statistics(_bill_rows(spark, folder), ["device"])
+    rows = stored(quality.bill_gap_statistics(_bill_rows(spark, folder), ["device"]))
     out = quality.medians_and_modes(rows, ["device"], "days", "days")
     means = rows.filter("days is not null").groupBy("device").agg(F.avg("days").alias("days_mean"))
     return out.join(means, "device").select("device", r4("days_median"), "days_mode", r4("days_mean"))
@@ -191,7 +192,7 @@ _LINE = """WITH p AS (SELECT energy, regr_slope(value, temperature) AS b, regr_i
 
 
 def _line_residuals(spark, folder):
-    rows = energy_model(spark, folder)
+    rows = stored(energy_model(spark, folder))
     fit = rows.groupBy("energy").agg(
         F.regr_slope("value", "temperature").alias("b"), F.regr_intercept("value", "temperature").alias("a")
     )

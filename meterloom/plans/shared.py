@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterloom.functions.ordered import running_total
+from meterloom.functions.recovery import cut_lineage
 from meterloom.operators import align, grid
 from meterloom.plans import views
 
@@ -31,6 +32,14 @@ def whole(c, name: str | None = None) -> Column:
     return column.cast("bigint").alias(name or c)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Write an intermediate table once that the rest of the query reads several times.
+
+    These tables are binned series, far smaller than the readings they come from.
+    """
+    return cut_lineage(df)
+
+
 def series(spark, folder) -> DataFrame:
     """One value per (device, day): at most one row per calendar day."""
     return align.keep_last(views.daily(spark, folder), ["device", "day"], views.TIE, ["value"])
