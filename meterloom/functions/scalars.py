@@ -225,7 +225,8 @@ def sector(degrees) -> Column:
     """Name of the 45-degree sector, ``NA`` for a missing direction."""
     d = col(degrees)
     index = (F.ceil((d - 22.5) / 45).cast("int") % 8) + 1
-    return F.coalesce(F.element_at(F.array(*[F.lit(s) for s in SECTORS]), index), F.lit("NA"))
+    name = F.element_at(F.array(*[F.lit(s) for s in SECTORS]), index)
+    return F.when(d.isNull() | F.isnan(d), F.lit("NA")).otherwise(name)
 
 
 def sun_position(ts, latitude, longitude) -> tuple[Column, Column]:
