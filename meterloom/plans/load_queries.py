@@ -238,7 +238,9 @@ def f14(spark, folder):
     return views.meteo_hourly(spark, folder).select("station", stamp("hour"), S.sector("wind_bearing").alias("wind_sector"))
 
 
-_SUN = f"""su0 AS (SELECT DISTINCT hour, (epoch(hour) - 946728000) / 86400.0 AS d FROM meteo_hourly),
+def _sun(source: str) -> str:
+    """Members up to ``lbl``: sun position and label for every hour of ``source``."""
+    return f"""su0 AS (SELECT DISTINCT hour, (epoch(hour) - 946728000) / 86400.0 AS d FROM {source}),
   su1 AS (SELECT hour, d, radians(357.528 + 0.9856003 * d) AS g, radians(23.439 - 0.0000004 * d) AS tilt FROM su0),
   su2 AS (SELECT *, radians(280.460 + 0.9856474 * d + 1.915 * sin(g) + 0.020 * sin(2 * g)) AS l FROM su1),
   su3 AS (SELECT *, asin(sin(tilt) * sin(l)) AS dec, radians(280.46061837 + 360.98564736629 * d + {LONGITUDE})
@@ -251,7 +253,7 @@ _SUN = f"""su0 AS (SELECT DISTINCT hour, (epoch(hour) - 946728000) / 86400.0 AS
 
 @query(
     "f15_sun_position",
-    f"WITH {_SUN} SELECT strftime(hour, {TS}) AS hour, r4(alt) AS altitude, r4(azi) AS azimuth, label FROM lbl",
+    f"WITH {_sun('meteo_hourly')} SELECT strftime(hour, {TS}) AS hour, r4(alt) AS altitude, r4(azi) AS azimuth, label FROM lbl",
 )
 def f15(spark, folder):
     altitude, azimuth = S.sun_position("hour", F.lit(LATITUDE), F.lit(LONGITUDE))
@@ -372,11 +374,11 @@ def _features(spark, folder, days):
 @query(
     "m29_feature_table",
     _LAGS
-    + f""", {_SUN}, ft AS (SELECT lab.energy, lab.hour, s, value, lv, dayhour FROM lab JOIN lg USING (energy, hour, s))
+    + f""", {_sun("energy_grid")}, ft AS (SELECT lab.energy, lab.hour, s, value, lv, dayhour FROM lab JOIN lg USING (energy, hour, s))
     SELECT f.energy, strftime(f.hour, {TS}) AS time, f.s, r4(f.lv) AS log_value, r4(o.centroid) AS centroid, r4(o.occupancy) AS occupancy,
       r4(CASE WHEN z.zero THEN ln(0.01) ELSE lag(f.lv, 1) OVER w END) AS lag1, r4(CASE WHEN z.zero THEN ln(0.01) ELSE lag(f.lv, 6)
       OVER w END) AS lag6, isodow(f.hour) AS dayweek, hour(f.hour) + (isodow(f.hour) - 1) * 24 AS weekhour,
-      {_SECTOR.format("l.wind_bearing")} AS wind_sector, b.label AS sun_label, r4(greatest(b.alt, 0)) AS sun_elevation,
+      coalesce({_SECTOR.format("l.wind_bearing")}, 'NA') AS wind_sector, b.label AS sun_label, r4(greatest(b.alt, 0)) AS sun_elevation,
       r4(l.temperature) AS temperature
     FROM ft f JOIN occ o USING (energy, s, dayhour) JOIN zero z USING (energy, s) JOIN load_input l ON l.energy = f.energy
       AND l.hour = f.hour LEFT JOIN lbl b ON b.hour = f.hour WINDOW w AS (PARTITION BY f.energy ORDER BY f.hour)""",
