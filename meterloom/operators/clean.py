@@ -115,17 +115,19 @@ def day_gaps(df: DataFrame, keys: Sequence[str], day: str) -> DataFrame:
 
 
 def long_gaps(df: DataFrame, keys: Sequence[str], time: str, limit_s: int, chunk: Column | None = None) -> DataFrame:
-    """Steps longer than the limit, contiguous ones merged, as from/to intervals."""
+    """Steps longer than the limit, contiguous ones merged, as from/to intervals.
+
+    Long steps number at most look-back / limit per key, so merging them is a plain window.
+    """
     at = lambda c: F.unix_timestamp(F.col(c).cast("timestamp"))
-    prev = ordered_scan(df.select(*keys, time), keys, [time], [Step("__p", "prev", F.col(time))], chunk)
-    prev = prev.withColumn("__gap", F.coalesce(at(time) - at("__p") > limit_s, F.lit(False)))
-    island = ordered_scan(
-        prev, keys, [time], [Step("__i", "count", F.when(~F.col("__gap"), F.lit(1)))], chunk
-    )
+    near = ordered_scan(df.select(*keys, time), keys, [time], [Step("gap_from", "prev", F.col(time))], chunk)
+    gaps = near.filter(at(time) - at("gap_from") > limit_s).withColumnRenamed(time, "gap_to")
+    before = ordered_scan(gaps, keys, ["gap_from"], [Step("__p", "prev", F.col("gap_to"))])
+    fresh = F.when(F.col("__p").isNull() | (F.col("__p") < F.col("gap_from")), F.lit(1))
+    island = ordered_scan(before.withColumn("__f", fresh), keys, ["gap_from"], [Step("__i", "count", F.col("__f"))])
     return (
-        island.filter("__gap")
-        .groupBy(*keys, "__i")
-        .agg(F.min("__p").alias("gap_from"), F.max(time).alias("gap_to"))
+        island.groupBy(*keys, "__i")
+        .agg(F.min("gap_from").alias("gap_from"), F.max("gap_to").alias("gap_to"))
         .drop("__i")
     )
 

@@ -115,14 +115,15 @@ def detect_events(
 
     Per round each series gains its strongest change, or with ``every_segment``
     all of its segments are split at once (binary recursion level by level).
-    A split always leaves two shorter segments, so the loop ends.
+    A split always leaves two shorter segments, so the loop ends; a series
+    without a new change is finished and left out of later rounds.
     """
     rows = cut_lineage(df.select(*keys, time, value))
-    events = None
+    events, active = None, rows
     turn = 0
     while True:
         turn += 1
-        split = number_periods(rows, events, keys, time) if events is not None else rows.withColumn("period", F.lit(0))
+        split = number_periods(active, events, keys, time) if events is not None else rows.withColumn("period", F.lit(0))
         found = _candidates(split, [*keys, "period"], time, value, alpha)
         if not every_segment:
             top = F.max_by(F.struct("event", "significance"), F.struct("significance", "event")).alias("b")
@@ -131,6 +132,7 @@ def detect_events(
         if found.isEmpty():
             return events if events is not None else found
         events = found if events is None else cut_lineage(events.unionByName(found))
+        active = rows.join(found.select(*keys).distinct(), list(keys), "left_semi")
 
 
 def confirm_events(

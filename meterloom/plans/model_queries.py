@@ -678,7 +678,7 @@ def m18(spark, folder):
     FROM r GROUP BY unit, slot""",
 )
 def m26(spark, folder):
-    period = F.col("day").between(F.to_date(F.lit("1996-01-01")), F.to_date(F.lit("1998-12-31")))
+    period = F.col("day").between("1996-01-01", "1998-12-31")
     rows = stored(weekday_slot(unit_daily(spark, folder).filter(period)))
     keys = ["unit", "slot"]
     params = models.fit(rows, keys, "value")

@@ -405,11 +405,7 @@ def p06(spark, folder):
 )
 def p07(spark, folder):
     to = F.to_date(F.lit("2001-06-30"))
-    return (
-        views.daily(spark, folder)
-        .filter(F.col("day").between(S.months_back(to, 24), to))
-        .select("device", text("day"), "value")
-    )
+    return views.daily(spark, folder, S.months_back(to, 24), to).select("device", text("day"), "value")
 
 
 ENERGY_NAMES = {"view": "electricity", "click": "electricity", "purchase": "gas"}
@@ -455,8 +451,7 @@ def p10(spark, folder):
 
 @query("p14_not_in_future", "SELECT device, CAST(day AS VARCHAR) AS day, value FROM daily WHERE day <= DATE '2000-01-01'")
 def p14(spark, folder):
-    as_of = F.to_date(F.lit("2000-01-01"))
-    return views.daily(spark, folder).filter(F.col("day") <= as_of).select("device", text("day"), "value")
+    return views.daily(spark, folder, until="2000-01-01").select("device", text("day"), "value")
 
 
 @query(

@@ -105,8 +105,14 @@ SOURCES = ["R", "A", "N"]
 TIE = ["l_orderkey", "l_linenumber", "l_partkey"]
 
 
-def daily(spark: SparkSession, folder: str) -> DataFrame:
-    return load(spark, folder, "lineitem").select(
+def daily(spark: SparkSession, folder: str, since=None, until=None) -> DataFrame:
+    """Daily readings, optionally of the days ``since``..``until``; the range reaches the file scan."""
+    raw = load(spark, folder, "lineitem")
+    if since is not None:
+        raw = raw.filter(F.col("l_shipdate") >= F.lit(since).cast("timestamp"))
+    if until is not None:
+        raw = raw.filter(F.col("l_shipdate") < F.date_add(F.lit(until).cast("date"), 1).cast("timestamp"))
+    return raw.select(
         F.col("l_suppkey").alias("device"),
         F.to_date("l_shipdate").alias("day"),
         F.col("l_quantity").alias("value"),

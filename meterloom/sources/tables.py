@@ -14,13 +14,16 @@ def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """Read ``<folder>/<name>.parquet`` with zone-less timestamps taken as UTC."""
     if spark.conf.get("spark.sql.session.timeZone") != UTC:
         spark.conf.set("spark.sql.session.timeZone", UTC)
-    df = spark.read.parquet(f"{folder}/{name}.parquet")
-    fixes = {
-        f.name: F.col(f.name).cast("timestamp")
-        for f in df.schema.fields
-        if isinstance(f.dataType, T.TimestampNTZType)
-    }
-    return df.withColumns(fixes) if fixes else df
+    path = f"{folder}/{name}.parquet"
+    df = spark.read.parquet(path)
+    # Reading as instants, rather than casting afterwards, keeps time filters pushable.
+    schema = T.StructType(
+        [
+            T.StructField(f.name, T.TimestampType(), f.nullable) if isinstance(f.dataType, T.TimestampNTZType) else f
+            for f in df.schema.fields
+        ]
+    )
+    return spark.read.schema(schema).parquet(path) if schema != df.schema else df
 
 
 def scan(df: DataFrame, columns: list[str], time: str | None = None, start=None, stop=None) -> DataFrame:

@@ -38,7 +38,8 @@ def load_stream(
     partition, so a repeated batch leaves no duplicates."""
 
     def write_batch(batch: DataFrame, number: int) -> None:
-        found = ingest.with_reading(batch, metadata)
+        # Both writes read the batch; without persisting, its state would be evaluated twice.
+        found = ingest.with_reading(batch, metadata).persist()
         good, bad = ingest.split_errors(found, detected_at)
         for part, path in ((shape(good), good_path), (bad, error_path)):
             (
@@ -48,6 +49,7 @@ def load_stream(
                 .partitionBy("batch")
                 .parquet(path)
             )
+        found.unpersist()
 
     query = (
         stream.writeStream.foreachBatch(write_batch)
