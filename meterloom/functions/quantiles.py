@@ -67,6 +67,9 @@ def exact_percentiles(
     return out.select(*keys, *cols)
 
 
-def grid_percentiles(value: Column, probs: Sequence[float], names: Sequence[str]) -> list[Column]:
-    """Aggregate columns for groups whose size is bounded by a calendar grid."""
-    return [F.percentile(value, F.lit(float(p))).alias(n) for p, n in zip(probs, names)]
+def grid_percentiles(
+    df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], names: Sequence[str]
+) -> DataFrame:
+    """Percentiles of groups whose size a calendar grid bounds; one pass for all of them."""
+    wanted = F.percentile(value, F.array(*[F.lit(float(p)) for p in probs])).alias("__p")
+    return df.groupBy(*keys).agg(wanted).select(*keys, *[F.col("__p")[i].alias(n) for i, n in enumerate(names)])

@@ -186,7 +186,7 @@ def predict(df: DataFrame, params: DataFrame, keys: Sequence[str], temp: str | N
 
 def residual_bands(train: DataFrame, keys: Sequence[str], residual: str, bands: Sequence[int] = BANDS) -> DataFrame:
     """Percentiles of the training residuals per model group (bounded by its weeks)."""
-    return train.groupBy(*keys).agg(*grid_percentiles(F.col(residual), [b / 100 for b in bands], [f"r{b}" for b in bands]))
+    return grid_percentiles(train, keys, residual, [b / 100 for b in bands], [f"r{b}" for b in bands])
 
 
 def score_percentile(train: DataFrame, test: DataFrame, keys: Sequence[str], value: str, out: str = "score") -> DataFrame:

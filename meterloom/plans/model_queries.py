@@ -520,8 +520,8 @@ def m13(spark, folder):
 def a29(spark, folder):
     from meterloom.functions.quantiles import grid_percentiles
 
-    out = _recurrent(spark, folder).groupBy("energy", "slot").agg(
-        *grid_percentiles(F.col("value"), [0.1, 0.5, 0.9], ["p10", "p50", "p90"])
+    out = grid_percentiles(
+        _recurrent(spark, folder), ["energy", "slot"], "value", [0.1, 0.5, 0.9], ["p10", "p50", "p90"]
     )
     return out.select("energy", whole("slot"), r4("p10"), r4("p50"), r4("p90"))
 
