@@ -9,7 +9,7 @@ To keep each source near its target, a shard gives every source the whole part o
 rest from the multinomial of the fractions.  No pass beyond ``MAX_PASSES`` is made, so no document is taken more often.
 
 Defined results: null and empty texts have size 0 and give nothing; a null source is a source of its own, ordered last;
-rows that repeat an id count as documents of their own and share one result row summed over them; if no text has a word,
+rows that repeat an id and source count as documents of their own and share one result row summed over them; if no text has a word,
 all targets are 0; an empty table gives an empty result.  Results depend on the rows and the seed, not on partitions.
 """
 
@@ -198,12 +198,12 @@ class Mix:
         """``doc_id``, ``size``, ``source_size``, ``target``, ``taken`` of every document."""
         draws = self.slots.groupBy("source_no", "block_no").agg(F.count("*").alias("draws"))
         parts = pieces(self.stream, self.block).join(draws, ["source_no", "block_no"])
-        got = parts.groupBy("doc_id").agg(F.sum(F.col("words") * F.col("draws")).alias("taken"))
-        got = got.withColumnRenamed("doc_id", "id")
-        sources = store.small(self.sources.select(F.col("source").alias("of"), "source_size", "target"), 64)
+        got = parts.groupBy("doc_id", "source_no").agg(F.sum(F.col("words") * F.col("draws")).alias("taken"))
+        got = got.select(F.col("doc_id").alias("id"), F.col("source_no").alias("no"), "taken")
+        sources = store.small(self.sources.select(F.col("source").alias("of"), "source_no", "source_size", "target"), 64)
         rows = self.sizes.groupBy("doc_id", "source").agg(F.sum("size").alias("size"))
         rows = rows.join(sources, F.col("source").eqNullSafe(F.col("of")))
-        return rows.join(got, F.col("doc_id").eqNullSafe(F.col("id")), "left").select(
+        return rows.join(got, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("source_no") == F.col("no")), "left").select(
             "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken")
         )
 
