@@ -269,6 +269,8 @@ class Join:
         for order in range(self.orders):
             new = self._order_pairs(nodes, order)
             pairs = new if pairs is None else store.stored(pairs.join(new, ["a", "b"], "left_semi"), "pairs")
+            if order + 1 == self.orders or pairs.isEmpty():
+                break
             left = pairs.select(F.col("a").alias("star")).unionByName(pairs.select(F.col("b").alias("star"))).distinct()
             nodes = store.stored(nodes.join(left, "star", "left_semi").select("node", "star", "label"), "left")
         return pairs
@@ -280,10 +282,12 @@ class Join:
         stars, links = self._stars()
         labels = store.stored(components(links), "labels")
         pairs = self._candidates(stars, labels)
+        if pairs.isEmpty():
+            return links
         limit = 1 - self.percent / 100 + 1e-9
         centres = self.compare(pairs)
         links = store.stored(links.unionByName(centres.filter(self._linked()).select("a", "b")), "links")
-        widest = stars.groupBy("star").agg(F.max("apart").alias("wide"), F.count("*").alias("of")).filter("of > 1")
+        widest = stars.groupBy("star").agg(F.max("apart").alias("wide")).filter("wide > 0")
         # Centres that aren't similar, but near enough for their members to be.
         open_ = centres.filter(~self._linked()).select("a", "b", (1 - F.col("shared") / F.col("joint")).alias("d"))
         wide = lambda c: widest.select(F.col("star").alias(c), F.col("wide").alias(f"wide_{c}"))

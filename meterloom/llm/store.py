@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,9 +34,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+_freed = 0.0
+
+
 def free_shuffles(spark: SparkSession) -> None:
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """At most every few seconds, as a collection takes a while itself."""
+    global _freed
+    if time.monotonic() - _freed > 3:
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        _freed = time.monotonic()
 
 
 def small(df: DataFrame, row_bytes: int) -> DataFrame:
