@@ -136,7 +136,9 @@ def slots(sources: DataFrame, block: int = BLOCK, shard_slots: int = SLOTS, seed
     )
     before = Window.partitionBy("source_no").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     runs = counts.withColumn("first", F.coalesce(F.sum("taken").over(before), F.lit(0))).filter("taken > 0")
-    taken = runs.select(
+    # A row here becomes as many as the source has slots in the shard.
+    tasks = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    taken = runs.repartition(tasks, "shard", "source_no").select(
         "shard", "source_no", "n_blocks", F.explode(F.sequence("first", F.col("first") + F.col("taken") - 1)).alias("nth")
     ).withColumn("pass_no", F.floor(F.col("nth") / F.col("n_blocks")))
     taken = taken.filter(F.col("pass_no") < most)
