@@ -98,12 +98,16 @@ def rolling_outliers(
     return df.withColumn(out, F.coalesce(flag, F.lit(False)))
 
 
-def clean_consumption(df: DataFrame, keys: Sequence[str], value: str, limit: float = ZSCORE_LIMIT) -> DataFrame:
-    """Null out negatives, then values beyond ``limit`` deviations; keeps both flags."""
-    kept = df.withColumn("negative", F.coalesce(F.col(value) < 0, F.lit(False))).withColumn(
+def drop_negatives(df: DataFrame, value: str) -> DataFrame:
+    """Null out negatives and flag them."""
+    return df.withColumn("negative", F.coalesce(F.col(value) < 0, F.lit(False))).withColumn(
         value, F.when(F.col(value) >= 0, F.col(value))
     )
-    flagged = zscore_outliers(kept, keys, value, limit, "outlier")
+
+
+def clean_consumption(df: DataFrame, keys: Sequence[str], value: str, limit: float = ZSCORE_LIMIT) -> DataFrame:
+    """Null out negatives, then values beyond ``limit`` deviations; keeps both flags."""
+    flagged = zscore_outliers(drop_negatives(df, value), keys, value, limit, "outlier")
     return flagged.withColumn(value, F.when(~F.col("outlier"), F.col(value)))
 
 

@@ -1,8 +1,7 @@
 """Iterative fits of the hourly load model, one unit per group.
 
 Only what SQL cannot say runs here: mixture fits on day profiles, regressions
-whose lags feed on their own predictions, and the low-consumption limit of a
-density.  A group is one unit on the hourly grid (two years are 17,520 rows).
+whose lags feed on their own predictions.  A group is one unit on the hourly grid (two years are 17,520 rows).
 """
 
 from __future__ import annotations
@@ -11,10 +10,10 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterloom.functions.stats import t_table
+from meterloom.functions.stats import t_limit, t_table
 from meterloom.operators.loadmodel import VARIANCE_FLOOR
 
 # Settings of the feature gate and limits of the hyper-parameter search.
@@ -96,14 +95,20 @@ def least_squares(terms: dict[str, np.ndarray], y: np.ndarray) -> pd.DataFrame:
             kept.append(name)
             basis.append(rest / left)
     if not kept:
-        return pd.DataFrame({"term": [], "coef": [], "se": []})
+        return _with_rows(pd.DataFrame({"term": [], "coef": [], "se": []}), y)
     x, q = np.column_stack([terms[k] for k in kept]), np.column_stack(basis)
     coef = np.linalg.solve(q.T @ x, q.T @ y)
     free = len(y) - len(kept)
     sigma2 = float(np.sum((y - x @ coef) ** 2) / free) if free > 0 else np.nan
     inv = np.linalg.inv(q.T @ x)
     se = np.sqrt(sigma2 * np.sum(inv * inv, axis=1))
-    return pd.DataFrame({"term": kept, "coef": coef, "se": se})
+    return _with_rows(pd.DataFrame({"term": kept, "coef": coef, "se": se}), y)
+
+
+def _with_rows(fit: pd.DataFrame, y: np.ndarray) -> pd.DataFrame:
+    """Note the number of rows that entered the fit."""
+    fit.attrs["rows"] = len(y)
+    return fit
 
 
 def _fit(pdf: pd.DataFrame, hyper: dict, groups: Sequence[str]) -> pd.DataFrame:
@@ -119,9 +124,9 @@ def _fit(pdf: pd.DataFrame, hyper: dict, groups: Sequence[str]) -> pd.DataFrame:
 def gate_features(pdf: pd.DataFrame) -> list[str]:
     """Weather terms with at least one coefficient significant at 5 %."""
     fit = _fit(pdf, GATE, GATED)
-    free = max(len(pdf) - len(fit), 1)
+    free = max(fit.attrs["rows"] - len(fit), 1)
     table = t_table(0.95)
-    limit = table[free - 1] if free <= len(table) else 1.959964 * (1 + (1.959964**2 + 1) / (4 * free))
+    limit = table[free - 1] if free <= len(table) else t_limit(1.959963984540054, free)
     strong = fit[np.abs(fit["coef"]) >= limit * fit["se"]]["term"]
     return [g for g in GATED if any(t == g or t.startswith(g + "|") for t in strong)]
 
@@ -280,62 +285,33 @@ def train_clusters(profiles: DataFrame, key: str, ks: Sequence[int] = (2, 3, 4))
 
 # --- days without usage ------------------------------------------------------------------
 
-BINS = 512
-
-
-def usage_limit(x: np.ndarray, density: np.ndarray, p10: float, p20: float) -> float:
-    """Consumption below which a day counts as unused: the density minimum before its first relevant mode."""
-    turns = np.flatnonzero(np.diff(np.sign(np.diff(density))) != 0) + 1
-    if len(turns) == 0:
-        return 0.0
-    cons, height = x[turns], density[turns]
-    if len(turns) == 1:
-        return float(cons[0]) if cons[0] < 0.5 else 0.0
-    if len(turns) == 2:
-        return 0.0
-    peak = np.diff(np.concatenate([[0.0], height])) > 0
-    peaks = np.flatnonzero(peak)
-    limit = 0.0
-    if cons[0] <= p20 and height[0] > 0.2 * height.max():
-        limit = float(cons[1])
-    growth = np.diff(height[peaks]) / height[peaks][:-1]
-    relevant = [p for p, g in zip(peaks[1:], growth) if g > 2.0 and cons[p] > p10]
-    first = relevant[0] if relevant else peaks[0]
-    if relevant:
-        limit = float(cons[first - 1])
-    if cons[first] < 0.5 and first + 1 < len(cons):
-        limit = float(cons[first + 1])
-    return limit
-
-
-def no_usage_limits(df: DataFrame, key: str, value: str) -> DataFrame:
-    """Limit per unit from a smoothed histogram of its lower 70 % of hourly values."""
-    top = df.groupBy(key).agg(F.percentile(value, F.lit(0.7)).alias("__q70"))
-    low = df.join(top, key).filter(F.col(value) <= F.col("__q70"))
-    stats = low.groupBy(key).agg(
-        F.count(value).alias("n"),
-        F.min(value).alias("a"),
-        F.max(value).alias("b"),
-        F.stddev_samp(value).alias("sd"),
-        *[F.percentile(value, F.lit(p)).alias(f"p{int(p * 100)}") for p in (0.1, 0.2, 0.25, 0.75)],
+BINS = 64
+# A valley is at most this part of the highest point before it.
+VALLEY = 0.5
+
+
+def no_usage_limits(df: DataFrame, key: str, value: str, bins: int = BINS, valley: float = VALLEY) -> DataFrame:
+    """Consumption at or below which an hour counts as unused, 0 if there is no such level.
+
+    The lower 70 % of a unit's hourly values go into equal bins, whose counts are averaged over five neighbours.  The
+    limit is the middle of the first bin that is a clear valley: lower than the bin before, not higher than the bin
+    behind, and at most ``valley`` of the highest bin before it.
+    """
+    ends = df.groupBy(key).agg(F.min(value).alias("a"), F.percentile(value, F.lit(0.7)).alias("b"))
+    width = (F.col("b") - F.col("a")) / bins
+    place = F.least(F.floor((F.col(value) - F.col("a")) / F.nullif(width, F.lit(0.0))), F.lit(bins - 1))
+    low = df.join(ends, key).filter(F.col(value) <= F.col("b"))
+    counts = low.groupBy(key, F.coalesce(place, F.lit(0)).cast("int").alias("bin")).agg(F.count("*").alias("c"))
+    grid = ends.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+    row = Window.partitionBy(key).orderBy("bin")  # ``bins`` rows
+    smooth = grid.join(counts, [key, "bin"], "left").withColumn(
+        "d", F.avg(F.coalesce("c", F.lit(0))).over(row.rowsBetween(-2, 2))
     )
-    at = F.least(F.floor((F.col(value) - F.col("a")) / F.nullif(F.col("b") - F.col("a"), F.lit(0.0)) * BINS), F.lit(BINS - 1))
-    hist = low.join(stats, key).groupBy(key, F.coalesce(at, F.lit(0)).cast("int").alias("bin")).agg(F.count("*").alias("c"))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        row = pdf.iloc[0]
-        spread = min(row["sd"], (row["p75"] - row["p25"]) / 1.34) or row["sd"]
-        limit = 0.0
-        if row["n"] > 1 and spread and np.isfinite(spread):
-            width = 0.9 * spread * row["n"] ** -0.2
-            centre = row["a"] + (pdf["bin"].to_numpy() + 0.5) * (row["b"] - row["a"]) / BINS
-            x = np.linspace(row["a"] - 3 * width, row["b"] + 3 * width, BINS)
-            kernel = np.exp(-0.5 * ((x[:, None] - centre[None, :]) / width) ** 2)
-            density = kernel @ pdf["c"].to_numpy(float) / (row["n"] * width * np.sqrt(2 * np.pi))
-            limit = usage_limit(x, density, row["p10"], row["p20"])
-        return pd.DataFrame({key: [row[key]], "limit": [limit]})
-
-    return hist.join(stats, key).groupBy(key).applyInPandas(run, f"{key} string, limit double")
+    top = F.max("d").over(row.rowsBetween(Window.unboundedPreceding, -1))
+    clear = (F.col("d") < F.lag("d").over(row)) & (F.col("d") <= F.lead("d").over(row)) & (F.col("d") <= top * valley)
+    middle = F.when(clear, F.col("a") + (F.col("bin") + 0.5) * width)
+    marked = smooth.withColumn("middle", middle)
+    return marked.groupBy(key).agg(F.coalesce(F.min("middle"), F.lit(0.0)).alias("limit"))
 
 
 def unused_days(df: DataFrame, limits: DataFrame, key: str, time: str, value: str) -> DataFrame:

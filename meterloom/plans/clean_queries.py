@@ -524,12 +524,14 @@ def clean_weather(spark, folder):
 @query(
     "clean_bills",
     _BILL_DAYS
-    + """, kept AS (SELECT device, day, arg_max(value, ROW(ini, bill_id)) AS value FROM days GROUP BY device, day),
-      s AS (SELECT device, avg(value) AS m, stddev_samp(value) AS s FROM kept WHERE value >= 0 GROUP BY device)
-    SELECT device, CAST(day AS VARCHAR) AS day, 'billing' AS data_type,
-      coalesce(abs(value - m) > 3.0 * s + 1e-9 * abs(m), false) AS outlier FROM kept JOIN s USING (device)""",
+    + """, shifted AS (SELECT device, day, ini, bill_id, CASE WHEN bill_id % 50 = 0 THEN -value ELSE value END AS value FROM days),
+      kept AS (SELECT device, day, arg_max(value, ROW(ini, bill_id)) AS value FROM shifted GROUP BY device, day)
+    SELECT device, CAST(day AS VARCHAR) AS day, 'billing' AS data_type, value < 0 AS negative,
+      r4(CASE WHEN value >= 0 THEN value END) AS value FROM kept""",
 )
 def clean_bills(spark, folder):
-    days = clean.bill_days(views.bills(spark, folder), ["device"])
-    out = clean.clean_consumption(days, ["device"], "value", ZLIMIT)
-    return out.select("device", text("day"), F.lit("billing").alias("data_type"), "outlier")
+    """Bills lose their negative values only; a fiftieth of the bills is made negative here."""
+    bills = views.bills(spark, folder)
+    bills = bills.withColumn("value", F.when(F.col("bill_id") % 50 == 0, -F.col("value")).otherwise(F.col("value")))
+    out = clean.drop_negatives(clean.bill_days(bills, ["device"]), "value")
+    return out.select("device", text("day"), F.lit("billing").alias("data_type"), "negative", r4("value"))

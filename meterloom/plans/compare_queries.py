@@ -6,12 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterloom.functions.quantiles import exact_percentiles
+from meterloom.functions.scalars import mapped
 from meterloom.operators import align, compare
 from meterloom.plans import views
 from meterloom.plans.registry import query
 from meterloom.plans.shared import preferred, r4, stored, text, unit_daily, whole
 
 CRITERIA = {"type": ["use_type"], "organization+type": ["organization", "use_type"]}
+# Energy types of the units, and the type that each is compared as; others are compared as themselves.
+ENERGY_TYPES = ["electricity_main", "electricity_peak", "gas", "heat"]
+COMPARED_AS = {"electricity_main": "electricity", "electricity_peak": "electricity"}
+PEERS = ["criteria", "criteria_values", "energy_type"]
 # Group size used on the small test tables; production keeps compare.MIN_GROUP.
 TEST_MIN_GROUP = 3
 
@@ -21,21 +26,27 @@ def unit_monthly(spark, folder) -> DataFrame:
 
 
 def comparable(spark, folder) -> DataFrame:
-    """Monthly consumption per area with the building's attributes."""
-    joined = unit_monthly(spark, folder).join(views.buildings(spark, folder), "unit")
+    """Consumption per area with the building's attributes, for every month between a unit's first and last one."""
+    months = compare.month_grid(unit_monthly(spark, folder), ["unit"])
+    energy = F.element_at(F.array(*[F.lit(e) for e in ENERGY_TYPES]), (F.col("unit") % len(ENERGY_TYPES) + 1).cast("int"))
+    joined = months.join(views.buildings(spark, folder), "unit").withColumn("energy", energy)
+    joined = joined.withColumn("energy_type", mapped("energy", COMPARED_AS))
     return compare.by_area(joined, "value", "area", "per_area")
 
 
 def flagship(spark, folder, min_size: int = 1) -> DataFrame:
     rows = compare.with_criteria(stored(comparable(spark, folder)), CRITERIA)
-    found = compare.peer_percentiles(rows, ["criteria", "criteria_values", "month"], "per_area", min_size)
+    found = compare.peer_percentiles(rows, [*PEERS, "month"], "per_area", min_size)
     return found.select(
-        "criteria", "criteria_values", text("month"), whole("n_rows"), *[r4(f"p{b}") for b in compare.BREAKS]
+        *PEERS, text("month"), whole("n_rows"), *[r4(f"p{b}") for b in compare.BREAKS]
     )
 
 
-_PEERS = """WITH comparable AS (SELECT unit, month, m.value, use_type, organization, area, m.value / area AS per_area
-    FROM unit_monthly m JOIN buildings USING (unit) WHERE area > 0),
+_PEERS = """WITH months AS (SELECT unit, CAST(unnest(generate_series(min(month), max(month), INTERVAL 1 MONTH)) AS DATE) AS month
+      FROM unit_monthly GROUP BY unit),
+  comparable AS (SELECT unit, month, m.value, use_type, organization, area, m.value / area AS per_area,
+      CASE unit % 4 WHEN 2 THEN 'gas' WHEN 3 THEN 'heat' ELSE 'electricity' END AS energy_type
+    FROM months LEFT JOIN unit_monthly m USING (unit, month) JOIN buildings USING (unit) WHERE area > 0),
   crit AS (SELECT 'type' AS criteria, CAST(use_type AS VARCHAR) AS criteria_values, * FROM comparable
     UNION ALL SELECT 'organization+type', CAST(organization AS VARCHAR) || '~' || CAST(use_type AS VARCHAR), *
     FROM comparable)"""
@@ -45,11 +56,11 @@ _PEERS = """WITH comparable AS (SELECT unit, month, m.value, use_type, organizat
     "a14_peer_percentiles",
     _PEERS
     + """
-    SELECT criteria, criteria_values, CAST(month AS VARCHAR) AS month, count(*) AS n_rows,
+    SELECT criteria, criteria_values, energy_type, CAST(month AS VARCHAR) AS month, count(*) AS n_rows,
       r4(quantile_cont(per_area, 0.05)) AS p5, r4(quantile_cont(per_area, 0.25)) AS p25,
       r4(quantile_cont(per_area, 0.5)) AS p50, r4(quantile_cont(per_area, 0.75)) AS p75,
       r4(quantile_cont(per_area, 0.9)) AS p90
-    FROM crit GROUP BY criteria, criteria_values, month HAVING count(*) >= 3""",
+    FROM crit GROUP BY criteria, criteria_values, energy_type, month HAVING count(*) >= 3""",
 )
 def a14(spark, folder):
     return flagship(spark, folder, TEST_MIN_GROUP)
@@ -120,45 +131,44 @@ def a12(spark, folder):
     FROM unit_monthly m JOIN buildings USING (unit) WHERE area > 0""",
 )
 def a13(spark, folder):
-    return comparable(spark, folder).select("unit", text("month"), r4("per_area"))
+    known = comparable(spark, folder).filter("value is not null")
+    return known.select("unit", text("month"), r4("per_area"))
 
 
 @query(
     "a15_min_group_size",
     _PEERS
     + """
-    SELECT criteria, criteria_values, CAST(month AS VARCHAR) AS month, count(*) AS n_rows
+    SELECT criteria, criteria_values, energy_type, CAST(month AS VARCHAR) AS month, count(*) AS n_rows
     FROM crit GROUP BY ALL HAVING count(*) >= 3""",
 )
 def a15(spark, folder):
     rows = compare.with_criteria(comparable(spark, folder), CRITERIA)
-    sizes = rows.groupBy("criteria", "criteria_values", "month").agg(F.count("*").alias("n_rows"))
-    return sizes.filter(F.col("n_rows") >= TEST_MIN_GROUP).select(
-        "criteria", "criteria_values", text("month"), "n_rows"
-    )
+    sizes = rows.groupBy(*PEERS, "month").agg(F.count("*").alias("n_rows"))
+    return sizes.filter(F.col("n_rows") >= TEST_MIN_GROUP).select(*PEERS, text("month"), "n_rows")
 
 
 @query(
     "a16_multi_criteria",
     _PEERS
     + """
-    SELECT criteria, criteria_values, count(*) AS n_rows, r4(avg(per_area)) AS mean_per_area
-    FROM crit GROUP BY criteria, criteria_values""",
+    SELECT criteria, criteria_values, energy_type, count(*) AS n_rows, r4(avg(per_area)) AS mean_per_area
+    FROM crit GROUP BY criteria, criteria_values, energy_type""",
 )
 def a16(spark, folder):
     rows = compare.with_criteria(comparable(spark, folder), CRITERIA)
-    return rows.groupBy("criteria", "criteria_values").agg(
+    return rows.groupBy(*PEERS).agg(
         F.count("*").alias("n_rows"), r4(F.avg("per_area"), "mean_per_area")
     )
 
 
-_ANNUAL = """, annual AS (SELECT *, avg(value) OVER (PARTITION BY criteria, criteria_values, unit ORDER BY month
+_ANNUAL = """, annual AS (SELECT *, avg(per_area) OVER (PARTITION BY criteria, criteria_values, unit ORDER BY month
       ROWS BETWEEN 11 PRECEDING AND CURRENT ROW) AS annual FROM crit)"""
 
 
 def _rolling(spark, folder):
     rows = compare.with_criteria(stored(comparable(spark, folder)), CRITERIA)
-    return compare.rolling_annual(rows, ["criteria", "criteria_values", "unit"], "value")
+    return compare.rolling_annual(rows, ["criteria", "criteria_values", "unit"], "per_area")
 
 
 @query(
@@ -177,26 +187,27 @@ def w05(spark, folder):
     _PEERS
     + _ANNUAL
     + """
-    SELECT criteria, criteria_values, r4(quantile_cont(annual, 0.05)) AS p5,
+    SELECT criteria, criteria_values, energy_type, r4(quantile_cont(annual, 0.05)) AS p5,
       r4(quantile_cont(annual, 0.25)) AS p25, r4(quantile_cont(annual, 0.5)) AS p50,
       r4(quantile_cont(annual, 0.75)) AS p75, r4(quantile_cont(annual, 0.9)) AS p90
-    FROM annual GROUP BY criteria, criteria_values""",
+    FROM annual GROUP BY criteria, criteria_values, energy_type""",
 )
 def a17(spark, folder):
     found = exact_percentiles(
         _rolling(spark, folder),
-        ["criteria", "criteria_values"],
+        PEERS,
         "annual",
         [b / 100 for b in compare.BREAKS],
         [f"p{b}" for b in compare.BREAKS],
     )
-    return found.select("criteria", "criteria_values", *[r4(f"p{b}") for b in compare.BREAKS])
+    return found.select(*PEERS, *[r4(f"p{b}") for b in compare.BREAKS])
 
 
 @query(
     "j06_building_join",
-    """SELECT unit, CAST(month AS VARCHAR) AS month, r4(m.value) AS value, use_type, organization, area
-    FROM unit_monthly m JOIN buildings USING (unit)""",
+    _PEERS
+    + """
+    SELECT unit, CAST(month AS VARCHAR) AS month, r4(value) AS value, use_type, organization, area FROM comparable""",
 )
 def j06(spark, folder):
     return comparable(spark, folder).select("unit", text("month"), r4("value"), "use_type", "organization", "area")
@@ -206,17 +217,17 @@ def j06(spark, folder):
     "j17_peer_result_rows",
     _PEERS
     + _ANNUAL
-    + """, sizes AS (SELECT criteria, criteria_values, month, count(*) AS n_rows,
+    + """, sizes AS (SELECT criteria, criteria_values, energy_type, month, count(*) AS n_rows,
         r4(quantile_cont(per_area, 0.5)) AS p50 FROM crit GROUP BY ALL HAVING count(*) >= 3)
-    SELECT s.criteria, s.criteria_values, CAST(s.month AS VARCHAR) AS month, s.p50, unit, r4(annual) AS annual
-    FROM sizes s LEFT JOIN annual a USING (criteria, criteria_values, month)""",
+    SELECT s.criteria, s.criteria_values, s.energy_type, CAST(s.month AS VARCHAR) AS month, s.p50, unit, r4(annual) AS annual
+    FROM sizes s LEFT JOIN annual a USING (criteria, criteria_values, energy_type, month)""",
 )
 def j17(spark, folder):
     rows = _rolling(spark, folder)
-    keys = ["criteria", "criteria_values", "month"]
+    keys = [*PEERS, "month"]
     groups = compare.peer_percentiles(rows, keys, "per_area", TEST_MIN_GROUP, [50])
     out = groups.join(rows.select(*keys, "unit", "annual"), keys, "left")
-    return out.select("criteria", "criteria_values", text("month"), r4("p50"), "unit", r4("annual"))
+    return out.select(*PEERS, text("month"), r4("p50"), "unit", r4("annual"))
 
 
 @query(
@@ -243,11 +254,11 @@ def a34(spark, folder):
 
 _COST = (
     _PEERS
-    + """, g AS (SELECT criteria, criteria_values, month, avg(per_area) AS mean,
+    + """, g AS (SELECT criteria, criteria_values, energy_type, month, avg(per_area) AS mean,
       stddev_samp(per_area) / nullif(avg(per_area), 0) AS disp FROM crit GROUP BY ALL),
     cost AS (SELECT unit, c.criteria, c.criteria_values, abs((per_area - mean) / mean) * 100 AS diff,
       disp * 0.5 + disp * 0.5 * abs((per_area - mean) / mean) * 100 AS cost
-      FROM crit c JOIN g USING (criteria, criteria_values, month)),
+      FROM crit c JOIN g USING (criteria, criteria_values, energy_type, month)),
     per_unit AS (SELECT unit, criteria, criteria_values, round(avg(diff), 3) AS diff, round(avg(cost), 3) AS cost
       FROM cost GROUP BY ALL)"""
 )
@@ -255,7 +266,7 @@ _COST = (
 
 def _costs(spark, folder):
     rows = compare.with_criteria(stored(comparable(spark, folder)), CRITERIA)
-    keys = ["criteria", "criteria_values", "month"]
+    keys = [*PEERS, "month"]
     peers = rows.groupBy(*keys).agg(
         F.avg("per_area").alias("mean"),
         (F.stddev_samp("per_area") / F.nullif(F.avg("per_area"), F.lit(0.0))).alias("disp"),

@@ -27,7 +27,8 @@ def j09(spark, folder):
     return out.select("energy", stamp("hour"), r4("value"), r4("temperature"))
 
 
-NEED = 23
+# All hours of a day.
+NEED = 24
 
 
 @query(
@@ -350,7 +351,20 @@ def m27_days(spark, folder):
     return _trained_days(spark, folder).select("energy", text("day"), "s")
 
 
-@query("w24_unused_days")
+@query(
+    "w24_unused_days",
+    f"""WITH ends AS (SELECT energy, min(value) AS a, quantile_cont(value, 0.7) AS b FROM energy_grid GROUP BY energy),
+    counts AS (SELECT energy, coalesce(least(floor((value - a) / nullif((b - a) / {loadfit.BINS}, 0)), {loadfit.BINS - 1}), 0)::INTEGER
+      AS bin, count(*) AS c FROM energy_grid JOIN ends USING (energy) WHERE value <= b GROUP BY 1, 2),
+    bins AS (SELECT energy, a, b, unnest(generate_series(0, {loadfit.BINS - 1}))::INTEGER AS bin FROM ends),
+    smooth AS (SELECT bins.*, avg(coalesce(c, 0)) OVER (PARTITION BY energy ORDER BY bin ROWS BETWEEN 2 PRECEDING AND 2
+      FOLLOWING) AS d FROM bins LEFT JOIN counts USING (energy, bin)),
+    near AS (SELECT *, lag(d) OVER w AS p, lead(d) OVER w AS n, max(d) OVER (PARTITION BY energy ORDER BY bin
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM smooth WINDOW w AS (PARTITION BY energy ORDER BY bin)),
+    limits AS (SELECT energy, coalesce(min(CASE WHEN d < p AND d <= n AND d <= top * {loadfit.VALLEY}
+      THEN a + (bin + 0.5) * ((b - a) / {loadfit.BINS}) END), 0) AS lim FROM near GROUP BY energy)
+    SELECT DISTINCT energy, CAST(CAST(hour AS DATE) AS VARCHAR) AS day FROM energy_grid JOIN limits USING (energy) WHERE value <= lim""",
+)
 def w24(spark, folder):
     rows = stored(energy_grid(spark, folder))
     limits = loadfit.no_usage_limits(rows, "energy", "value")

@@ -124,13 +124,16 @@ _DEGREES = """WITH deg AS (SELECT station, CAST(date_trunc('month', day) AS DATE
   rk AS (SELECT mg.*, row_number() OVER (PARTITION BY unit ORDER BY month DESC) AS rn,
     count(*) OVER (PARTITION BY unit) AS size, hdd, cdd FROM mg LEFT JOIN udeg USING (unit, month)),
   tr AS (SELECT * FROM rk WHERE (size <= 36 OR rn > 12) AND value IS NOT NULL AND hdd IS NOT NULL)"""
+_Z = stats.Z_TEN_PERCENT
+# Terms of the expansion of the critical value in 1 / degrees of freedom.
+_T_FIRST = (_Z, (_Z**3 + _Z) / 4, (5 * _Z**5 + 16 * _Z**3 + 3 * _Z) / 96)
 _TCRIT = "[" + ", ".join(str(v) for v in stats.t_table()) + "]"
 
 
 def _sig(d: str) -> str:
     return f"""coalesce({d}_n > 2 AND {d}_slope > 0 AND ({d}_r2 >= 1 OR sqrt({d}_r2 * ({d}_n - 2) / nullif(1 - {d}_r2, 0))
       > CASE WHEN {d}_n - 2 <= {stats.TABLE_SIZE} THEN {_TCRIT}[CAST({d}_n - 2 AS INTEGER)]
-      ELSE {stats.Z_TEN_PERCENT} END), false) AS {d}_ok"""
+      ELSE {_T_FIRST[0]} + {_T_FIRST[1]} / ({d}_n - 2) + {_T_FIRST[2]} / ({d}_n - 2) ** 2 END), false) AS {d}_ok"""
 
 
 _FITS = (

@@ -55,20 +55,23 @@ def replace_by_key(existing: DataFrame, new: DataFrame, keys: Sequence[str]) ->
 def replace_in_table(spark: SparkSession, path: str, new: DataFrame, keys: Sequence[str], partitions: Sequence[str]) -> None:
     """Replace rows by key in a partitioned table, rewriting only the partitions that change.
 
-    The result is staged first, because a table cannot be overwritten while it is read.
+    Those are the partitions of the new rows and all in which one of their keys has rows; a partition that loses
+    all its rows is deleted.  The result is staged first, because a table cannot be overwritten while it is read.
     """
-    touched = new.select(*partitions).distinct()
     old = spark.read.parquet(path)
+    fresh = new.select(*keys).distinct()
+    before = old.join(fresh, list(keys), "left_semi").select(*partitions).distinct()
+    touched = new.select(*partitions).unionByName(before).distinct()
     affected = old.join(touched, list(partitions), "left_semi").select(*new.columns)
     staged = work_path(spark, "replace")
     write_table(replace_by_key(affected, new, keys), staged, partitions)
-    (
-        spark.read.parquet(staged)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions)
-        .parquet(path)
-    )
+    written = spark.read.schema(new.schema).parquet(staged)
+    emptied = before.join(written.select(*partitions).distinct(), list(partitions), "left_anti").collect()
+    written.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
+    for row in emptied:  # a few partition names
+        name = "/".join(f"{p}={'__HIVE_DEFAULT_PARTITION__' if row[p] is None else row[p]}" for p in partitions)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def archive(df: DataFrame, condition: Column, archive_path: str, remainder_path: str) -> None:

@@ -369,10 +369,19 @@ def test_trained_model_beats_the_mean(spark):
     assert score.r2 > 0.95 and score.nrmse < 0.15
 
 
-def test_usage_limit_finds_the_valley():
-    x = np.linspace(0, 10, 500)
-    density = 0.3 * np.exp(-((x - 1) ** 2) / 0.1) + np.exp(-((x - 6) ** 2))
-    assert 1.5 < loadfit.usage_limit(x, density, 0.9, 1.2) < 5
+def test_no_usage_limit_finds_the_valley(spark):
+    rng = np.random.default_rng(4)
+    rows = [("u", float(v)) for v in np.concatenate([rng.normal(1, 0.2, 300), rng.normal(6, 1, 1500)])]
+    rows += [("flat", 2.0)] * 50 + [("rising", float(i**0.5)) for i in range(1000)]
+    got = {r.k: r.limit for r in loadfit.no_usage_limits(spark.createDataFrame(rows, "k string, v double"), "k", "v").collect()}
+    assert 1.4 < got["u"] < 4 and got["flat"] == 0 and got["rising"] == 0
+
+
+def test_critical_values_go_on_beyond_the_table(spark):
+    from meterloom.functions import stats
+
+    got = [r.t for r in spark.createDataFrame([(n,) for n in (10, 120, 121, 500)], "n long").select(stats.t_critical(F.col("n")).alias("t")).collect()]
+    assert got == pytest.approx([1.812461, 1.657651, 1.657544, 1.647907], abs=2e-6)
 
 
 # --- ingest and sinks ------------------------------------------------------------------------------
@@ -402,3 +411,24 @@ def test_status_and_route(spark):
     status = {r.k: r.status for r in clean.series_status(kinds, steps, ["k"]).collect()}
     assert status == {"one": "no interval", "mix": "counter and instant values", "slow": "ok"}
     assert {r.k: r.route for r in clean.route_series(kinds, steps, ["k"]).collect()} == {"one": "billing", "mix": "metering", "slow": "billing"}
+
+
+def test_replaced_key_leaves_its_old_partition(spark):
+    path = sinks.work_path(spark, "t")
+    old = spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0), (3, "b", 3.0), (4, None, 4.0)], "k int, p string, v double")
+    sinks.write_table(old, path, ["p"])
+    new = spark.createDataFrame([(1, "b", 9.0), (3, "c", 5.0), (4, "c", 6.0)], old.schema)
+    sinks.replace_in_table(spark, path, new, ["k"], ["p"])
+    assert sorted((r.k, r.p, r.v) for r in spark.read.parquet(path).collect()) == [(1, "b", 9.0), (2, "b", 2.0), (3, "c", 5.0), (4, "c", 6.0)]
+
+
+def test_empty_months_count_in_groups_and_rolling_means(spark):
+    import datetime as dt
+
+    month = lambda m: dt.date(2024, m, 1)
+    rows = [(u, month(m), v) for u in (1, 2, 3) for m, v in ((1, 10.0 * u), (2, 20.0 * u), (4, 60.0 * u))]
+    grid = compare.month_grid(spark.createDataFrame(rows, "unit int, month date, value double"), ["unit"])
+    sizes = compare.peer_percentiles(grid, ["month"], "value", 3, [50])
+    assert {r.month.month: (r.n_rows, r.p50) for r in sizes.collect()} == {1: (3, 20.0), 2: (3, 40.0), 3: (3, None), 4: (3, 120.0)}
+    two = compare.rolling_annual(grid.filter("unit = 1"), ["unit"], "value", rows=2)
+    assert {r.month.month: r.annual for r in two.collect()} == {1: 10.0, 2: 15.0, 3: 20.0, 4: 60.0}
