@@ -91,7 +91,9 @@ def paths(model) -> list[Rule]:
 
 def fit(stats: DataFrame, seed: int = SEED) -> Ensemble:
     """``stats`` has :data:`STATS` and ``label``."""
-    rows = store.stored(stats.select(*STATS, "label").coalesce(1).sortWithinPartitions(*STATS, "label"), "sample")
+    # The statistics are taken by many tasks; the bounded sample then lies in one sorted file, so fits repeat.
+    rows = stats.select(*STATS, "label").repartition(1).sortWithinPartitions(*STATS, "label")
+    rows = store.stored(rows, "sample")
     n, ones = rows.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     if not 0 < ones < n:
         share = ones / n if n else 0.5

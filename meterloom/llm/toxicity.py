@@ -191,7 +191,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", exceptions:
     lexicon.exceptions += [r["item"] for r in spared.orderBy(F.desc("n"), "item").limit(MAX_ENTRIES).collect()]
     points = densities(rows, lexicon, also=("label",)).select("label", F.log(F.col("density") + FLOOR).alias("z"))
     points = VectorAssembler(inputCols=["z"], outputCol="x").transform(points)
-    points = store.stored(points.select("x", "label").coalesce(1).sortWithinPartitions("label"), "points")
+    points = store.stored(points.select("x", "label", "z").repartition(1).sortWithinPartitions("label", "z"), "points")
     model = LogisticRegression(featuresCol="x", labelCol="label", regParam=1e-4, maxIter=100).fit(points)
     lexicon.slope, lexicon.intercept = float(model.coefficients[0]), float(model.intercept)
     return lexicon
