@@ -20,7 +20,6 @@ from meterloom.operators.loadmodel import VARIANCE_FLOOR
 GATE = {"n": 1, "alpha_t": 0.05, "alpha_w": 0.05, "alpha_g": 0.05, "tbal": 20.0, "p": 15.0}
 GATED = ["occupancy", "cooling", "heating", "ghi", "wind"]
 MIN_ACTIVE_SHARE = 0.2
-SCORE_ROWS = 72
 DEFAULT_GRID = [
     {"n": n, "alpha_t": a, "alpha_w": a, "alpha_g": a, "tbal": tbal, "p": 15.0}
     for n in (1, 3, 6)
@@ -65,7 +64,8 @@ def model_terms(pdf: pd.DataFrame, hyper: dict, groups: Sequence[str]) -> dict[s
         if name not in groups:
             continue
         out[name] = column
-        for level in sorted(pdf[label].unique())[1:]:
+        # All levels: the fit leaves out the one that the others add up to, so no choice depends on the rows at hand.
+        for level in sorted(pdf[label].unique()):
             out[f"{name}|{level}"] = column * (pdf[label] == level).to_numpy(float)
     return out
 
@@ -164,10 +164,10 @@ def train_unit(pdf: pd.DataFrame, grid: Sequence[dict]) -> pd.DataFrame:
     """Gate the features, search the settings, fit; one row per coefficient."""
     pdf = pdf.sort_values("time").reset_index(drop=True)
     train, val = pdf[pdf["train"]].reset_index(drop=True), pdf[~pdf["train"]].reset_index(drop=True)
-    if len(train) < 48 or len(val) == 0:
+    if train.empty:
         return pd.DataFrame()
     groups = gate_features(train)
-    head = val.head(SCORE_ROWS)
+    head = train if val.empty else val
     best = None
     for number, hyper in enumerate(grid):
         fit = _fit(train, hyper, groups)

@@ -26,10 +26,10 @@ VARIANCE_FLOOR = 1e-6
 MEAN_WIDTHS = range(2, 13)
 
 
-def attach_weather(df: DataFrame, weather: DataFrame, time: str, columns: Sequence[str]) -> DataFrame:
-    """Left join to weather with one row per time (the last by value on repeats)."""
-    once = weather.groupBy(time).agg(F.max(F.struct(*columns)).alias("__w")).select(time, "__w.*")
-    return df.join(once, time, "left")
+def attach_weather(df: DataFrame, weather: DataFrame, on: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Left join to weather with one row per station and time (the last by value on repeats)."""
+    once = weather.groupBy(*on).agg(F.max(F.struct(*columns)).alias("__w")).select(*on, "__w.*")
+    return df.join(once, list(on), "left")
 
 
 def day_profiles(df: DataFrame, keys: Sequence[str], time: str, value: str) -> DataFrame:

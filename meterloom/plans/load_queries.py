@@ -18,13 +18,18 @@ MODEL_START = "2024-01-24"  # rows before it train, rows from it on are predicte
 
 @query(
     "j09_left_weather",
-    f"""SELECT energy, strftime(hour, {TS}) AS hour, r4(e.value) AS value, r4(w.temperature) AS temperature FROM energy_grid e
-    LEFT JOIN (SELECT * FROM meteo_hourly WHERE station = 0) w USING (hour)""",
+    f"""WITH use AS (SELECT device % 25 AS station, energy, date_trunc('hour', ts) AS hour, sum(value) AS value FROM readings GROUP BY ALL)
+    SELECT station, energy, strftime(hour, {TS}) AS hour, r4(value) AS value, r4(temperature) AS temperature FROM use
+    LEFT JOIN (SELECT * FROM meteo_hourly WHERE hour(hour) % 6 > 0) w USING (station, hour)""",
 )
 def j09(spark, folder):
-    weather = views.meteo_hourly(spark, folder).filter("station = 0")
-    out = loadmodel.attach_weather(energy_grid(spark, folder), weather, "hour", ["temperature"])
-    return out.select("energy", stamp("hour"), r4("value"), r4("temperature"))
+    """Consumption at every station with its weather, which is missing every sixth hour."""
+    use = views.readings(spark, folder).groupBy(
+        (F.col("device") % 25).alias("station"), "energy", F.date_trunc("hour", "ts").alias("hour")
+    )
+    weather = views.meteo_hourly(spark, folder).filter(F.hour("hour") % 6 > 0)
+    out = loadmodel.attach_weather(use.agg(F.sum("value").alias("value")), weather, ["station", "hour"], ["temperature"])
+    return out.select("station", "energy", stamp("hour"), r4("value"), r4("temperature"))
 
 
 # All hours of a day.
@@ -132,12 +137,11 @@ def a27(spark, folder):
 
 @query(
     "j12_attach_cluster",
-    _SHARES + f" SELECT energy, strftime(hour, {TS}) AS hour, s FROM sh LEFT JOIN (SELECT * FROM cl WHERE s = '1') USING (energy, day)",
+    _SHARES + f" SELECT energy, strftime(hour, {TS}) AS hour, s FROM sh LEFT JOIN cl USING (energy, day)",
 )
 def j12(spark, folder):
     shares = _shares(spark, folder)
-    days = _week_clusters(shares).filter("s = '1'")
-    out = loadmodel.attach_clusters(shares, days, ["energy"], "left")
+    out = loadmodel.attach_clusters(shares, _week_clusters(shares), ["energy"], "left")
     return out.select("energy", stamp("hour"), "s")
 
 

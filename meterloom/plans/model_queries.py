@@ -636,13 +636,13 @@ def m16h(spark, folder):
     "m17_backtest_grouped",
     _backtest_sql(
         f"SELECT unit, day, value, temperature, CASE WHEN isodow(day) > 5 THEN 'weekend' ELSE 'work' END AS slot FROM unit_model",
-        "unit", "day", 7, 4, True, _backtest_tail("unit", "day", "CAST(day AS VARCHAR)"), True, _AIC2,
+        "unit", "day", 7, 16, True, _backtest_tail("unit", "day", "CAST(day AS VARCHAR)"), True, _AIC2,
     ),
 )
 def m17(spark, folder):
     rows = stored(unit_model(spark, folder)).withColumn("slot", F.when(F.weekday("day") > 4, "weekend").otherwise("work"))
     out = models.backtest(
-        rows, ["unit"], "day", "value", "slot", 7, 4, "temperature", models.ALL_MODELS, "v2", score_by_slot=True
+        rows, ["unit"], "day", "value", "slot", 7, 16, "temperature", models.ALL_MODELS, "v2", score_by_slot=True
     )
     return out.select("unit", text("day"), whole("fold"), *[r4(c) for c in _SHOW])
 

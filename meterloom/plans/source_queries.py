@@ -330,7 +330,7 @@ def store_readings(spark, folder):
         F.col("p_partkey").alias("l_partkey"), "p_brand", (F.col("p_size") / 10.0).alias("coefficient")
     )
     meter = load(spark, folder, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
-    kind = load(spark, folder, "nation").filter("n_regionkey < 4").select(
+    kind = load(spark, folder, "nation").select(
         F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("meter_type")
     )
     out = item.join(channel, "l_partkey").join(meter, "l_suppkey").join(kind, "s_nationkey", "left")
@@ -340,7 +340,7 @@ def store_readings(spark, folder):
 _STORE = """WITH st AS (SELECT l_suppkey AS device, l_partkey AS channel, CAST(l_shipdate AS DATE) AS day, l_quantity AS movement,
     l_quantity * (p_size / 10.0) AS value, n_name AS meter_type, l_orderkey, l_linenumber FROM lineitem
     JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey
-    LEFT JOIN nation ON n_nationkey = s_nationkey AND n_regionkey < 4)"""
+    LEFT JOIN nation ON n_nationkey = s_nationkey)"""
 
 
 @query(
@@ -373,10 +373,10 @@ def s15(spark, folder):
 @query(
     "s16_series_catalogue",
     """SELECT s_suppkey AS device, s_name AS name, n_name AS meter_type FROM supplier
-    LEFT JOIN nation ON n_nationkey = s_nationkey AND n_regionkey < 4""",
+    LEFT JOIN nation ON n_nationkey = s_nationkey""",
 )
 def s16(spark, folder):
-    kind = load(spark, folder, "nation").filter("n_regionkey < 4").select(
+    kind = load(spark, folder, "nation").select(
         F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("meter_type")
     )
     out = load(spark, folder, "supplier").join(kind, "s_nationkey", "left")
