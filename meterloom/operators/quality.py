@@ -111,11 +111,18 @@ def station_sanity(df: DataFrame, keys: Sequence[str], time: str, value: str, di
     return every.join(shares, list(keys), "left").withColumn("bad", bad)
 
 
-def most_common(df: DataFrame, keys: Sequence[str], value: str, n: int = 5) -> DataFrame:
-    """The ``n`` most common values per key; counted first, so ranking sees distinct values only."""
+def most_common(df: DataFrame, keys: Sequence[str], value: str, n: int = 5, parts: int = 64) -> DataFrame:
+    """The ``n`` most common values per key.
+
+    Values are counted first, then ranked in ``parts`` parts of each key, so that a key with very many values is not
+    ranked by one task; the second ranking sees at most ``n`` values of each part.
+    """
     counts = df.groupBy(*keys, value).agg(F.count("*").alias("n"))
-    w = Window.partitionBy(*keys).orderBy(F.desc("n"), F.asc(value))
-    return counts.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= n)
+    order = (F.desc("n"), F.asc(value))
+    some = Window.partitionBy(*keys, "__part").orderBy(*order)
+    first = counts.withColumn("__part", F.pmod(F.xxhash64(value), F.lit(parts))).withColumn("place", F.row_number().over(some))
+    best = first.filter(F.col("place") <= n).drop("__part", "place")
+    return best.withColumn("place", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col("place") <= n)
 
 
 def recent_hourly_flag(
@@ -138,9 +145,26 @@ def validation_scores(df: DataFrame, keys: Sequence[str], actual: str, predicted
 
 
 def autocorrelation(df: DataFrame, keys: Sequence[str], order: str, value: str, lags: int) -> DataFrame:
-    """Correlation of a grid series with itself 1..``lags`` rows earlier."""
+    """Correlation of a grid series with itself 1..``lags`` rows earlier, whole (``acf``) and partial (``pacf``)."""
     w = Window.partitionBy(*keys).orderBy(order)
     shifted = df.withColumns({f"__l{k}": F.lag(value, k).over(w) for k in range(1, lags + 1)})
     wide = shifted.groupBy(*keys).agg(*[F.corr(value, f"__l{k}").alias(f"__l{k}") for k in range(1, lags + 1)])
-    pairs = F.array(*[F.struct(F.lit(k).alias("lag"), F.col(f"__l{k}").alias("acf")) for k in range(1, lags + 1)])
-    return wide.select(*keys, F.inline(pairs))
+    row = wide.select(*keys, F.array(*[F.col(f"__l{k}") for k in range(1, lags + 1)]).alias("__r"))
+    row = row.select(*keys, "__r", partial_correlations(F.col("__r"), lags).alias("__p"))
+    pairs = F.transform(F.sequence(F.lit(1), F.lit(lags)), lambda k: F.struct(k.alias("lag"), F.col("__r")[k - 1].alias("acf"), F.col("__p")[k - 1].alias("pacf")))
+    return row.select(*keys, F.inline(pairs))
+
+
+def partial_correlations(r: Column, lags: int) -> Column:
+    """Partial autocorrelations 1..``lags`` from the autocorrelations, by the Durbin-Levinson recursion."""
+    none = F.array().cast("array<double>")
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+
+    def step(state: Column, k: Column) -> Column:
+        phi, before = state["phi"], F.slice(r, F.lit(1), k - 1)
+        p = (r[k - 1] - dot(phi, F.reverse(before))) / F.nullif(1 - dot(phi, before), F.lit(0.0))
+        new = F.zip_with(phi, F.reverse(phi), lambda a, b: a - p * b)
+        return F.struct(F.concat(new, F.array(p)).alias("phi"), F.concat(state["out"], F.array(p)).alias("out"))
+
+    start = F.struct(none.alias("phi"), none.alias("out"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(lags)), start, step, lambda state: state["out"])

@@ -218,12 +218,17 @@ def a37(spark, folder):
     + ", ".join(f"lag(res, {k}) OVER (PARTITION BY energy ORDER BY hour) AS l{k}" for k in range(1, 25))
     + " FROM r), w AS (SELECT energy, "
     + ", ".join(f"corr(res, l{k}) AS c{k}" for k in range(1, 25))
-    + " FROM l GROUP BY energy) "
-    + " UNION ALL ".join(f"SELECT energy, CAST({k} AS BIGINT) AS lag, r4(c{k}) AS acf FROM w" for k in range(1, 25)),
+    + " FROM l GROUP BY energy), rr AS (SELECT energy, ["
+    + ", ".join(f"c{k}" for k in range(1, 25))
+    + """] AS r FROM w), dl AS (SELECT energy, r, 1 AS k, [r[1]] AS phi, r[1] AS p FROM rr
+    UNION ALL SELECT energy, r, k + 1, list_append(list_transform(list_zip(phi, list_reverse(phi)), lambda z: z[1] - q * z[2]), q), q
+      FROM (SELECT *, (r[k + 1] - list_dot_product(phi, list_reverse(r[1:k]))) / (1 - list_dot_product(phi, r[1:k])) AS q
+        FROM dl WHERE k < 24))
+    SELECT energy, CAST(k AS BIGINT) AS lag, r4(r[k]) AS acf, r4(p) AS pacf FROM dl""",
 )
 def a38(spark, folder):
     out = quality.autocorrelation(_line_residuals(spark, folder), ["energy"], "hour", "res", 24)
-    return out.select("energy", whole("lag"), r4("acf"))
+    return out.select("energy", whole("lag"), r4("acf"), r4("pacf"))
 
 
 # --- set operations and sorting -----------------------------------------------------
