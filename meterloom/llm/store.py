@@ -34,13 +34,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def release(*tables: DataFrame) -> None:
+    """Delete stored tables that no later step reads."""
+    for table in tables:
+        for folder in {f.rpartition("/")[0] for f in table.inputFiles()}:
+            path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 _freed = 0.0
 
 
-def free_shuffles(spark: SparkSession) -> None:
-    """At most every few seconds, as a collection takes a while itself."""
+def free_shuffles(spark: SparkSession, now: bool = False) -> None:
+    """At most every few seconds unless ``now``, as a collection takes a while itself."""
     global _freed
-    if time.monotonic() - _freed > 3:
+    if now or time.monotonic() - _freed > 3:
         gc.collect()
         spark.sparkContext._jvm.System.gc()
         _freed = time.monotonic()
