@@ -19,6 +19,7 @@ in the order of their texts' hash; an empty table gives an empty manifest; other
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 from collections.abc import Iterator
@@ -39,15 +40,19 @@ SKIPPABLE = 0x184D2A5E
 SEEKABLE = 0x8F92EAB1
 CHECKSUMS = 0x80
 FRAME_BYTES = 1 << 18
-CACHED_WORDS = 300_000
+# Words kept with their ids in a worker, some 200 bytes each, and words worked on at a time.
+CACHED_WORDS = 900_000
+HELD_WORDS = 200_000
 END = 2
 
+_RUNS = re.compile(rb"[a-z]+|[0-9]|[^a-z0-9]+")
+
 
 class Encoder:
     """Ids of texts by a word-end BPE vocabulary of the tokenizers library, word by word.
 
     White space always ends a word of this vocabulary, so words are encoded apart, and those seen before are not encoded
-    again.  Words of letters are handed to the library together: each of them ends with a piece that ends a word.
+    again.  Runs of letters are handed to the library together: each of them ends with a piece that ends a word.
     """
 
     def __init__(self, vocabulary: str):
@@ -59,56 +64,82 @@ class Encoder:
         self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(n)])
         self.words: dict[bytes, bytes] = {}
 
-    def _one(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, np.uint32).tobytes() for e in found]
 
-    def learn(self, words: set[bytes]) -> None:
-        if len(self.words) + len(words) > CACHED_WORDS:
-            self.words.clear()
-        new = [w for w in words if w not in self.words]
-        letters = {}
-        for w in new:
-            text = w.decode()
-            if text.isalpha():
-                letters[w] = text
-            elif text[-1] in ".," and text[:-1].isalpha():
-                letters[w[:-1]] = text[:-1]
-        letters = {w: t for w, t in letters.items() if w not in self.words}
-        keys = list(letters)
+    def _letters(self, runs: dict[bytes, str]) -> None:
+        """Learn runs of letters, a thousand at a time in one text."""
+        keys = list(runs)
         for at in range(0, len(keys), 1000):
             group = keys[at : at + 1000]
-            ids = self._one(" ".join(letters[w] for w in group))
-            cuts = np.flatnonzero(self.ends[ids]) + 1
+            raw = self._ids([" ".join(runs[w] for w in group)])[0]
+            cuts = ((np.flatnonzero(self.ends[np.frombuffer(raw, np.uint32)]) + 1) * 4).tolist()
             if len(cuts) != len(group):
-                self.words.update((w, self._one(letters[w]).tobytes()) for w in group)
+                self.words.update(zip(group, self._ids([runs[w] for w in group]), strict=True))
                 continue
-            raw, last = ids.tobytes(), 0
-            for w, cut in zip(group, (cuts * 4).tolist(), strict=True):
+            last = 0
+            for w, cut in zip(group, cuts, strict=True):
                 self.words[w] = raw[last:cut]
                 last = cut
-        signs = {c: self._one(c).tobytes() for c in ".,"}
-        for w in new:
-            if w not in self.words:
-                text = w.decode()
-                if text[-1] in ".," and w[:-1] in self.words:
-                    self.words[w] = self.words[w[:-1]] + signs[text[-1]]
-                else:
-                    self.words[w] = self._one(text).tobytes()
+
+    def learn(self, words: set[bytes]) -> None:
+        """Words of ASCII without apostrophes and ``<`` split into the runs that the vocabulary's pattern takes apart."""
+        known, split, rest, runs, signs = self.words, {}, [], {}, set()
+        for w in words:
+            if w.isalpha() and w.islower():
+                runs[w] = w.decode()
+                continue
+            if w.isascii() and b"'" not in w and b"<" not in w:
+                parts = split[w] = _RUNS.findall(w.lower())
+                for x in parts:
+                    if x not in known:
+                        if x.isalpha():
+                            runs[x] = x.decode()
+                        else:
+                            signs.add(x)
+                continue
+            text = w.decode()
+            stem = text[:-1] if text[-1] in ".," else text
+            if not stem.isalpha():
+                rest.append(w)
+                continue
+            key = stem.encode()
+            if key not in known:
+                runs[key] = stem
+            if stem is not text:
+                split[w] = [key, text[-1].encode()]
+                signs.add(split[w][1])
+        self._letters(runs)
+        rest += signs
+        known.update(zip(rest, self._ids([w.decode() for w in rest]), strict=True))
+        for w, parts in split.items():
+            known[w] = b"".join(map(known.__getitem__, parts))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian uint32 ids of each text."""
-        split = [(t or "").encode().split() for t in texts]
-        out = []
-        for words in split:
-            try:
-                out.append(b"".join(map(self.words.__getitem__, words)))
-            except KeyError:
-                for at in range(0, len(words), CACHED_WORDS // 2):
-                    part = words[at : at + CACHED_WORDS // 2]
-                    self.learn(set(part))
-                    words[at : at + CACHED_WORDS // 2] = [b"".join(map(self.words.__getitem__, part))] + [b""] * (len(part) - 1)
-                out.append(b"".join(words))
-        return out
+        out = [[] for _ in texts]
+        held, size = [], 0
+        for i, text in enumerate(texts):
+            words = (text or "").encode().split()
+            for at in range(0, len(words), HELD_WORDS):
+                part = words[at : at + HELD_WORDS]
+                if size + len(part) > HELD_WORDS:
+                    self._join(held, out)
+                    held, size = [], 0
+                held.append((i, part))
+                size += len(part)
+        self._join(held, out)
+        return [b"".join(x) for x in out]
+
+    def _join(self, held: list[tuple[int, list[bytes]]], out: list[list[bytes]]) -> None:
+        new = set().union(*(w for _, w in held)).difference(self.words)
+        if len(self.words) + len(new) > CACHED_WORDS:
+            self.words.clear()
+            new = set().union(*(w for _, w in held))
+        self.learn(new)
+        for i, words in held:
+            out[i].append(b"".join(map(self.words.__getitem__, words)))
 
 
 class Frame(NamedTuple):
