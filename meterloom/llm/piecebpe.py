@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import codecs
 import re
+from array import array
 from collections.abc import Iterator, Sequence
 
 import ahocorasick
@@ -29,9 +30,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MARK = "▁"
-CACHED_SEGMENTS = 300_000
+# Segments and pairs of pieces kept in a worker, some 200 and 100 bytes each.
+CACHED_SEGMENTS = 700_000
 CACHED_PAIRS = 1_000_000
 
+_MARK = MARK.encode()
 _RUN = re.compile(f"{MARK}+[^{MARK}]*|^[^{MARK}]+")
 
 
@@ -42,6 +45,10 @@ def _each_byte(error: UnicodeError) -> tuple[str, int]:
 codecs.register_error("each_byte", _each_byte)
 
 
+def _packed(ids: list[int]) -> bytes:
+    return array("i", ids).tobytes()
+
+
 class PieceTable:
     """Prefix tables over one vocabulary."""
 
@@ -62,10 +69,12 @@ class PieceTable:
         self.automaton = ahocorasick.Automaton()
         for piece in self.ids:
             if self.merged(piece) == [piece]:  # others never come out of merging
-                self.automaton.add_word(piece, piece)
+                self.automaton.add_word(piece, (self.ids[piece], len(piece)))
         self.automaton.make_automaton()
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self.segments: dict[str, list[int]] = {}
+        self.pairs: dict[int, bool] = {}
+        # By the bytes of a word, which stands for the mark and the word; behind a line end there is no mark.
+        self.segments: dict[bytes, bytes] = {}
+        self.lines = "\n" not in self.chars
         unknown = sp.decode([sp.unk_id()])
         self.raw = [
             bytes([int(p[3:5], 16)]) if sp.is_byte(i) else b"" if sp.is_control(i) else
@@ -84,83 +93,89 @@ class PieceTable:
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
         return parts
 
-    def compatible(self, a: str, b: str) -> bool:
-        known = self.pairs.get((a, b))
-        if known is None:
-            if len(self.pairs) >= CACHED_PAIRS:
-                self.pairs.clear()
-            known = self.pairs[a, b] = a[-1] + b[0] not in self.inside or self.merged(a + b) == [a, b]
-        return known
-
-    def prefixes(self, text: str) -> list[str | None]:
-        """Last piece of every prefix of a text whose characters all have a piece."""
-        last: list[str | None] = [None] * (len(text) + 1)
-        for end, piece in self.automaton.iter(text):
-            if last[end + 1] is None:
-                start = end + 1 - len(piece)
-                if not start or (last[start] is not None and self.compatible(last[start], piece)):
-                    last[end + 1] = piece
+    def _compatible(self, a: int, b: int) -> bool:
+        left, right = self.names[a], self.names[b]
+        if left[-1] + right[0] not in self.inside:
+            return True
+        both = left + right
+        return both not in self.automaton and self.merged(both) == [left, right]
+
+    def prefixes(self, text: str) -> list[int]:
+        """Id of the last piece of every prefix of a text whose characters all have a piece."""
+        last, pairs = [-1] * (len(text) + 1), self.pairs
+        for end, (piece, size) in self.automaton.iter(text):
+            end += 1
+            if last[end] < 0:
+                start = end - size
+                before = last[start]
+                if not start:
+                    last[end] = piece
+                elif before >= 0:
+                    key = before << 32 | piece
+                    fits = pairs.get(key)
+                    if fits is None:
+                        if len(pairs) >= CACHED_PAIRS:
+                            pairs.clear()
+                        fits = pairs[key] = self._compatible(before, piece)
+                    if fits:
+                        last[end] = piece
         return last
 
     def _known(self, text: str) -> list[int]:
         last, at, out = self.prefixes(text), len(text), []
         while at:
             piece = last[at]
-            out.append(self.ids[piece])
-            at -= len(piece)
+            out.append(piece)
+            at -= len(self.names[piece])
         return out[::-1]
 
     def segment(self, text: str) -> list[int]:
-        """Ids of one segment; the parts between characters without a piece are apart."""
-        found = self.segments.get(text)
-        if found is not None:
-            return found
-        if len(text) > 2 and text[-2:] not in self.inside and text[-1] in self.chars:
-            found = [*self.segment(text[:-1]), self.ids[text[-1]]]
-        elif all(c in self.chars for c in text):
-            found = self._known(text)
-        else:
-            found, run = [], ""
-            for c in text:
-                if c in self.chars:
-                    run += c
-                    continue
-                if run:
-                    found += self.segment(run)
-                    run = ""
-                found += [self.bytes[x] for x in c.encode()]
-            if run:
-                found += self.segment(run)
-        if len(text) <= 64:
-            if len(self.segments) >= CACHED_SEGMENTS:
-                self.segments.clear()
-            self.segments[text] = found
-        return found
-
-    def encode(self, text: str | None) -> list[int]:
+        """Ids of one segment; characters without a piece set the parts between them apart."""
+        if self.chars.issuperset(text):
+            return self._known(text)
+        out, run = [], ""
+        for c in text:
+            if c in self.chars:
+                run += c
+                continue
+            out += self._known(run)
+            run = ""
+            out += [self.bytes[x] for x in c.encode()]
+        return out + self._known(run)
+
+    def _learn(self, words: set[bytes]) -> None:
+        known = self.segments
+        if len(known) + len(words) > CACHED_SEGMENTS:
+            known.clear()
+        for word in words:
+            text = word.decode()
+            if word[:1] != b"\n" or not self.lines:
+                text = MARK + text
+            stem = word[:-1]
+            # A last character that no piece has behind the one before it is apart; the rest may be known.
+            if len(text) > 2 and text[-1] in self.chars and text[-2:] not in self.inside and stem in known:
+                known[word] = known[stem] + _packed([self.ids[text[-1]]])
+            else:
+                known[word] = _packed(self.segment(text))
+
+    def encode(self, text: str | None) -> np.ndarray:
         """Ids of a text, without the end id."""
         if not text:
-            return []
-        if MARK in text or "  " in text or text[0] == " ":
+            return np.zeros(0, np.int32)
+        raw = text.encode()
+        if not self.lines or _MARK in raw or b"  " in raw or raw[:1] == b" ":
             parts = _RUN.findall(MARK + text.replace(" ", MARK))
-        else:
-            parts = [MARK + x for x in text.split(" ")]
-        out: list[int] = []
-        known = self.segments
-        for part in parts:
-            ids = known.get(part)
-            if ids is None:
-                if "\n" in part and MARK not in part[1:]:
-                    ids = []
-                    for i, line in enumerate(part.split("\n")):
-                        if i:
-                            ids = [*ids, self.bytes[10]] if "\n" not in self.chars else [*ids, self.ids["\n"]]
-                        if line:
-                            ids = [*ids, *self.segment(line)]
-                else:
-                    ids = self.segment(part)
-            out += ids
-        return out
+            return np.array([i for p in parts for i in self.segment(p)], np.int32)
+        words = raw.replace(b"\n", b" \n").split(b" ")
+        out = []
+        for at in range(0, len(words), CACHED_SEGMENTS // 4):
+            part = words[at : at + CACHED_SEGMENTS // 4]
+            new = set(part).difference(self.segments)
+            if len(self.segments) + len(new) > CACHED_SEGMENTS:
+                new = set(part)
+            self._learn(new)
+            out += map(self.segments.__getitem__, part)
+        return np.frombuffer(b"".join(out), np.int32)
 
     def decode(self, ids: Sequence[int] | None) -> str:
         """Text of ids: control pieces give nothing and the space in front of the text goes."""
@@ -201,13 +216,11 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
-                flat, ends = [], [0]
+                found, ends, tail = [], [0], np.array([table.end] if end else [], np.int32)
                 for text in part.column(1):
-                    flat += table.encode(text.as_py())
-                    if end:
-                        flat.append(table.end)
-                    ends.append(len(flat))
-                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.array(flat, np.int32)))
+                    found += [table.encode(text.as_py()), tail]
+                    ends.append(ends[-1] + len(found[-2]) + len(tail))
+                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(found)))
                 yield pa.RecordBatch.from_arrays([part.column(0), ids], names=["doc_id", "ids"])
 
     return rows.mapInArrow(run, schema)
