@@ -155,12 +155,18 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_i
     hits = found.join(shared, "seed").groupBy("key").agg(F.collect_set("seed").alias("seeds"))
     hits = store.stored(hits, "hits")
     around = store.stored(windows(rows.join(hits, "key"), window), "windows")
+    store.release(found, hits)
     # At most one row a task and combining step has the same digest.
     single = around.filter("digest is not null")
     total = single.groupBy("digest").agg(F.sum("n").alias("places")).filter("places > 1").select("digest")
+    total = store.stored(total, "digests")
+    store.free_shuffles(docs.sparkSession, now=True)
     single = single.filter("key is not null").join(total, "digest").select("key", "at", F.lit(1).alias("n"))
     runs = single.unionByName(around.filter("digest is null").select("key", "at", "n"))
-    return store.stored(runs.groupBy("key").agg(F.collect_set(F.struct("at", "n")).alias("runs")), "runs")
+    out = store.stored(runs.groupBy("key").agg(F.collect_set(F.struct("at", "n")).alias("runs")), "runs")
+    store.release(around, total)
+    store.free_shuffles(docs.sparkSession, now=True)
+    return out
 
 
 def spans(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
