@@ -1,4 +1,4 @@
-"""Iterative fits of the hourly load model, one unit per group.
+"""Iterative fits of the hourly load model, one unit per group; in the search, one slice of a unit's settings.
 
 Only what SQL cannot say runs here: mixture fits on day profiles, regressions
 whose lags feed on their own predictions.  A group is one unit on the hourly grid (two years are 17,520 rows).
@@ -13,19 +13,26 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from meterloom.functions.recovery import cut_lineage
 from meterloom.functions.stats import t_limit, t_table
 from meterloom.operators.loadmodel import VARIANCE_FLOOR
 
-# Settings of the feature gate and limits of the hyper-parameter search.
+# Settings of the feature gate and ranges of the hyper-parameter search.
 GATE = {"n": 1, "alpha_t": 0.05, "alpha_w": 0.05, "alpha_g": 0.05, "tbal": 20.0, "p": 15.0}
 GATED = ["occupancy", "cooling", "heating", "ghi", "wind"]
 MIN_ACTIVE_SHARE = 0.2
-DEFAULT_GRID = [
-    {"n": n, "alpha_t": a, "alpha_w": a, "alpha_g": a, "tbal": tbal, "p": 15.0}
-    for n in (1, 3, 6)
-    for a in (0.0, 0.25)
-    for tbal in (18.0, 21.0)
-]
+MAX_LAGS = 6
+STEPS = 15
+RANGES = {"alpha_t": (0.0, 0.5), "alpha_w": (0.0, 0.5), "alpha_g": (0.0, 0.5), "tbal": (16.0, 24.0), "p": (1.0, 30.0)}
+# Steps of each range in the first table; later tables have all of them.
+COARSE = {"alpha_t": (0, 7, 15), "alpha_w": (0, 7, 15), "alpha_g": (0, 7, 15), "tbal": (0, 7, 15), "p": (0, 5, 10, 15)}
+# Terms that a parameter changes; without all of them it has no effect.
+ACTS_ON = {
+    "alpha_t": ("heating", "cooling"), "alpha_w": ("wind",), "alpha_g": ("ghi",), "tbal": ("heating", "cooling"),
+    "p": ("cooling", "ghi", "wind"),
+}
+# Settings of a unit that one task fits.
+SLICE = 16
 HYPER = ["n", "alpha_t", "alpha_w", "alpha_g", "tbal", "p"]
 COLUMNS = [
     "time", "day", "s", "dayhour", "occupancy", "log_value", "temperature", "wind_speed", "ghi", "wind_sector", "sun_label",
@@ -157,30 +164,128 @@ def _r2(actual: np.ndarray, pred: np.ndarray) -> float:
     ok = np.isfinite(actual) & np.isfinite(pred)
     if ok.sum() < 3 or np.std(actual[ok]) == 0 or np.std(pred[ok]) == 0:
         return -1.0
-    return float(np.corrcoef(actual[ok], pred[ok])[0, 1] ** 2)
+    r2 = float(np.corrcoef(actual[ok], pred[ok])[0, 1] ** 2)
+    return r2 if np.isfinite(r2) else -1.0
 
 
-def train_unit(pdf: pd.DataFrame, grid: Sequence[dict]) -> pd.DataFrame:
-    """Gate the features, search the settings, fit; one row per coefficient."""
+def _parts(pdf: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
+    """Training and validation rows in the order of time."""
     pdf = pdf.sort_values("time").reset_index(drop=True)
-    train, val = pdf[pdf["train"]].reset_index(drop=True), pdf[~pdf["train"]].reset_index(drop=True)
-    if train.empty:
-        return pd.DataFrame()
-    groups = gate_features(train)
+    return pdf[pdf["train"]].reset_index(drop=True), pdf[~pdf["train"]].reset_index(drop=True)
+
+
+def score_setting(train: pd.DataFrame, val: pd.DataFrame, hyper: dict, groups: Sequence[str]) -> float:
+    """Squared correlation on the validation rows, or on the training rows if there are none."""
     head = train if val.empty else val
-    best = None
-    for number, hyper in enumerate(grid):
-        fit = _fit(train, hyper, groups)
-        score = _r2(np.exp(head["log_value"].to_numpy(float)), np.exp(predict_days(head, fit, hyper, groups)))
-        if best is None or score > best[0]:
-            best = (score, hyper, fit)
-    score, hyper, fit = best
-    return fit.assign(**{h: float(hyper[h]) for h in HYPER}, groups=",".join(groups), score=score)
-
-
-def train_models(features: DataFrame, key: str, grid: Sequence[dict] = tuple(DEFAULT_GRID)) -> DataFrame:
-    """Coefficient table of every unit's log-linear model."""
-    lags = int(max(h["n"] for h in grid))
+    fit = _fit(train, hyper, groups)
+    return _r2(np.exp(head["log_value"].to_numpy(float)), np.exp(predict_days(head, fit, hyper, groups)))
+
+
+def _names(groups: str) -> list[str]:
+    return [g for g in groups.split(",") if g]
+
+
+def feature_groups(rows: DataFrame, key: str) -> DataFrame:
+    """Kept weather terms (``groups``) of every unit with training rows."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        train, _ = _parts(pdf)
+        return pd.DataFrame({key: pdf[key].iloc[:1], "groups": [",".join(gate_features(train))]})
+
+    return rows.filter("train").groupBy(key).applyInPandas(run, f"{key} string, groups string")
+
+
+def steps_of(name: str) -> list[float]:
+    low, high = RANGES[name]
+    return [low + (high - low) * i / STEPS for i in range(STEPS + 1)]
+
+
+def _acts(name: str):
+    """Whether a parameter has an effect on the unit's terms."""
+    return F.arrays_overlap(F.split("groups", ","), F.array(*[F.lit(g) for g in ACTS_ON[name]])) if name in ACTS_ON else F.lit(True)
+
+
+def coarse_settings(units: DataFrame, lags: int) -> DataFrame:
+    """Every unit with the settings of a coarse grid over all ranges; a parameter without effect stays at its lowest value."""
+    out = units.withColumn("n", F.explode(F.array(*[F.lit(float(n)) for n in sorted({0, min(lags, 1), lags // 2, lags})])))
+    for name, places in COARSE.items():
+        values = [steps_of(name)[i] for i in places]
+        column = F.when(_acts(name), F.array(*map(F.lit, values))).otherwise(F.array(F.lit(values[0])))
+        out = out.withColumn(name, F.explode(column))
+    return out
+
+
+def line_settings(best: DataFrame, lags: int) -> DataFrame:
+    """Around each unit's best setting: every step of each parameter, with the others kept."""
+    values = {"n": [float(n) for n in range(lags + 1)], **{name: steps_of(name) for name in RANGES}}
+    moves = [F.struct(F.lit(name).alias("name"), F.lit(v).alias("value")) for name, all_ in values.items() for v in all_]
+    rows = best.withColumn("move", F.explode(F.array(*moves)))
+    useful = F.lit(False)
+    for name in HYPER:
+        useful |= (F.col("move.name") == name) & _acts(name) & (F.col("move.value") != F.col(name))
+    moved = {h: F.when(F.col("move.name") == h, F.col("move.value")).otherwise(F.col(h)) for h in HYPER}
+    return rows.filter(useful).select(*[c for c in best.columns if c not in (*HYPER, "score")], *[moved[h].alias(h) for h in HYPER])
+
+
+def score_settings(rows: DataFrame, settings: DataFrame, key: str) -> DataFrame:
+    """``settings`` (key, groups, parameters) with their ``score``.
+
+    A unit's rows go to one group for about ``SLICE`` of its settings, so that the work of a group does not grow with the table.
+    """
+    many = settings.groupBy(key).agg(F.ceil(F.count("*") / SLICE).alias("slices"))
+    sliced = settings.join(many, key).withColumn("slice", F.pmod(F.xxhash64(*HYPER), F.col("slices")).cast("int")).drop("slices")
+    needed = sliced.select(F.col(key).alias("of"), F.col("slice").alias("copy")).distinct()
+    copies = rows.join(needed, F.col(key) == F.col("of")).drop("of")
+    schema = f"{key} string, groups string, " + ", ".join(f"{h} double" for h in HYPER) + ", score double"
+
+    def run(pdf: pd.DataFrame, table: pd.DataFrame) -> pd.DataFrame:
+        if pdf.empty or table.empty:
+            return pd.DataFrame(columns=[key, "groups", *HYPER, "score"])
+        train, val = _parts(pdf)
+        scores = [score_setting(train, val, h, _names(g)) for h, g in zip(table[HYPER].to_dict("records"), table["groups"], strict=True)]
+        return table[[key, "groups", *HYPER]].assign(score=scores)
+
+    return copies.groupBy(key, "copy").cogroup(sliced.groupBy(key, "slice")).applyInPandas(run, schema)
+
+
+def best_settings(scores: DataFrame, key: str) -> DataFrame:
+    """The setting with the highest score; of equal ones that with the lowest values."""
+    order = F.struct("score", *[(-F.col(h)).alias(h) for h in HYPER])
+    best = F.max_by(F.struct("groups", *HYPER, "score"), order)
+    return scores.groupBy(key).agg(best.alias("best")).select(key, "best.*")
+
+
+def search_settings(rows: DataFrame, units: DataFrame, key: str, lags: int = MAX_LAGS) -> DataFrame:
+    """Best setting of every unit: a coarse grid over all ranges, then lines through the best one for as long as a unit gains.
+
+    ``rows`` and ``units`` are read in every round: pass stored tables.  A round raises the score of its units on a finite
+    grid, so the loop ends.
+    """
+    best = moving = cut_lineage(best_settings(score_settings(rows, cut_lineage(coarse_settings(units, lags)), key), key))
+    while not moving.isEmpty():
+        found = best_settings(score_settings(rows, cut_lineage(line_settings(moving, lags)), key), key)
+        old = moving.select(F.col(key).alias("of"), F.col("score").alias("old"))
+        moving = cut_lineage(found.join(old, F.col(key) == F.col("of")).filter("score > old").select(best.columns))
+        best = cut_lineage(best.join(moving, key, "left_anti").unionByName(moving))
+    return best
+
+
+def train_models(features: DataFrame, key: str, grid: Sequence[dict] | None = None, lags: int = MAX_LAGS) -> DataFrame:
+    """Coefficient table of every unit's log-linear model: gate the features, search the settings, fit.
+
+    Without a ``grid`` of settings all ranges are searched, with up to ``lags`` lags.
+    """
+    if grid is not None:
+        lags = int(max(h["n"] for h in grid))
+    cols = [key, *COLUMNS, "train", *[f"lag{k}" for k in range(1, max(lags, 1) + 1)]]
+    rows = cut_lineage(features.select(*cols))
+    units = cut_lineage(feature_groups(rows, key))
+    if grid is None:
+        best = search_settings(rows, units, key, lags)
+    else:
+        table = F.array(*[F.struct(*[F.lit(float(h[c])).alias(c) for c in HYPER]) for h in grid])
+        settings = units.withColumn("h", F.explode(table)).select(key, "groups", "h.*").distinct()
+        best = cut_lineage(best_settings(score_settings(rows, cut_lineage(settings), key), key))
     schema = (
         f"{key} string, term string, coef double, se double, "
         + ", ".join(f"{h} double" for h in HYPER)
@@ -188,14 +293,14 @@ def train_models(features: DataFrame, key: str, grid: Sequence[dict] = tuple(DEF
     )
     names = [c.split()[0] for c in schema.split(", ")]
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = train_unit(pdf, list(grid))
-        if out.empty:
+    def run(pdf: pd.DataFrame, chosen: pd.DataFrame) -> pd.DataFrame:
+        if pdf.empty or chosen.empty:
             return pd.DataFrame(columns=names)
-        return out.assign(**{key: pdf[key].iloc[0]})[names]
+        one = chosen.iloc[0]
+        fit = _fit(_parts(pdf)[0], {h: float(one[h]) for h in HYPER}, _names(one["groups"]))
+        return fit.assign(**{c: one[c] for c in (key, *HYPER, "groups", "score")})[names]
 
-    cols = [key, *COLUMNS, "train", *[f"lag{k}" for k in range(1, max(lags, 1) + 1)]]
-    return features.select(*cols).groupBy(key).applyInPandas(run, schema)
+    return rows.groupBy(key).cogroup(best.groupBy(key)).applyInPandas(run, schema)
 
 
 def predict_models(features: DataFrame, models: DataFrame, key: str, lags: int) -> DataFrame:
@@ -207,7 +312,7 @@ def predict_models(features: DataFrame, models: DataFrame, key: str, lags: int)
             return pd.DataFrame({key: [], "time": [], "prediction": []})
         rows = rows.sort_values("time").reset_index(drop=True)
         hyper = {h: float(fit[h].iloc[0]) for h in HYPER}
-        groups = [g for g in str(fit["groups"].iloc[0]).split(",") if g]
+        groups = _names(str(fit["groups"].iloc[0]))
         pred = np.exp(predict_days(rows, fit, hyper, groups))
         return pd.DataFrame({key: rows[key], "time": rows["time"], "prediction": pred})
 

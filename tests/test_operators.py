@@ -369,6 +369,36 @@ def test_trained_model_beats_the_mean(spark):
     assert score.r2 > 0.95 and score.nrmse < 0.15
 
 
+def test_search_covers_every_parameter(spark):
+    units = spark.createDataFrame([("u", "cooling,heating,ghi,wind"), ("bare", "")], "unit string, groups string")
+    table = loadfit.coarse_settings(units, 6).toPandas()
+    full, bare = table[table["unit"] == "u"], table[table["unit"] == "bare"]
+    assert len(full.drop_duplicates(["alpha_t", "alpha_w", "alpha_g"])) == 27 and set(full["n"]) == {0, 1, 3, 6}
+    ends = {h: (full[h].min(), full[h].max()) for h in ("alpha_w", "tbal", "p")}
+    assert ends == {"alpha_w": (0, 0.5), "tbal": (16, 24), "p": (1, 30)}
+    assert len(bare) == 4 and not full.duplicated().any()
+    start = units.selectExpr("unit", "groups", "1D n", "0D alpha_t", "0D alpha_w", "0D alpha_g", "16D tbal", "1D p", "0D score")
+    lines = loadfit.line_settings(start, 6).toPandas()
+    assert lines.groupby("unit").size().to_dict() == {"bare": 6, "u": 6 + 5 * 15}
+    assert all(lines[lines["unit"] == "u"][h].nunique() == 16 for h in ("alpha_t", "alpha_w", "alpha_g", "tbal", "p"))
+
+
+def test_search_finds_occupancy_and_balance_between_grid_points(spark):
+    rng = np.random.default_rng(3)
+    tbal, p = loadfit.steps_of("tbal")[10], loadfit.steps_of("p")[12]
+    rows = []
+    for i in range(24 * 60):
+        t = T0 + timedelta(hours=i)
+        temp, occ = 24 + 8 * float(rng.normal()), 10.0 if t.hour < 6 else 25.0 if t.hour < 18 else 23.0
+        log = 1.0 + 0.1 * max(temp - tbal, 0) * (occ >= p) + 0.05 * max(tbal - temp, 0) + 0.001 * rng.normal()
+        rows.append(("u", t, t.date(), "1", t.hour, occ, float(log), temp, 0.0, 0.0, "N", "NA", t.day % 5 > 0, *[0.0] * 6))
+    kinds = "unit string, time timestamp, day date, s string, dayhour int, occupancy double, log_value double, temperature double, "
+    kinds += "wind_speed double, ghi double, wind_sector string, sun_label string, train boolean, "
+    df = spark.createDataFrame(rows, kinds + ", ".join(f"lag{k} double" for k in range(1, 7)))
+    got = loadfit.train_models(df, "unit").select(*loadfit.HYPER, "score").distinct().collect()
+    assert len(got) == 1 and got[0].tbal == pytest.approx(tbal) and got[0].p == pytest.approx(p) and got[0].score > 0.999
+
+
 def test_no_usage_limit_finds_the_valley(spark):
     rng = np.random.default_rng(4)
     rows = [("u", float(v)) for v in np.concatenate([rng.normal(1, 0.2, 300), rng.normal(6, 1, 1500)])]
