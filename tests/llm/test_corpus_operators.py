@@ -346,6 +346,27 @@ def test_blocks_are_full_and_passes_permute(docs, spark):
         assert sorted(r.p for r in at.collect()) == list(range(n))
 
 
+def test_relative_links_and_spellings_are_edges(spark):
+    canonical = lambda u: f'<link rel="canonical" href="{u}">'
+    rows = [
+        (1, "http://a.org/x", canonical("//b.net/fr/")),
+        (2, "http://c.org/d/e", canonical("/t")),
+        (3, "http://C.org/t", '<meta http-equiv=refresh content="0;url=HTTP://B.net/fr/">'),
+        (4, "http://c.org/d/g?q", canonical("../t")),
+        (5, "http://c.org/d/h", canonical("k?a=1&amp;b=2")),
+        (6, "http://c.org/d/k?a=1&b=2", canonical("http://b.net/fr/")),
+        (7, "http://e.org/", "<base href='//c.org/d/'>" + canonical("h")),
+        (8, "http://f.org/", canonical("mailto:x@b.net") + canonical("#top")),
+        (9, "http://c.org", canonical("t")),
+        (10, "http://c.org/T", canonical("")),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.verdict for r in urlfilter.judge(pages).collect()}
+    assert got == {**dict.fromkeys((1, 2, 3, 4, 5, 6, 7, 9), "block"), 8: "allow", 10: "allow"}
+    links = {(r.a, r.b) for r in urlfilter.alias_links(pages).collect()}
+    assert ("http://c.org/d/g?q", "http://c.org/t") in links and ("http://e.org/", "http://c.org/d/h") in links
+
+
 # -- toxicity ----------------------------------------------------------------------------------------------------------
 
 
