@@ -1,6 +1,7 @@
 """Toxicity by a weighted lexicon, matched with an Aho-Corasick automaton over folded text.
 
-Folding lower-cases, maps homoglyphs to Latin letters and undoes digits and signs put for letters.  An entry is the
+Folding lower-cases, maps homoglyphs to Latin letters and undoes digits and signs put for letters.  Where they may stand for
+letters or not (``@loser``, ``@ss``), or for one of two (``kil1``), a word is read in each way and counts once.  An entry is the
 beginning of a word; matches inside an exception phrase do not count.  A text's density is the sum of the weights of its
 matches for 100 words, and the score is a logistic function of its logarithm.
 
@@ -32,7 +33,6 @@ from meterloom.llm import store
 from meterloom.llm.ruleensemble import bounded
 
 MAX_ROWS = 20_000
-MAX_ENTRIES = 5_000
 SEED = 13
 THRESHOLD = 0.3
 MIN_DOCS = 5
@@ -53,17 +53,39 @@ _LOOKS = str.maketrans(HOMOGLYPHS)
 _PUT = str.maketrans(SUBSTITUTES)
 _MIXED = re.compile(r"\w*[^\W\d_][\d@$!|]+[^\W\d_]\w*(?:[\d@$!|]+[^\W\d_]\w*)*|\d+[^\W\d_]\w*")
 _GAP = re.compile(r"[\W_]+")
+# Other readings of a word: signs before it and digits behind it count too, and 1, ! and | are each i or l.
+_WAYS = [str.maketrans(SUBSTITUTES | {"1": x, "!": x, "|": x}) for x in "il"]
+_WHOLE = re.compile(r"(?<![\d@$!|])[\d@$!|]*+[^\W\d_](?:[^\W_]|[@$!|])*+")
+_ODD = re.compile(r"[@$!|][^\W_]|[^\W\d_][\d@$|]|\d[^\W\d_]")
 
 
-def fold(text: str) -> str:
-    """Words of letters, each behind one space, and a space at the end."""
+def _plain(text: str) -> str:
     text = text.lower()
-    if not text.isascii():
-        text = unicodedata.normalize("NFKC", text).translate(_LOOKS)
-    text = _MIXED.sub(lambda m: m[0].translate(_PUT), text)
+    return text if text.isascii() else unicodedata.normalize("NFKC", text).translate(_LOOKS)
+
+
+def _spaced(text: str) -> str:
     return " " + _GAP.sub(" ", text).strip() + " "
 
 
+def fold(text: str) -> str:
+    """Words of letters, each behind one space, and a space at the end."""
+    return _spaced(_MIXED.sub(lambda m: m[0].translate(_PUT), _plain(text)))
+
+
+def readings(text: str) -> list[str]:
+    """:func:`fold` and the other readings that differ from it; all have the same number of words."""
+    out, plain = [fold(text)], _plain(text)
+    if _ODD.search(plain):
+        for way in _WAYS:
+            # Signs ! and | at the end of a word are punctuation.
+            read = lambda m, way=way: (word := m[0].rstrip("!|")).translate(way) + m[0][len(word) :]
+            other = _spaced(_WHOLE.sub(read, plain))
+            if other not in out:
+                out.append(other)
+    return out
+
+
 @dataclass
 class Lexicon:
     entries: dict[str, float] = field(default_factory=dict)
@@ -93,14 +115,38 @@ class Matcher:
         """Weight for 100 words, and number of matches."""
         if not text or self.empty:
             return 0.0, 0
-        folded = fold(text)
+        ways = readings(text)
+        found = self._hits(ways[0])
+        weights = [h[1] for h in found]
+        if len(ways) > 1:
+            # A word counts in the first reading that has it.
+            taken = set(self._words(ways[0], found))
+            for folded in ways[1:]:
+                more = self._hits(folded)
+                at = self._words(folded, more)
+                weights += [h[1] for h, word in zip(more, at, strict=True) if word not in taken]
+                taken |= set(at)
+        words = max(1, ways[0].count(" ") - 1)
+        return 100.0 * sum(weights) / words, len(weights)
+
+    def _hits(self, folded: str) -> list[tuple[int, float]]:
+        """Place and weight of the matches outside exception phrases."""
         hits, spared = [], []
         for end, (length, weight) in self.automaton.iter(folded):
             (spared if weight is None else hits).append((end - length + 1, end, weight))
         if spared:
             hits = [h for h in hits if not any(a <= h[0] and h[1] <= b for a, b, _ in spared)]
-        words = max(1, folded.count(" ") - 1)
-        return 100.0 * sum(h[2] for h in hits) / words, len(hits)
+        return [(h[0], h[2]) for h in hits]
+
+    @staticmethod
+    def _words(folded: str, hits: list[tuple[int, float]]) -> list[int]:
+        """Number of the word of each match."""
+        out, last, n = [], 0, 0
+        for place, _ in hits:
+            n += folded.count(" ", last, place) if place >= last else -folded.count(" ", place, last)
+            last = place
+            out.append(n)
+        return out
 
 
 def densities(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: str = "text", also: tuple[str, ...] = ()) -> DataFrame:
@@ -118,7 +164,7 @@ def densities(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_co
 
 
 def _beginnings(text: str | None) -> set[str]:
-    words = set(fold(text or "").split())
+    words = {w for way in readings(text or "") for w in way.split()}
     return {w[:n] for w in words for n in ENTRY_LENGTHS if n <= len(w)} | {w + " " for w in words if len(w) >= 3}
 
 
@@ -180,7 +226,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", exceptions:
     weight = F.log((F.col("bad") + 0.5) / (bad + 1)) - F.log((F.col("n") - F.col("bad") + 0.5) / (n - bad + 1))
     good = _counted(rows, _beginnings).withColumn("weight", weight)
     good = good.filter((F.col("bad") >= MIN_DOCS) & (F.col("weight") >= MIN_WEIGHT))
-    found = good.orderBy(F.desc("weight"), "item").limit(MAX_ENTRIES).select("item", "weight").collect()
+    # The sample is bounded, and so are these.
+    found = good.select("item", "weight").collect()
     entries = shortest((r["item"], r["weight"]) for r in found)
     lexicon = Lexicon(entries, list(exceptions))
     if not entries:
@@ -188,7 +235,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", exceptions:
     # A pair of words with an entry that only harmless documents have is an exception.
     has_entry = lambda text: {p for p in _phrases(text) if any(w[:k] in entries for w in p.split() for k in range(3, len(w) + 1))}
     spared = _counted(rows, has_entry).filter((F.col("bad") == 0) & (F.col("n") >= MIN_DOCS))
-    lexicon.exceptions += [r["item"] for r in spared.orderBy(F.desc("n"), "item").limit(MAX_ENTRIES).collect()]
+    lexicon.exceptions += [r["item"] for r in spared.orderBy(F.desc("n"), "item").collect()]
     points = densities(rows, lexicon, also=("label",)).select("label", F.log(F.col("density") + FLOOR).alias("z"))
     points = VectorAssembler(inputCols=["z"], outputCol="x").transform(points)
     points = store.stored(points.select("x", "label", "z").repartition(1).sortWithinPartitions("label", "z"), "points")

@@ -1,6 +1,7 @@
 """Corpus operators against plain versions, with nulls, empty and long texts, ties, repeated rows and extra columns."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -375,6 +376,22 @@ def test_folding():
     assert toxicity.fold("раthetic") == " pathetic "
 
 
+def test_disguised_ends_of_words_match():
+    m = toxicity.Matcher(toxicity.Lexicon({"kill": 1.0, "ass": 1.0, "shit": 1.0, "loser": 1.0, "idiot ": 1.0}, ["shit happens"], 1.0, 0.0))
+    for word in ("kil1", "ki11", "@ss", "$hit", "a$$", "5hit", "sh1t", "|oser", "1oser", "@loser", "!diot", "idiot!!", "a$$hole"):
+        assert m.density(f"so {word} it") == (pytest.approx(100 / 3), 1), word
+    assert m.density("$hit happens") == (0.0, 0) and m.density("mp3 for $5 to a@b.org, 2024!") == (0.0, 0)
+    assert m.density("k1ll and kill") == (pytest.approx(200 / 3), 2)
+
+
+def test_lexicon_has_no_limit_on_entries(spark):
+    words = ["".join(w) for w in itertools.product("bcdfghjklm", "aeiou", "npqrstvwxz", "aeiou", "z", "yo")]
+    rows = [(i, " ".join(words) if i < 8 else "plain harmless speech about nothing", int(i < 8)) for i in range(400)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    lexicon = toxicity.train(table, table)
+    assert all(any(w[:n] in lexicon.entries for n in range(3, len(w) + 1)) for w in words)
+
+
 def test_matches_and_exceptions():
     lexicon = toxicity.Lexicon({"trash": 2.0, "vequ": 1.0}, ["trash can"], 1.0, 0.0)
     m = toxicity.Matcher(lexicon)
