@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 from meterloom.llm import (
     exactdedup,
     linerules,
+    merkle,
     mixing,
+    packing,
     piecebpe,
     ruleensemble,
     shinglejoin,
+    sourceaudit,
     store,
     substrings,
     tokenfile,
@@ -203,3 +206,111 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     out = piecebpe.decode(out, path, also=("n_tokens", "ids_sha256"))
     decoded = F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256")
     return out.select("doc_id", "n_tokens", "ids_sha256", decoded)
+
+
+OP11_SQL = rf"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+), g AS MATERIALIZED (SELECT DISTINCT lang, source FROM d
+), o AS MATERIALIZED (
+  SELECT lang, source, term, r, count(*) AS n FROM (SELECT lang, source, r, unnest(w) AS term FROM d) GROUP BY ALL
+), kept AS MATERIALIZED (
+  SELECT lang, term, sum(n)::HUGEINT AS n FROM o GROUP BY lang, term HAVING count(*) >= {sourceaudit.MIN_DOCS}
+), size AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS n FROM kept GROUP BY lang
+), seen AS (SELECT lang, source, term, sum(n)::HUGEINT AS n FROM o GROUP BY ALL
+), cell AS MATERIALIZED (
+  SELECT g.lang, g.source, term, coalesce(s.n, 0)::HUGEINT AS n
+  FROM g JOIN kept USING (lang) LEFT JOIN seen s USING (lang, source, term)
+), total AS (SELECT lang, source, sum(n)::HUGEINT AS n FROM cell GROUP BY ALL
+), p AS MATERIALIZED (
+  SELECT lang, source, term, c.n, 1 + (1000000000::HUGEINT * (c.n + 2)) // (t.n + 2 * v) AS p,
+         1 + (1000000000::HUGEINT * (k.n + 2)) // (z.n + 2 * v) AS q
+  FROM cell c JOIN total t USING (lang, source) JOIN size z USING (lang) JOIN kept k USING (lang, term)
+), sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (((p - q) * (p - q)) // (p + q))::BIGINT FROM p WHERE n > 0 AND p > q
+)
+SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM found
+) WHERE part = 'pair' OR rank <= {sourceaudit.TOP_TERMS}
+"""
+
+
+@query("op11_source_divergence", OP11_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return sourceaudit.audit(documents(spark, folder))
+
+
+def _leaf_sql(chars: str) -> str:
+    """Fields in the order of a leaf; SQL has no length of a text in bytes but that of its blob."""
+    fields = ["doc_id::VARCHAR", "source", "lang", f"({chars})::VARCHAR", "text"]
+    return "sha256(" + " || ".join(f"coalesce(octet_length(encode({x})) || ':' || {x}, '-')" for x in fields) + ")"
+
+
+OP12_SQL = f"""
+WITH RECURSIVE crc AS (
+  SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) ORDER BY b) AS t
+  FROM range(256) r(b)
+), d AS MATERIALIZED (
+  SELECT doc_id, lang, {_leaf_sql("n_chars")} AS leaf, {_leaf_sql("n_chars::HUGEINT + 1")} AS other,
+         xor(4294967295, list_reduce(
+           list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
+           lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]), 4294967295)) % 7 = 0 AS tampered
+  FROM documents, crc
+), n AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY lang) AS size FROM d
+), tree AS (
+  SELECT lang, 0 AS lvl, i, size, leaf AS h FROM n
+  UNION ALL
+  SELECT lang, lvl + 1, i // 2, (any_value(size) + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM tree WHERE size > 1
+  GROUP BY lang, lvl, i // 2
+), nodes AS MATERIALIZED (SELECT * FROM tree
+), sub AS MATERIALIZED (
+  SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, count(*) OVER () AS size FROM nodes WHERE size = 1
+), crown AS (
+  SELECT 0 AS lvl, i, size, h FROM sub
+  UNION ALL
+  SELECT lvl + 1, i // 2, (any_value(size) + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM crown WHERE size > 1 GROUP BY lvl, i // 2
+), tops AS MATERIALIZED (SELECT * FROM crown
+), fold AS (
+  SELECT doc_id, lang, leaf, 0 AS lvl, i, size, CASE WHEN tampered THEN other ELSE leaf END AS x, '' AS sib FROM n
+  UNION ALL
+  SELECT f.doc_id, f.lang, f.leaf, f.lvl + 1, f.i // 2, (f.size + 1) // 2,
+         sha256(CASE WHEN s.h IS NULL THEN x WHEN f.i % 2 = 0 THEN x || s.h ELSE s.h || x END), sib || coalesce(s.h, '')
+  FROM fold f LEFT JOIN nodes s ON s.lang IS NOT DISTINCT FROM f.lang AND s.lvl = f.lvl AND s.i = xor(f.i, 1) WHERE f.size > 1
+), half AS MATERIALIZED (
+  SELECT f.doc_id, f.lang, leaf, sub.h AS subroot, x, sib, sub.i, sub.size
+  FROM fold f JOIN sub ON sub.lang IS NOT DISTINCT FROM f.lang WHERE f.size = 1
+), rise AS (
+  SELECT doc_id, lang, leaf, subroot, 0 AS lvl, i, size, x, sib FROM half
+  UNION ALL
+  SELECT f.doc_id, f.lang, f.leaf, f.subroot, f.lvl + 1, f.i // 2, (f.size + 1) // 2,
+         sha256(CASE WHEN s.h IS NULL THEN x WHEN f.i % 2 = 0 THEN x || s.h ELSE s.h || x END), sib || coalesce(s.h, '')
+  FROM rise f LEFT JOIN tops s ON s.lvl = f.lvl AND s.i = xor(f.i, 1) WHERE f.size > 1
+)
+SELECT doc_id, leaf, subroot, h AS root, sha256(sib) AS proof_sha256, x AS folded_root, x = h AS verified
+FROM rise, (SELECT h FROM tops WHERE size = 1) WHERE rise.size = 1
+"""
+
+
+@query("op12_merkle_manifest", OP12_SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    more = (F.col("n_chars").cast("decimal(20,0)") + 1).alias("n_chars")
+    changed = merkle.leaf([F.col("doc_id"), F.col("source"), F.col("lang"), more, F.col("text")])
+    return merkle.manifest(docs, F.when(held_out(7, 0), changed), paths=False).drop("lang")
+
+
+@query("op13_tournament_packing")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    parts = packing.pieces(documents(spark, folder), public_tokenizers.path(WORD_VOCABULARY))
+    placed = packing.place(parts)
+    return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")

@@ -59,6 +59,16 @@ def small(df: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
 
 
+def bounded(df: DataFrame) -> DataFrame:
+    """Mark a stored table for broadcast if its measured bytes fit; otherwise joins shuffle both sides."""
+    size = F.lit(8 * len(df.columns)).cast("long")
+    for name, kind in df.dtypes:
+        if kind in ("string", "binary"):
+            size = size + F.coalesce(F.octet_length(F.col(name)), F.lit(0))
+    total = df.agg(F.sum(size)).first()[0] or 0
+    return F.broadcast(df) if total <= BROADCAST_BYTES else df
+
+
 def same(left: DataFrame, right: DataFrame, column: str):
     """Join condition on a column that may be null."""
     return left[column].eqNullSafe(right[column])

@@ -18,9 +18,11 @@ in the order of their texts' hash; an empty table gives an empty manifest; other
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
+import unicodedata
 import uuid
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -47,12 +49,39 @@ END = 2
 
 _RUNS = re.compile(rb"[a-z]+|[0-9]|[^a-z0-9]+")
 
+# Normal form, pattern and word end of the vocabularies whose words can be encoded apart.
+BY_WORD = {
+    "normalizer": ["NFC", r"\s+ to ' '", "Lowercase"],
+    "pattern": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+",
+    "end": "</w>",
+}
+
+
+def _by_word(vocabulary: str) -> bool:
+    """Whether a vocabulary works as :data:`BY_WORD` says."""
+    parts = json.loads(vocabulary)
+    steps = (parts.get("normalizer") or {}).get("normalizers") or []
+    names = [f"{x['pattern'].get('Regex')} to '{x['content']}'" if x["type"] == "Replace" else x["type"] for x in steps]
+    before = (parts.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    split = before[0].get("pattern", {}).get("Regex") if before[0].get("invert") else None
+    whole = [x.get("type") for x in before[1:]] == ["ByteLevel"] and not before[1]["add_prefix_space"] and not before[1]["use_regex"]
+    special = all(x["content"].startswith("<") and not any(x[k] for k in ("lstrip", "rstrip", "single_word")) for x in parts["added_tokens"])
+    found = {"normalizer": names, "pattern": split, "end": parts["model"].get("end_of_word_suffix")}
+    return found == BY_WORD and whole and special and not parts.get("post_processor")
+
+
+def _letters_only(text: str) -> bool:
+    """Letters in the form given, the composed and the lower-case one: the pattern takes these as one run."""
+    plain = unicodedata.normalize("NFC", text)
+    return text.isalpha() and plain.isalpha() and all(c.lower().isalpha() for c in plain)
+
 
 class Encoder:
-    """Ids of texts by a word-end BPE vocabulary of the tokenizers library, word by word.
+    """Ids of texts by a vocabulary of the tokenizers library.
 
-    White space always ends a word of this vocabulary, so words are encoded apart, and those seen before are not encoded
-    again.  Runs of letters are handed to the library together: each of them ends with a piece that ends a word.
+    White space always ends a word of a vocabulary like :data:`BY_WORD`, so its words are encoded apart, and those seen before
+    are not encoded again.  Runs of letters are handed to the library together: each of them ends with a piece that ends a
+    word.  With any other vocabulary whole texts are encoded.
     """
 
     def __init__(self, vocabulary: str):
@@ -60,6 +89,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
+        self.by_word = _by_word(vocabulary)
         n = self.tokenizer.get_vocab_size()
         self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(n)])
         self.words: dict[bytes, bytes] = {}
@@ -101,7 +131,7 @@ class Encoder:
                 continue
             text = w.decode()
             stem = text[:-1] if text[-1] in ".," else text
-            if not stem.isalpha():
+            if not _letters_only(stem):
                 rest.append(w)
                 continue
             key = stem.encode()
@@ -118,6 +148,8 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian uint32 ids of each text."""
+        if not self.by_word:
+            return self._ids([text or "" for text in texts])
         out = [[] for _ in texts]
         held, size = [], 0
         for i, text in enumerate(texts):
