@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,100 +26,140 @@ BANDS = [5, 25, 75, 95]
 ALL_MODELS = ("constant", "line", "heating")
 
 
-def _row(model: str, keys: Sequence[str], **cols: Column) -> list[Column]:
+# Columns of a fitted model besides its keys.
+_PARAMS = ("model", "n_params", "n", "mean", "intercept", "slope", "change_point", "sse")
+
+
+def _model(model: str, valid: Column, n, mean, sse, intercept=None, slope=None, change_point=None) -> Column:
+    """One candidate as a struct, null where it has too few rows."""
     blank = F.lit(None).cast("double")
-    return [
-        *[F.col(k) for k in keys],
-        F.lit(model).alias("model"),
-        F.lit(N_PARAMS[model]).alias("n_params"),
-        F.col("n"),
-        F.col("mean"),
-        cols.get("intercept", F.col("mean")).alias("intercept"),
-        cols.get("slope", blank).alias("slope"),
-        cols.get("change_point", blank).alias("change_point"),
-        F.greatest(cols["sse"], F.lit(0.0)).alias("sse"),
+    col = lambda c, other: other if c is None else F.col(c) if isinstance(c, str) else c
+    mean = col(mean, blank)
+    values = [
+        F.lit(model),
+        F.lit(N_PARAMS[model]),
+        col(n, blank),
+        mean,
+        col(intercept, mean),
+        col(slope, blank),
+        col(change_point, blank),
+        F.greatest(col(sse, blank), F.lit(0.0)),
     ]
+    return F.when(valid, F.struct(*[v.alias(name) for v, name in zip(values, _PARAMS, strict=True)]))
 
 
-def fit_constant(df: DataFrame, keys: Sequence[str], value: str, min_rows: int = MIN_ROWS["constant"]) -> DataFrame:
-    """Mean and population deviation."""
-    agg = df.groupBy(*keys).agg(
-        F.count(value).alias("n"), F.avg(value).alias("mean"), (F.var_pop(value) * F.count(value)).alias("sse")
-    )
-    return agg.filter(F.col("n") >= min_rows).select(*_row("constant", keys, sse=F.col("sse")))
+def _constant() -> Column:
+    return _model("constant", F.col("__cn") >= MIN_ROWS["constant"], "__cn", "__cmean", "__csse")
 
 
-def fit_line(df: DataFrame, keys: Sequence[str], value: str, temp: str) -> DataFrame:
-    """Straight line on temperature."""
-    y, x = F.col(value), F.col(temp)
-    agg = df.groupBy(*keys).agg(
-        F.regr_count(y, x).alias("n"),
-        F.avg(F.when(x.isNotNull(), y)).alias("mean"),
-        F.regr_slope(y, x).alias("slope"),
-        F.regr_intercept(y, x).alias("intercept"),
-        (F.regr_syy(y, x) - F.pow(F.regr_sxy(y, x), 2.0) / F.nullif(F.regr_sxx(y, x), F.lit(0.0))).alias("sse"),
+def _line() -> Column:
+    slope = F.col("__sxy") / F.nullif(F.col("__sxx"), F.lit(0.0))
+    valid = (F.col("__n") >= MIN_ROWS["line"]) & slope.isNotNull()
+    return _model("line", valid, "__n", "__mean", F.col("__syy") - slope * F.col("__sxy"), F.col("__mean") - slope * F.col("__tmean"), slope)
+
+
+def _heating() -> Column:
+    return _model(
+        "heating",
+        F.col("__n") >= MIN_ROWS["heating"],
+        "__n",
+        "__mean",
+        "__sse",
+        F.col("__mean") - F.col("__slope") * F.col("__xmean"),
+        "__slope",
+        "__cp",
     )
-    ok = agg.filter((F.col("n") >= MIN_ROWS["line"]) & F.col("slope").isNotNull())
-    return ok.select(*_row("line", keys, sse=F.col("sse"), slope=F.col("slope"), intercept=F.col("intercept")))
 
 
-def _grid_pass(df: DataFrame, keys: Sequence[str], value: str, temp: str, bounds: DataFrame) -> DataFrame:
-    """Best change point of a 20-step grid per key, the start value winning ties.
+def _totals(value: str, temp: str | None) -> dict[str, Column]:
+    """Moments of a group from which its constant and its line follow, and the range of a change point."""
+    y = F.col(value)
+    out = {"__cn": F.count(y), "__cmean": F.avg(y), "__csse": F.var_pop(y) * F.count(y)}
+    if temp is not None:
+        x = F.col(temp)
+        known = F.when(y.isNotNull(), x)
+        out |= {
+            "__n": F.regr_count(y, x),
+            "__mean": F.avg(F.when(x.isNotNull(), y)),
+            "__tmean": F.avg(known),
+            "__syy": F.regr_syy(y, x),
+            "__sxx": F.regr_sxx(y, x),
+            "__sxy": F.regr_sxy(y, x),
+            "__low": F.min(known),
+            "__high": F.max(known),
+        }
+    return out
+
+
+def _bent(cp: Column, n: Column, syy: Column, m: Column, t: Column, tt: Column, y: Column, ty: Column) -> dict[str, Column]:
+    """Line on ``greatest(cp - t, 0)`` of a group of ``n`` rows, from moments of its ``m`` rows below the change point.
 
-    The candidates are an array on each row, so the fits of all candidates are
-    one aggregate with map-side combine; no pairs of rows are formed.
+    ``t`` and ``tt`` are sums of temperatures and their squares from any origin, ``y`` and ``ty`` sums of deviations from the
+    group's mean and of their products.  Written with the mean temperature below, so that few rows lose no digits.
     """
-    step = (F.col("__hi") - F.col("__lo")) / (CHANGE_POINT_STEPS - 1)
-    options = F.array(
-        F.struct(F.lit(0).alias("i"), F.lit(START_CHANGE_POINT).alias("cp")),
-        *[F.struct(F.lit(i + 1).alias("i"), (F.col("__lo") + i * step).alias("cp")) for i in range(CHANGE_POINT_STEPS)],
-    )
-    rows = df.join(bounds, list(keys)).select(
-        *keys, F.col(value).alias("__y"), F.col(temp).alias("__t"), step.alias("__step"), F.inline(options)
-    )
-    x, y = F.greatest(F.col("cp") - F.col("__t"), F.lit(0.0)), F.col("__y")
-    fits = rows.groupBy(*keys, "i").agg(
-        F.first("cp").alias("cp"),
-        F.first("__step").alias("step"),
-        F.count("*").alias("n"),
-        F.avg(y).alias("mean"),
-        F.regr_sxx(y, x).alias("sxx"),
-        F.regr_syy(y, x).alias("syy"),
-        F.regr_sxy(y, x).alias("sxy"),
-        F.avg(x).alias("mean_x"),
-    )
-    flat = F.col("sxx") < 1e-9
-    slope = F.when(flat, F.lit(0.0)).otherwise(F.col("sxy") / F.col("sxx"))
-    fits = fits.withColumn("slope", slope).withColumn("sse", F.col("syy") - F.col("slope") * F.col("sxy"))
-    order = F.struct(F.round(F.col("sse") / F.greatest("syy", F.lit(1e-9)), 9), F.col("i"))
-    best = F.min_by(F.struct("cp", "step", "n", "mean", "slope", "mean_x", "sse"), order).alias("b")
-    return fits.groupBy(*keys).agg(best).select(*keys, "b.*")
+    mid = F.when(m > 0, t / m).otherwise(cp)
+    sx = m * (cp - mid)
+    sxx = m * (cp - mid) * (cp - mid) + (tt - t * mid) - sx * sx / n
+    sxy = y * (cp - mid) + (y * mid - ty)
+    slope = F.when(sxx < 1e-9, F.lit(0.0)).otherwise(sxy / sxx)
+    sse = syy - slope * sxy
+    return {"sse": sse, "slope": slope, "xmean": sx / n, "order": F.round(sse / F.greatest(syy, F.lit(1e-9)), 9)}
 
 
-def fit_heating(df: DataFrame, keys: Sequence[str], value: str, temp: str) -> DataFrame:
-    """Line on the degrees below a change point, found by two grid passes."""
-    known = df.filter(F.col(value).isNotNull() & F.col(temp).isNotNull())
-    bounds = (
-        known.groupBy(*keys)
-        .agg(F.min(temp).alias("__lo"), F.max(temp).alias("__hi"), F.count("*").alias("__n"))
-        .filter(F.col("__n") >= MIN_ROWS["heating"])
-        .drop("__n")
+def _runs(first: Column, last: Column) -> Column:
+    """Whole numbers from ``first`` to ``last``, none if ``last`` is less."""
+    none = F.array().cast("array<int>")
+    return F.when(first <= last, F.sequence(first.cast("int"), last.cast("int"))).otherwise(none)
+
+
+# Candidate that is no step of the grid.
+_START = -1
+
+
+def _grid_pass(df: DataFrame, keys: Sequence[str], value: str, temp: str, groups: DataFrame, low: Column, high: Column) -> DataFrame:
+    """Add the best change point of a 20-step grid to each group; the start value, then the lowest one wins ties.
+
+    A row only says between which two steps it lies: rows are summed by that bin, with map-side combine, and the moments
+    below every candidate are running sums over at most 21 bins.  ``groups`` has :func:`_totals`.
+    """
+    step = (high - low) / (CHANGE_POINT_STEPS - 1)
+    carried = [c for c in groups.columns if c not in keys]
+    rows = df.join(groups.withColumns({"__from": low, "__step": step}), list(keys))
+    t = F.when(F.col(value).isNotNull(), F.col(temp))
+    bin_ = F.least(F.greatest(F.floor((t - F.col("__from")) / F.nullif(F.col("__step"), F.lit(0.0))) + 1, F.lit(0)), F.lit(CHANGE_POINT_STEPS))
+    dt, dy, early = t - F.col("__low"), F.col(value) - F.col("__mean"), t < START_CHANGE_POINT
+    rows = rows.select(
+        *keys, *carried, "__from", "__step", dt.alias("__t"), dy.alias("__y"), early.alias("__early"),
+        F.coalesce(bin_, F.lit(CHANGE_POINT_STEPS)).cast("int").alias("__bin"),
+    )
+    rows = rows.withColumn("__y", F.when(F.col("__t").isNotNull(), F.col("__y")))
+    sums = {"m": F.col("__t") * 0 + 1, "t": F.col("__t"), "tt": F.col("__t") * F.col("__t"), "y": F.col("__y"), "ty": F.col("__t") * F.col("__y")}
+    zero = F.lit(0.0)
+    binned = rows.groupBy(*keys, "__bin").agg(
+        *[F.max(c).alias(c) for c in (*carried, "__from", "__step")],
+        *[F.coalesce(F.sum(v), zero).alias(f"__{c}") for c, v in sums.items()],
+        *[F.coalesce(F.sum(F.when(F.col("__early"), v)), zero).alias(f"__e{c}") for c, v in sums.items()],
     )
-    first = _grid_pass(known, keys, value, temp, bounds)
-    around = first.select(
-        *keys, (F.col("cp") - F.col("step")).alias("__lo"), (F.col("cp") + F.col("step")).alias("__hi")
+    w = Window.partitionBy(*keys)
+    upto = w.orderBy("__bin")
+    running = upto.rowsBetween(Window.unboundedPreceding, 0)
+    binned = binned.withColumns(
+        {f"__{c}": F.sum(f"__{c}").over(running) for c in sums}
+        | {f"__e{c}": F.sum(f"__e{c}").over(w) for c in sums}
+        | {"__next": F.coalesce(F.lead("__bin").over(upto), F.lit(CHANGE_POINT_STEPS)), "__first": F.row_number().over(upto) == 1}
     )
-    best = _grid_pass(known, keys, value, temp, around)
-    return best.select(
-        *_row(
-            "heating",
-            keys,
-            sse=F.col("sse"),
-            slope=F.col("slope"),
-            intercept=F.col("mean") - F.col("slope") * F.col("mean_x"),
-            change_point=F.col("cp"),
-        )
+    start = F.when(F.col("__first"), F.array(F.lit(_START))).otherwise(F.array().cast("array<int>"))
+    options = F.concat(start, _runs(F.col("__bin"), F.col("__next") - 1))
+    options = binned.withColumn("__i", F.explode(options))
+    own = F.col("__i") == _START
+    cp = F.when(own, F.lit(START_CHANGE_POINT)).otherwise(F.col("__from") + F.col("__i") * F.col("__step"))
+    moments = [F.when(own, F.col(f"__e{c}")).otherwise(F.col(f"__{c}")) for c in sums]
+    fits = _bent(cp - F.col("__low"), F.col("__n"), F.col("__syy"), *moments)
+    best = F.min_by(
+        F.struct(*carried, F.col("__step"), cp.alias("__cp"), *[fits[c].alias(f"__{c}") for c in ("sse", "slope", "xmean")]),
+        F.struct(fits["order"], F.col("__i")),
     )
+    return options.groupBy(*keys).agg(best.alias("b")).select(*keys, "b.*")
 
 
 def fit(
@@ -128,14 +167,37 @@ def fit(
 ) -> DataFrame:
     """All candidate models per key, one row each; models with too few rows are left out.
 
-    ``df`` is read once per candidate and pass: pass a stored table.
+    ``df`` is read once, and twice more for a change point: pass a stored table then.
     """
-    made = {
-        "constant": lambda: fit_constant(df, keys, value),
-        "line": lambda: fit_line(df, keys, value, temp),
-        "heating": lambda: fit_heating(df, keys, value, temp),
-    }
-    return reduce(DataFrame.unionByName, [made[c]() for c in candidates])
+    groups = df.groupBy(*keys).agg(*[c.alias(name) for name, c in _totals(value, None if tuple(candidates) == ("constant",) else temp).items()])
+    if "heating" in candidates:
+        groups = _grid_pass(df, keys, value, temp, groups, F.col("__low"), F.col("__high"))
+        last = ["__step", "__cp", "__sse", "__slope", "__xmean"]
+        around = groups.withColumnsRenamed({"__step": "__width", "__cp": "__at"}).drop(*last)
+        low, high = F.col("__at") - F.col("__width"), F.col("__at") + F.col("__width")
+        groups = _grid_pass(df, keys, value, temp, around, low, high)
+    return _candidates(groups, keys, candidates)
+
+
+def _candidates(groups: DataFrame, keys: Sequence[str], candidates: Sequence[str]) -> DataFrame:
+    made = {"constant": _constant, "line": _line, "heating": _heating}
+    models = F.filter(F.array(*[made[c]() for c in candidates]), lambda m: m.isNotNull())
+    return groups.select(*keys, F.explode(models).alias("m")).select(*keys, "m.*")
+
+
+def fit_constant(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Mean and population deviation."""
+    return fit(df, keys, value)
+
+
+def fit_line(df: DataFrame, keys: Sequence[str], value: str, temp: str) -> DataFrame:
+    """Straight line on temperature."""
+    return fit(df, keys, value, temp, ("line",))
+
+
+def fit_heating(df: DataFrame, keys: Sequence[str], value: str, temp: str) -> DataFrame:
+    """Line on the degrees below a change point, found by two grid passes."""
+    return fit(df, keys, value, temp, ("heating",))
 
 
 def fit_quality(params: DataFrame, form: str = "v1") -> DataFrame:
@@ -160,21 +222,21 @@ def select_model(params: DataFrame, keys: Sequence[str], criterion: str = "aic",
     return scored.groupBy(*keys).agg(best).select(*keys, "b.*")
 
 
-def predicted(temp: str | None = None) -> Column:
-    """Prediction from the parameter columns of a selected model."""
-    base = F.col("intercept")
+def _prediction(of: str, temp: str | None = None) -> str:
+    """SQL text of a prediction from the parameters of the model ``of``."""
     if temp is None:
-        return base
-    t = F.col(temp)
+        return f"{of}intercept"
     return (
-        F.when(F.col("model") == "constant", base)
-        .when(F.col("model") == "line", base + F.col("slope") * t)
-        .when(
-            F.col("model") == "heating", base + F.col("slope") * F.greatest(F.col("change_point") - t, F.lit(0.0))
-        )
+        f"CASE {of}model WHEN 'constant' THEN {of}intercept WHEN 'line' THEN {of}intercept + {of}slope * `{temp}` "
+        f"WHEN 'heating' THEN {of}intercept + {of}slope * greatest({of}change_point - `{temp}`, 0D) END"
     )
 
 
+def predicted(temp: str | None = None) -> Column:
+    """Prediction from the parameter columns of a selected model."""
+    return F.expr(_prediction("", temp))
+
+
 def predict(df: DataFrame, params: DataFrame, keys: Sequence[str], temp: str | None = None, fallback: str | None = None) -> DataFrame:
     """Add ``prediction``; rows without model get null, or the column named by ``fallback``."""
     cols = ["model", "intercept", "slope", "change_point"]
@@ -247,6 +309,140 @@ def next_month_model(df: DataFrame, keys: Sequence[str], time: str, value: str)
 # --- backtest --------------------------------------------------------------------
 
 
+def _fold_totals(rows: DataFrame, group: Sequence[str], folds: int, value: str, temp: str | None) -> DataFrame:
+    """Moments of each fold's training rows, those of later blocks, as running sums over at most ``folds + 1`` blocks.
+
+    ``rows`` have ``__block``, ``__last`` and the origins ``__c`` and ``__o`` of value and temperature.
+    """
+    y = F.col(value) - F.col("__c")
+    sums = {"cn": F.count(y).cast("double"), "cy": F.sum(y), "cyy": F.sum(y * y)}
+    if temp is not None:
+        x = F.col(temp) - F.col("__o")
+        x, both = F.when(y.isNotNull(), x), F.when(F.col(temp).isNotNull(), y)
+        sums |= {"n": F.count(x).cast("double"), "x": F.sum(x), "xx": F.sum(x * x), "y": F.sum(both), "yy": F.sum(both * both), "xy": F.sum(x * both)}
+        ends = {"low": F.min(x), "high": F.max(x)}
+    else:
+        ends = {}
+    origins = ["__c", "__o", "__last"]
+    blocks = rows.groupBy(*group, "__block").agg(
+        *[F.max(c).alias(c) for c in origins], *[F.coalesce(v, F.lit(0.0)).alias(f"__{c}") for c, v in sums.items()], *[v.alias(f"__{c}") for c, v in ends.items()]
+    )
+    back = Window.partitionBy(*group).orderBy(F.desc("__block"))
+    later = back.rowsBetween(Window.unboundedPreceding, 0)
+    merged = blocks.withColumns(
+        {f"__{c}": F.sum(f"__{c}").over(later) for c in sums}
+        | ({"__low": F.min("__low").over(later), "__high": F.max("__high").over(later)} if ends else {})
+        | {"__before": F.coalesce(F.lead("__block").over(back), F.lit(0))}
+    )
+    # Folds from the block before up to this one train on the same rows of this group.
+    first, last = F.greatest("__before", F.lit(1)), F.least(F.col("__block") - 1, "__last")
+    merged = merged.withColumn("fold", F.explode(_runs(first, last)))
+    mean = F.col("__cy") / F.nullif(F.col("__cn"), F.lit(0.0))
+    out = {"__cmean": F.col("__c") + mean, "__csse": F.col("__cyy") - F.col("__cy") * mean, "__cn": F.col("__cn").cast("long")}
+    if temp is not None:
+        n = F.nullif(F.col("__n"), F.lit(0.0))
+        out |= {
+            "__mean": F.col("__c") + F.col("__y") / n,
+            "__tmean": F.col("__o") + F.col("__x") / n,
+            "__syy": F.col("__yy") - F.col("__y") * F.col("__y") / n,
+            "__sxx": F.col("__xx") - F.col("__x") * F.col("__x") / n,
+            "__sxy": F.col("__xy") - F.col("__x") * F.col("__y") / n,
+            "__low": F.col("__o") + F.col("__low"),
+            "__high": F.col("__o") + F.col("__high"),
+            "__n": F.col("__n").cast("long"),
+        }
+    return merged.select(*group, "fold", *[v.alias(c) for c, v in out.items()])
+
+
+def _fold_bends(rows: DataFrame, group: Sequence[str], folds: int, value: str, temp: str, grids: DataFrame) -> DataFrame:
+    """Best change point of each fold on its own 20-step grid.
+
+    Within a group, ordered by temperature, each row holds the moments of all rows up to it, once for each fold; it answers
+    the candidates between itself and the next row.  ``grids``: group, ``fold``, ``__n``, ``__mean``, ``__syy``, ``__from``,
+    ``__step``.
+    """
+    wanted = ["fold", "__n", "__mean", "__syy", "__from", "__step"]
+    ready = grids.filter(F.col("__n") >= MIN_ROWS["heating"])
+    ready = ready.groupBy(*group).agg(F.map_from_entries(F.collect_list(F.struct("fold", F.struct(*wanted)))).alias("__grids"))
+    known = rows.filter(F.col(value).isNotNull() & F.col(temp).isNotNull()).join(ready, list(group))
+    known = known.withColumns({"__at": F.col(temp), "__t": F.col(temp) - F.col("__o"), "__y": F.col(value) - F.col("__c")})
+    by_temp = Window.partitionBy(*group).orderBy("__at")
+    known = known.withColumns({"__next": F.lead("__at").over(by_temp), "__first": F.row_number().over(by_temp) == 1})
+    # Many expressions, one for each fold: as text they are made several times faster than from columns.
+    window = f"PARTITION BY {', '.join(f'`{c}`' for c in group)} ORDER BY __at ROWS UNBOUNDED PRECEDING"
+    sums = {"m": "1D", "t": "__t", "tt": "__t * __t", "y": "__y", "ty": "__t * __y"}
+    below = {
+        f"__{c}{f}": F.expr(f"coalesce(sum(CASE WHEN __block > {f} THEN {v} END) OVER ({window}), 0D)")
+        for f in range(1, folds + 1)
+        for c, v in sums.items()
+    }
+    known = known.withColumns(below)
+    found = ", ".join(_answers(f"__grids[{f}]", {c: f"__{c}{f}" for c in sums}) for f in range(1, folds + 1))
+    tied = F.coalesce(F.col("__next") > F.col("__at"), F.lit(True))  # of equal temperatures the last row has them all
+    options = known.filter(tied | F.col("__first")).select(*group, "__c", "__o", F.expr(f"explode(concat({found}))").alias("x"))
+    g, s = F.col("x.g"), F.col("x.s")
+    cp = F.when(F.col("x.i") == _START, F.lit(START_CHANGE_POINT)).otherwise(g["__from"] + F.col("x.i") * g["__step"])
+    off = g["__mean"] - F.col("__c")
+    fits = _bent(cp - F.col("__o"), g["__n"], g["__syy"], s["m"], s["t"], s["tt"], s["y"] - s["m"] * off, s["ty"] - s["t"] * off)
+    best = F.min_by(
+        F.struct(cp.alias("__cp"), g["__step"].alias("__width"), *[fits[c].alias(f"__{c}") for c in ("sse", "slope", "xmean")]),
+        F.struct(fits["order"], F.col("x.i")),
+    )
+    return options.groupBy(*group, g["fold"].alias("fold")).agg(best.alias("b")).select(*group, "fold", "b.*")
+
+
+def _answers(grid: str, sums: dict[str, str]) -> str:
+    """Candidates of a grid between a row and the next one, with the moments up to the row.
+
+    The first row of a group also answers for a start value at or below it, which has no rows below.
+    """
+    place = lambda at: f"floor(({at} - {grid}.__from) / nullif({grid}.__step, 0D))"
+    last = CHANGE_POINT_STEPS - 1
+    first, final = f"int(greatest({place('__at')} + 1, 0))", f"int(if(__next IS NULL, {last}, least({place('__next')}, {last})))"
+    steps = f"if({first} <= {final}, sequence({first}, {final}), CAST(array() AS ARRAY<INT>))"
+    empty = f"__first AND __at >= {START_CHANGE_POINT}"
+    held = f"__at < {START_CHANGE_POINT} AND coalesce(__next >= {START_CHANGE_POINT}, true)"
+    start = f"if(({held}) OR ({empty}), array({_START}), CAST(array() AS ARRAY<INT>))"
+    values = ", ".join(f"'{c}', if(i = {_START} AND {empty}, 0D, {v})" for c, v in sums.items())
+    steps = f"coalesce({steps}, CAST(array() AS ARRAY<INT>))"
+    one = f"named_struct('g', {grid}, 'i', i, 's', named_struct({values}))"
+    return f"if({grid} IS NULL, array(), transform(concat({start}, {steps}), i -> {one}))"
+
+
+def _fold_params(rows: DataFrame, group: Sequence[str], folds: int, value: str, temp: str | None, candidates: Sequence[str], form: str) -> DataFrame:
+    """The chosen model of each group and fold."""
+    totals = _fold_totals(rows, group, folds, value, None if tuple(candidates) == ("constant",) else temp)
+    on = [*group, "fold"]
+    if "heating" in candidates:
+        step = lambda low, high: (high - low) / (CHANGE_POINT_STEPS - 1)
+        low, high = F.col("__low"), F.col("__high")
+        grid = totals.withColumns({"__from": low, "__step": step(low, high)})
+        first = _fold_bends(rows, group, folds, value, temp, grid)
+        low, high = F.col("__cp") - F.col("__width"), F.col("__cp") + F.col("__width")
+        grid = totals.join(first.select(*on, low.alias("__from"), step(low, high).alias("__step")), on)
+        best = _fold_bends(rows, group, folds, value, temp, grid)
+        totals = totals.join(best, on, "left")
+    params = _candidates(totals, on, candidates)
+    return select_model(params, on, form=form) if len(candidates) > 1 else params
+
+
+# Values of a sorted array that one step of a search looks at.
+_SEARCH = 128
+
+
+def _ranks(ordered: Column, heads: Column, value: Column) -> Column:
+    """Percentile of score of ``value`` among a sorted array with the heads of its runs of ``_SEARCH`` values."""
+
+    def count(keep) -> Column:
+        runs = F.size(F.filter(heads, keep))
+        start = F.greatest(runs - 1, F.lit(0)) * _SEARCH
+        return start + F.size(F.filter(F.slice(ordered, start + 1, _SEARCH), keep))
+
+    below, upto = count(lambda x: x < value), count(lambda x: x <= value)
+    n = F.nullif(F.size(ordered), F.lit(0))
+    return F.when(value.isNotNull(), (below + upto + F.when(upto > below, 1).otherwise(0)) * 50 / n)
+
+
 def backtest(
     df: DataFrame,
     keys: Sequence[str],
@@ -264,38 +460,58 @@ def backtest(
     """Rolling-origin backtest: for each of the last ``folds`` windows of ``width`` rows,
     fit on everything before, predict the window, add bands and residual scores.
 
-    ``df`` is read several times: pass a stored table.  A training row appears once per fold it belongs to (at most ``folds``
-    times); folds need more than ``width`` training rows.
+    No row is copied for a fold.  The folds train on nested sets of rows, so that their moments are running sums over blocks
+    of ``width`` rows; a row has one residual for each fold, as a column; bands and the sorted residuals that scores look up
+    are one aggregate each.  A series and its slots are bounded by their calendar grid.  ``df`` is read several times: pass a
+    stored table.  Folds need more than ``width`` training rows.
     """
+    group = [*keys, slot]
     whole = Window.partitionBy(*keys)
-    ranked = df.withColumns(
-        {"__rn": F.row_number().over(whole.orderBy(F.desc(time))), "__size": F.count("*").over(whole)}
-    )
-    usable = lambda fold: F.col("__size") - width * fold > width
-    top = F.least(F.lit(folds), F.floor((F.col("__rn") - 1) / width).cast("int"))
-    train = (
-        ranked.filter(top >= 1)
-        .withColumn("fold", F.explode(F.sequence(F.lit(1), top)))
-        .filter(usable(F.col("fold")))
+    block = F.least(F.ceil(F.row_number().over(whole.orderBy(F.desc(time))) / width), F.lit(folds + 1)).cast("int")
+    last = F.least(F.ceil(F.count("*").over(whole) / width) - 2, F.lit(folds)).cast("int")
+    in_slot = Window.partitionBy(*group)
+    origin = F.min(temp).over(in_slot) if temp else F.lit(0.0)
+    rows = df.withColumns({"__block": block, "__last": last}).withColumns({"__c": F.avg(value).over(in_slot), "__o": origin})
+    params = _fold_params(rows, group, folds, value, temp, candidates, form)
+    model = F.struct("fold", F.struct("model", "intercept", "slope", "change_point"))
+    models = params.groupBy(*group).agg(F.map_from_entries(F.collect_list(model)).alias("__models"))
+    fitted = rows.join(models, group, "left")
+    predict = lambda f: _prediction(f"__models[{f}].", temp)
+    residual = lambda f: f"round(`{value}` - ({predict(f)}), {digits})"
+    fitted = fitted.withColumns(
+        {f"__r{f}": F.expr(f"CASE WHEN __block > {f} AND __last >= {f} THEN {residual(f)} END") for f in range(1, folds + 1)}
     )
-    test = ranked.withColumn("fold", F.ceil(F.col("__rn") / width).cast("int")).filter(
-        (F.col("fold") <= folds) & usable(F.col("fold"))
-    )
-    group = [*keys, "fold", slot]
-    params = fit(train, group, value, temp, candidates)
-    if len(candidates) > 1:
-        params = select_model(params, group, form=form)
-    residual = F.round(F.col(value) - F.col("prediction"), digits)
-    columns = [*group, time, value, "prediction", "model", "residual"]
-    known = predict(train, params, group, temp).withColumn("residual", residual).filter("residual is not null")
-    ahead = predict(test, params, group, temp).withColumn("residual", residual).select(*columns)
-    bands = residual_bands(known, group, "residual")
-    scored = score_percentile(known, ahead, group if score_by_slot else [*keys, "fold"], "residual")
-    scored = scored.withColumn("score", F.when(F.col("residual").isNotNull(), F.col("score")))
-    out = scored.join(bands, group, "left")
-    for b in BANDS:
-        out = out.withColumn(f"p{b}", F.col("prediction") + F.col(f"r{b}")).drop(f"r{b}")
-    return out
+    test = F.struct(
+        F.col("__block").alias("fold"), time, value, *([temp] if temp else []), slot,
+        F.expr(predict("__block")).alias("prediction"),
+        F.expr("coalesce(__models[__block].model, 'none')").alias("model"),
+        F.expr(residual("__block")).alias("residual"),
+    )
+    tested = F.col("__block") <= F.col("__last")
+    probs = F.array(*[F.lit(b / 100) for b in BANDS])
+    # Percentiles of a slot are bounded by its weeks.
+    bands = F.array(*[F.percentile(f"__r{f}", probs) for f in range(1, folds + 1)])
+    lists = F.array(*[F.sort_array(F.collect_list(f"__r{f}")) for f in range(1, folds + 1)])
+    tests = F.collect_list(F.when(tested, test)).alias("__tests")
+    if score_by_slot:
+        found = fitted.groupBy(*group).agg(tests, bands.alias("__bands"), lists.alias("__lists"))
+        with_band = _with_band("__tests")
+    else:
+        slots = fitted.groupBy(*group).agg(tests, bands.alias("__bands")).select(*keys, _with_band("__tests").alias("t"))
+        of_key = slots.groupBy(*keys).agg(F.flatten(F.collect_list("t")).alias("t"))
+        found = of_key.join(fitted.groupBy(*keys).agg(lists.alias("__lists")), list(keys))
+        with_band = F.col("t")
+    heads = F.transform("__lists", lambda x: F.transform(_runs(F.lit(0), F.ceil(F.size(x) / _SEARCH) - 1), lambda k: x[k * _SEARCH]))
+    found = found.withColumn("__heads", heads).withColumn("t", with_band)
+    pick = lambda c, f: F.col(c)[f - 1]
+    scores = F.transform("t", lambda x: _ranks(pick("__lists", x["t"]["fold"]), pick("__heads", x["t"]["fold"]), x["t"]["residual"]))
+    out = found.select(*keys, F.explode(F.arrays_zip(F.col("t"), scores.alias("score"))).alias("z"))
+    out = out.select(*keys, "z.t.t.*", F.col("z.score").alias("score"), F.col("z.t.band").alias("__band"))
+    return out.select("*", *[(F.col("prediction") + F.col("__band")[i]).alias(f"p{b}") for i, b in enumerate(BANDS)]).drop("__band")
+
+
+def _with_band(tests: str) -> Column:
+    return F.transform(tests, lambda x: F.struct(x.alias("t"), F.col("__bands")[x["fold"] - 1].alias("band")))
 
 
 def smooth_band(df: DataFrame, keys: Sequence[str], time: str, value: str, out: str, floor: float = -10.0) -> DataFrame:

@@ -569,22 +569,22 @@ def _backtest_sql(src: str, keys: str, time: str, width: int, folds: int, by_slo
     group = f"{keys}, fold, slot"
     fit_members = (
         f"{_heating_sql('train', group, 'h')}, allm AS ({_constant_sql('train', group)} UNION ALL "
-        f"{_line_sql('train', group)} UNION ALL SELECT * FROM h), best AS ({_best_sql('allm', group, aic)})"
+        f"{_line_sql('train', group)} UNION ALL SELECT * FROM h), best AS MATERIALIZED ({_best_sql('allm', group, aic)})"
         if full
-        else f"best AS ({_constant_sql('train', group)})"
+        else f"best AS MATERIALIZED ({_constant_sql('train', group)})"
     )
     score_on = f"({group})" if by_slot else f"({keys}, fold)"
     same = "AND x.slot = t.slot" if by_slot else ""
     temp = ", temperature" if full else ", CAST(NULL AS DOUBLE) AS temperature"
-    return f"""WITH src AS ({src}),
-      ranked AS (SELECT {keys}, {time}, slot, value{temp}, row_number() OVER (PARTITION BY {keys} ORDER BY {time} DESC) AS rn,
+    return f"""WITH src AS MATERIALIZED ({src}),
+      ranked AS MATERIALIZED (SELECT {keys}, {time}, slot, value{temp}, row_number() OVER (PARTITION BY {keys} ORDER BY {time} DESC) AS rn,
         count(*) OVER (PARTITION BY {keys}) AS size FROM src),
       ex AS (SELECT *, unnest(range(1, {folds} + 1)) AS fold FROM ranked),
-      train AS (SELECT * FROM ex WHERE rn > {width} * fold AND size - {width} * fold > {width}),
-      test AS (SELECT * FROM ex WHERE rn > {width} * (fold - 1) AND rn <= {width} * fold AND size - {width} * fold > {width}),
+      train AS MATERIALIZED (SELECT * FROM ex WHERE rn > {width} * fold AND size - {width} * fold > {width}),
+      test AS MATERIALIZED (SELECT * FROM ex WHERE rn > {width} * (fold - 1) AND rn <= {width} * fold AND size - {width} * fold > {width}),
       {fit_members},
-      known AS (SELECT train.*, round(value - ({_PRED}), 9) AS residual FROM train JOIN best USING ({group})),
-      ahead AS (SELECT test.*, {_PRED} AS prediction, round(value - ({_PRED}), 9) AS residual
+      known AS MATERIALIZED (SELECT train.*, round(value - ({_PRED}), 9) AS residual FROM train JOIN best USING ({group})),
+      ahead AS MATERIALIZED (SELECT test.*, {_PRED} AS prediction, round(value - ({_PRED}), 9) AS residual
         FROM test LEFT JOIN best USING ({group})),
       bands AS (SELECT {group}, {_BANDSQL} FROM known GROUP BY {group}),
       ordered AS (SELECT {group}, residual, 1 AS t, CAST(NULL AS {"TIMESTAMP" if time == "hour" else "DATE"}) AS {time} FROM known UNION ALL
@@ -647,6 +647,21 @@ def m17(spark, folder):
     return out.select("unit", text("day"), whole("fold"), *[r4(c) for c in _SHOW])
 
 
+@query(
+    "m17_backtest_week_slots",
+    _backtest_sql(
+        f"SELECT energy, hour, value, temperature, {HSLOT} AS slot FROM energy_model",
+        "energy", "hour", 168, 16, True, _backtest_tail("energy", "hour", f"strftime(hour, {TS})"), True, _AIC2,
+    ),
+)
+def m17w(spark, folder):
+    rows = stored(hour_slot(energy_model(spark, folder)))
+    out = models.backtest(
+        rows, ["energy"], "hour", "value", "slot", 168, 16, "temperature", models.ALL_MODELS, "v2", score_by_slot=True
+    )
+    return out.select("energy", stamp("hour"), whole("fold"), *[r4(c) for c in _SHOW])
+
+
 # Which candidate models a series gets, by resolution and energy type.
 WATER = "view"  # the energy type that plays water here
 
