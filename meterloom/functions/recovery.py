@@ -1,8 +1,9 @@
-"""Cutting lineage in loops so that lost executors do not undo earlier rounds."""
+"""Cutting lineage so that lost executors do not undo what is done, and nothing is computed twice."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +27,12 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """Write a table once as Parquet to the shared folder and go on from its files.
+
+    Unlike a checkpoint of rows this runs the plan once, later steps read only
+    the columns that they need, and joins know the size of the table.
+    """
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    schema = df.schema
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)

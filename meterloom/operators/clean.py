@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from functools import reduce
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -199,36 +198,69 @@ def increasing_times(
     return top.filter(F.col("__m").isNull() | (F.col(time) > F.col("__m"))).drop("__m")
 
 
+def _limits(rows: DataFrame, keys: Sequence[str], value: str, sd_limit: float, allow_negative: bool) -> DataFrame:
+    """``__low``, ``__high`` and the number of values of each key; null limits remove nothing."""
+    stats = rows.groupBy(*keys).agg(F.avg(value).alias("__m"), F.stddev_pop(value).alias("__s"), F.count(value).alias("__n"))
+    low = F.col("__m") - sd_limit * F.col("__s")
+    low = low if allow_negative else F.greatest(low, F.lit(0.0))
+    return stats.select(*keys, low.alias("__low"), (F.col("__m") + sd_limit * F.col("__s")).alias("__high"), "__n")
+
+
+def _beyond(value: str) -> Column:
+    return F.coalesce((F.col(value) < F.col("__low")) | (F.col(value) > F.col("__high")), F.lit(False))
+
+
 def remove_extremes(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    sd_limit: float,
-    allow_negative: bool = True,
-    prepare: Callable[[DataFrame], DataFrame] | None = None,
+    df: DataFrame, keys: Sequence[str], value: str, sd_limit: float, allow_negative: bool = True
 ) -> DataFrame:
     """Drop rows outside mean +- ``sd_limit`` population deviations until nothing changes.
 
-    ``prepare`` recomputes ``value`` at the start of every round, because a rate
-    depends on the reading before it.  Only keys that lost a row go into the next
-    round, each of them with at least one row less, so the loop ends and its
-    rounds get small quickly.  Null values stay.
+    What is left of a key after some rounds is an interval of its values, so a
+    round is known by one row for each key and applied to ``df`` as a filter;
+    no round writes more than that.  A key is done when its interval holds as
+    many values as the one before.  Null values stay, rows with a null key go.
+    """
+    state = cut_lineage(_limits(df, keys, value, sd_limit, allow_negative).withColumn("__open", F.col("__n") > 0))
+    while not state.filter("__open").isEmpty():
+        left = df.join(state.filter("__open").select(*keys, "__low", "__high"), list(keys)).filter(~_beyond(value))
+        after = _limits(left, keys, value, sd_limit, allow_negative)
+        after = after.withColumnsRenamed({"__low": "__low2", "__high": "__high2", "__n": "__n2"})
+        fewer = F.col("__open") & (F.col("__n2") < F.col("__n"))
+        state = cut_lineage(
+            state.join(after, list(keys), "left").select(
+                *keys,
+                F.when(fewer, F.greatest("__low", "__low2")).otherwise(F.col("__low")).alias("__low"),
+                F.when(fewer, F.least("__high", "__high2")).otherwise(F.col("__high")).alias("__high"),
+                F.when(fewer, F.col("__n2")).otherwise(F.col("__n")).alias("__n"),
+                F.coalesce(fewer, F.lit(False)).alias("__open"),
+            )
+        )
+    return df.join(state.select(*keys, "__low", "__high"), list(keys)).filter(~_beyond(value)).drop("__low", "__high")
+
+
+def remove_extreme_rates(
+    df: DataFrame, keys: Sequence[str], time: str, value: str, sd_limit: float, chunk: Column | None = None
+) -> DataFrame:
+    """Drop rows whose consumption rate is below 0 or outside mean +- ``sd_limit`` population deviations until nothing changes.
+
+    A rate depends on the reading before it, so what a round has removed is kept
+    as a list of (key, time), and a round writes no more than its part of that
+    list.  Only series that lost a row in the first round are set aside for the
+    next ones, each of which reads those that the one before took some from.
     """
-    current, finished = df, []
+    removed, work = None, df.select(*keys, time, value)
     while True:
-        judged = prepare(current) if prepare else current
-        stats = judged.groupBy(*keys).agg(F.avg(value).alias("__m"), F.stddev_pop(value).alias("__s"))
-        low = F.col("__m") - sd_limit * F.col("__s")
-        low = low if allow_negative else F.greatest(low, F.lit(0.0))
-        high = F.col("__m") + sd_limit * F.col("__s")
-        bad = F.coalesce((F.col(value) < low) | (F.col(value) > high), F.lit(False))
-        judged = cut_lineage(judged.join(stats, list(keys)).withColumn("__bad", bad).drop("__m", "__s"))
-        changed = judged.filter("__bad").select(*keys).distinct()
-        if changed.isEmpty():
-            finished.append(judged.drop("__bad"))
-            return reduce(DataFrame.unionByName, finished)
-        finished.append(judged.join(changed, list(keys), "left_anti").drop("__bad"))
-        current = judged.filter("not __bad").join(changed, list(keys), "left_semi").drop("__bad")
+        left = work if removed is None else work.join(removed, [*keys, time], "left_anti")
+        judged = consumption_rates(left, keys, time, value, chunk)
+        limits = _limits(judged, keys, "rate", sd_limit, allow_negative=False).drop("__n")
+        bad = cut_lineage(judged.join(limits, list(keys)).filter(_beyond("rate")).select(*keys, time))
+        if bad.isEmpty():
+            return df if removed is None else df.join(removed, [*keys, time], "left_anti")
+        turn = bad.select(*keys).distinct()
+        work = work.join(turn, list(keys), "left_semi")
+        if removed is None:
+            work = cut_lineage(work)
+        removed = bad if removed is None else removed.unionByName(bad)
 
 
 def consumption_rates(
@@ -253,12 +285,10 @@ def clean_series(
     arrival_chunk: Column | None = None,
 ) -> DataFrame:
     """Dates, ends and extremes in one go; temperature is judged by value, others by rate."""
-    ordered = increasing_times(df, keys, arrival, time, arrival_chunk)
-    body = trim_ends(ordered, keys, time, chunk=chunk)
+    body = trim_ends(increasing_times(df, keys, arrival, time, arrival_chunk), keys, time, chunk=chunk)
     if commodity == "temperature":
         return remove_extremes(body, keys, value, sd_limit)
-    rate = lambda rows: consumption_rates(rows, keys, time, value, chunk)
-    return remove_extremes(body, keys, "rate", sd_limit, allow_negative=False, prepare=rate).drop("rate")
+    return remove_extreme_rates(body, keys, time, value, sd_limit, chunk)
 
 
 # --- bills -------------------------------------------------------------------

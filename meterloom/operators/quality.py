@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from meterloom.functions.ordered import Step, ordered_scan
 from meterloom.functions.quantiles import exact_percentiles
+from meterloom.functions.recovery import cut_lineage
 
 # A bill is a gap when both ratios exceed this; ratios of use are capped.
 GAP_RATIO = 1.7
@@ -64,11 +65,13 @@ def bill_gap_statistics(df: DataFrame, keys: Sequence[str], min_bills: int = 3)
 
 
 def medians_and_modes(rows: DataFrame, keys: Sequence[str], value: str, prefix: str) -> DataFrame:
-    """Exact median and smallest mode per series."""
-    from meterloom.functions.ordered import most_frequent
-
-    median = exact_percentiles(rows, keys, value, [0.5], [f"{prefix}_median"])
-    return median.join(most_frequent(rows, keys, value, f"{prefix}_mode"), list(keys))
+    """Exact median, smallest mode and mean per series, from the counts of its distinct values."""
+    known = rows.filter(F.col(value).isNotNull())
+    counts = cut_lineage(known.groupBy(*keys, value).agg(F.count("*").alias("__n")))
+    median = exact_percentiles(counts, keys, value, [0.5], [f"{prefix}_median"], weight="__n")
+    mode = F.min_by(value, F.struct(-F.col("__n"), F.col(value))).alias(f"{prefix}_mode")
+    mean = (F.sum(F.col(value) * F.col("__n")) / F.sum("__n")).alias(f"{prefix}_mean")
+    return median.join(counts.groupBy(*keys).agg(mode, mean), list(keys))
 
 
 def removed_share(df: DataFrame, flag: str, keys: Sequence[str] = ()) -> DataFrame:

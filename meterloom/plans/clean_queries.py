@@ -19,6 +19,7 @@ from meterloom.plans.shared import (
     r4,
     series,
     stamp,
+    stored,
     text,
     whole,
 )
@@ -346,7 +347,7 @@ _EXTREMES = "WITH r0 AS (SELECT energy, hour, value FROM energy_hourly), " + ",
 
 @query("w20_remove_extremes", _EXTREMES + f" SELECT energy, strftime(hour, {TS}) AS hour, r4(value) AS value FROM r{ROUNDS}")
 def w20(spark, folder):
-    out = clean.remove_extremes(energy_hourly(spark, folder), ["energy"], "value", ZLIMIT)
+    out = clean.remove_extremes(stored(energy_hourly(spark, folder)), ["energy"], "value", ZLIMIT)
     return out.select("energy", stamp("hour"), r4("value"))
 
 

@@ -62,10 +62,9 @@ def a30(spark, folder):
       r4(avg(days)) AS days_mean FROM d JOIN m USING (device) WHERE days IS NOT NULL GROUP BY device""",
 )
 def a30_medians(spark, folder):
-    rows = stored(quality.bill_gap_statistics(_bill_rows(spark, folder), ["device"]))
+    rows = quality.bill_gap_statistics(_bill_rows(spark, folder), ["device"])
     out = quality.medians_and_modes(rows, ["device"], "days", "days")
-    means = rows.filter("days is not null").groupBy("device").agg(F.avg("days").alias("days_mean"))
-    return out.join(means, "device").select("device", r4("days_median"), "days_mode", r4("days_mean"))
+    return out.select("device", r4("days_median"), "days_mode", r4("days_mean"))
 
 
 @query(
