@@ -95,55 +95,79 @@ def interpolate(
     return scanned.withColumn(out, filled).drop("__l", "__n")
 
 
+def merge_counters(
+    tops: DataFrame, keys: Sequence[str], device: str, time: str, counter: str, out: str, from_zero: bool = False
+) -> DataFrame:
+    """One counter of all devices of a key from their highest readings per bin (keys, device, time, counter).
+
+    Each device's counter is a step function; its movements since its own bin
+    before are added by time, and the sums are cumulated.  A device's series and
+    that of the key are bounded by the calendar, whatever the number of devices.
+    The first bin of a device is its base, or a movement ``from_zero``.
+    """
+    known = tops.filter(F.col(counter).isNotNull())
+    near = ordered_scan(known, [*keys, device], [time], [Step("__p", "prev", F.col(counter))])
+    base = F.lit(0.0) if from_zero else F.col(counter)
+    moved = near.withColumn("__m", F.col(counter) - F.coalesce("__p", base))
+    sums = moved.groupBy(*keys, time).agg(F.sum("__m").alias("__m"))
+    return ordered_scan(sums, keys, [time], [Step(out, "sum", F.col("__m"))]).select(*keys, time, out)
+
+
 def regularise(
-    df: DataFrame,
-    keys: Sequence[str],
-    time: str,
-    value: str,
-    seconds: int,
-    counter: bool = True,
-    chunk: Column | None = None,
+    df: DataFrame, keys: Sequence[str], time: str, value: str, seconds: int, counter: bool = True
 ) -> DataFrame:
     """Irregular readings onto a fixed grid, in counter space for consumption.
 
     Returns (keys, time, value, missing).  A grid point is missing when it lies
     in (or on an end of) a step between readings longer than two grid steps.
-    ``df`` holds one row per (key, time) without null values.
+
+    A grid point sees the readings only through the last one before it, the
+    first one after it and the sum of all before it, so the readings are
+    combined, in one scan and before any shuffle of single readings to a key,
+    into one row per cell between two grid points.  The calendar bounds the
+    cells, whatever the number of meters.  Readings at one instant are added
+    (averaged unless ``counter``); null values count as no reading.
     """
-    base = df.select(*keys, time, F.col(value).alias("__v"))
-    if counter:
-        base = ordered_scan(base, keys, [time], [Step("__v", "sum", F.col("__v"))], chunk)
-    near = ordered_scan(
-        base,
-        keys,
-        [time],
-        [Step("__p", "prev", F.col(time)), Step("__n", "next", F.struct(F.col(time).alias("t"), F.col("__v").alias("v")))],
-        chunk,
-    )
-    # Grid points from this reading up to, but not including, the next one.
-    width, t, n = seconds * 1_000_000, F.col(time), F.col("__n")
-    first = F.ceil(F.unix_micros(t) / width)
-    last = F.when(n.isNull(), F.floor(F.unix_micros(t) / width)).otherwise(F.ceil(F.unix_micros(n["t"]) / width) - 1)
-    points = near.withColumns({"__a": first, "__b": last}).filter(F.col("__a") <= F.col("__b"))
-    points = points.withColumn("__k", F.explode(F.sequence("__a", "__b"))).withColumn(
-        "__at", F.timestamp_seconds(F.col("__k") * seconds)
+    width = seconds * 1_000_000
+    same = F.sum(value) if counter else F.avg(value)
+    at = F.unix_micros(F.col(time).cast("timestamp"))
+    instants = df.filter(F.col(value).isNotNull()).groupBy(*keys, at.alias("__t")).agg(same.cast("double").alias("__v"))
+    # Cell k holds the readings after grid point k - 1 up to grid point k, that point included.
+    cells = instants.groupBy(*keys, F.ceil(F.col("__t") / width).alias("__k")).agg(
+        F.sum("__v").alias("__sum"),
+        F.min("__t").alias("__first"),
+        F.min_by("__v", "__t").alias("__first_v"),
+        F.max("__t").alias("__last"),
+        F.max_by("__v", "__t").alias("__last_v"),
     )
-    micros = lambda c: F.unix_micros(c).cast("double")
-    ahead = micros(F.col("__at")) - micros(t)
-    line = F.col("__v") + (n["v"] - F.col("__v")) * ahead / F.nullif(micros(n["t"]) - micros(t), F.lit(0.0))
-    limit = 2 * seconds
-    gap_after = F.unix_timestamp(n["t"]) - F.unix_timestamp(t) > limit
-    gap_before = F.unix_timestamp(t) - F.unix_timestamp("__p") > limit
+    steps = [
+        Step("__upto", "sum", F.col("__sum")),
+        Step("__p", "prev", F.col("__last")),
+        Step("__n", "next", F.struct(F.col("__k").alias("k"), F.col("__first").alias("t"), F.col("__first_v").alias("v"))),
+    ]
+    near = ordered_scan(cells, keys, ["__k"], steps)
+    n, last = F.col("__n"), F.col("__last")
+    # Points of the cell's end up to the next cell; the last cell has one only if a reading is at its end.
+    final = F.when(n.isNotNull(), n["k"] - 1).when(last == F.col("__k") * width, F.col("__k"))
+    points = near.filter(final.isNotNull()).withColumn("__at", F.explode(F.sequence("__k", final)))
+    ahead = (F.col("__at") * width - last).cast("double") / F.nullif((n["t"] - last).cast("double"), F.lit(0.0))
+    level = F.col("__upto") if counter else F.col("__last_v")
+    rise = n["v"] if counter else n["v"] - F.col("__last_v")
+    second = lambda c: F.floor(c / 1_000_000)
+    gap_after = second(n["t"]) - second(last) > 2 * seconds
+    # Only the one reading of a cell can be on a grid point and end a long step.
+    on_point = (F.col("__at") * width == last) & (F.col("__first") == last)
+    gap_before = on_point & (second(last) - second(F.col("__p")) > 2 * seconds)
     placed = points.select(
         *keys,
-        F.col("__at").alias(time),
-        F.when((F.col("__at") == t) | n.isNull(), F.col("__v")).otherwise(line).alias("__p"),
-        F.coalesce(gap_after | ((F.col("__at") == t) & gap_before), F.lit(False)).alias("missing"),
+        F.timestamp_seconds(F.col("__at") * seconds).alias(time),
+        F.when((F.col("__at") * width == last) | n.isNull(), level).otherwise(level + rise * ahead).alias("__y"),
+        F.coalesce(gap_after | gap_before, gap_after, gap_before, F.lit(False)).alias("missing"),
     )
     if not counter:
-        return placed.withColumnRenamed("__p", "value")
-    diffed = ordered_scan(placed, keys, [time], [Step("__q", "prev", F.col("__p"))])
-    return diffed.select(*keys, time, (F.col("__p") - F.col("__q")).alias("value"), "missing")
+        return placed.withColumnRenamed("__y", "value")
+    diffed = ordered_scan(placed, keys, [time], [Step("__q", "prev", F.col("__y"))])
+    return diffed.select(*keys, time, (F.col("__y") - F.col("__q")).alias("value"), "missing")
 
 
 def spread_interval(df: DataFrame, start: str, stop: str, value: str, out_day: str = "day") -> DataFrame:

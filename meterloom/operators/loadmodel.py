@@ -6,6 +6,7 @@ look-back.  The iterative fits live in ``loadfit``.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -125,54 +126,37 @@ def trailing_means(df: DataFrame, keys: Sequence[str], time: str, value: str, wi
     return out.drop("__rn")
 
 
+# Smallest weight of a value that can still be told from 0, as a power of two.
+_LEAST_WEIGHT = 1074
+
+
 def low_pass(df: DataFrame, keys: Sequence[str], time: str, value: str, alpha: float, out: str) -> DataFrame:
     """First-order filter y = a*y' + (1-a)*x, started at the first value and again after a null.
 
-    Inside a day the filter is a weighted running sum; across days only the last
-    level of each day is handed on, one array per series segment.
+    A row maps the level before it to ``scale * level + shift``.  Maps of
+    neighbouring rows are composed over spans that double in each pass, so a row
+    knows its whole past after a number of passes that grows with the logarithm
+    of the time the filter remembers.  Only products of ``alpha`` occur, which
+    fade to 0 at worst.  Series sit on a calendar grid.
     """
     if alpha == 0:
         return df.withColumn(out, F.col(value))
+    if not 0 < alpha < 1:
+        raise ValueError("alpha is at least 0 and below 1")
     x, a = F.col(value), float(alpha)
     w = Window.partitionBy(*keys).orderBy(time)
     rows = df.withColumn("__seg", F.count(F.when(x.isNull(), 1)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    rows = rows.withColumn("__day", F.to_date(time))
-    group = [*keys, "__seg", "__day"]
-    known = Window.partitionBy(*group, F.isnull(x)).orderBy(time)
+    known = Window.partitionBy(*keys, "__seg", F.isnull(x)).orderBy(time)
     rows = rows.withColumn("__i", F.row_number().over(known))
-    term = (1 - a) * x * F.pow(F.lit(a), -F.col("__i"))
-    local = F.sum(term).over(known.rowsBetween(Window.unboundedPreceding, 0)) * F.pow(F.lit(a), F.col("__i"))
-    rows = rows.withColumn("__local", local)
-    ends = (
-        rows.filter(x.isNotNull())
-        .groupBy(*group)
-        .agg(
-            F.max("__i").alias("n"),
-            F.max_by("__local", "__i").alias("level"),
-            F.min_by(x, "__i").alias("first"),
-        )
-    )
-    # One entry per day of the look-back; carries the level at the start of each day.
-    per_segment = ends.groupBy(*keys, "__seg").agg(
-        F.array_sort(F.collect_list(F.struct("__day", "n", "level", "first"))).alias("days")
-    )
-    start = F.struct(F.col("days")[0]["first"].alias("y"), F.array().cast("array<double>").alias("seen"))
-
-    def step(state, d):
-        return F.struct(
-            (F.pow(F.lit(a), d["n"]) * state["y"] + d["level"]).alias("y"),
-            F.array_append(state["seen"], state["y"]).alias("seen"),
-        )
-
-    starts = F.aggregate("days", start, step, lambda state: state["seen"])
-    carried = per_segment.select(
-        *keys,
-        "__seg",
-        F.inline(F.arrays_zip(F.transform("days", lambda d: d["__day"]).alias("__day"), starts.alias("__start"))),
-    )
-    joined = rows.join(carried, group, "left")
-    y = F.when(x.isNotNull(), F.pow(F.lit(a), F.col("__i")) * F.col("__start") + F.col("__local"))
-    return joined.withColumn(out, y).drop("__seg", "__day", "__i", "__local", "__start")
+    first = F.col("__i") == 1
+    rows = rows.withColumns({"__scale": F.when(first, F.lit(0.0)).otherwise(F.lit(a)), "__shift": F.when(first, x).otherwise((1 - a) * x)})
+    remembered = min(_LEAST_WEIGHT / -math.log2(a) + 1, 2.0**31)
+    for k in range(math.ceil(math.log2(remembered))):
+        # A row without a row so far back already starts from its first value.
+        rows = rows.withColumns({"__s": F.lag("__scale", 2**k, 1.0).over(known), "__h": F.lag("__shift", 2**k, 0.0).over(known)})
+        shift = F.col("__shift") + F.col("__scale") * F.col("__h")
+        rows = rows.withColumns({"__shift": shift, "__scale": F.col("__scale") * F.col("__s")})
+    return rows.withColumn(out, F.when(x.isNotNull(), F.col("__shift"))).drop("__seg", "__i", "__scale", "__shift", "__s", "__h")
 
 
 def occupancy_terms(df: DataFrame, percent: float, columns: Sequence[str]) -> DataFrame:

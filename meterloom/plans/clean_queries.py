@@ -11,7 +11,6 @@ from meterloom.plans import views
 from meterloom.plans.registry import query
 from meterloom.plans.shared import (
     by_month,
-    by_hour,
     energy_counter,
     energy_grid,
     energy_hourly,
@@ -67,9 +66,7 @@ def a01(spark, folder):
     SELECT energy, strftime(bin, {TS}) AS bin, r4(c - lag(c) OVER (PARTITION BY energy ORDER BY bin)) AS value FROM i""",
 )
 def a02(spark, folder):
-    out = grid.resample_counter(
-        energy_counter(spark, folder), ["energy"], F.date_trunc("hour", "ts"), "counter", 3600
-    )
+    out = grid.counter_movement(energy_counter(spark, folder), ["energy"], "bin", "counter", 3600)
     return out.select("energy", stamp("bin"), r4("value"))
 
 
@@ -282,9 +279,7 @@ _REGULAR = f"""WITH r AS (SELECT energy, ts, sum(value) OVER w AS v, lag(ts) OVE
 
 
 def _regular(spark, folder):
-    return grid.regularise(
-        views.readings(spark, folder), ["energy"], "ts", "value", 900, chunk=by_hour()
-    )
+    return grid.regularise(views.readings(spark, folder), ["energy"], "ts", "value", 900)
 
 
 @query(

@@ -69,11 +69,6 @@ def by_month(c: str = "ts") -> Column:
     return F.date_trunc("month", c)
 
 
-def by_hour(c: str = "ts") -> Column:
-    """Chunk of an energy type's raw readings."""
-    return F.date_trunc("hour", c)
-
-
 def meters(spark, folder) -> DataFrame:
     """Raw readings of instant, counter and mixed meters."""
     acc = running_total(
@@ -91,10 +86,13 @@ def meters(spark, folder) -> DataFrame:
 
 
 def energy_counter(spark, folder) -> DataFrame:
-    """Readings of an energy type as one running counter."""
-    return running_total(
-        views.readings(spark, folder).drop("props"), ["energy"], ["ts", "event_id"], "value", "counter", by_hour()
+    """The meters of an energy type as one counter: its level at the end of each hour with readings."""
+    keys = ["device", "energy"]
+    counters = running_total(
+        views.readings(spark, folder).drop("props"), keys, ["ts", "event_id"], "value", "counter", by_month()
     )
+    tops = counters.groupBy(*keys, F.date_trunc("hour", "ts").alias("bin")).agg(F.max("counter").alias("counter"))
+    return grid.merge_counters(tops, ["energy"], "device", "bin", "counter", "counter", from_zero=True)
 
 
 def energy_grid(spark, folder) -> DataFrame:

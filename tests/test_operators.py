@@ -76,7 +76,7 @@ def test_regular_grid_follows_numpy(spark):
         t += rng.choice([20, 30, 31, 200]) + rng.random()
         rows.append(("a", at(t), rng.random()))
     df = spark.createDataFrame(rows, "k string, ts timestamp, v double")
-    out = grid.regularise(df, ["k"], "ts", "v", 1800, chunk=F.date_trunc("hour", "ts")).orderBy("ts").toPandas()
+    out = grid.regularise(df, ["k"], "ts", "v", 1800).orderBy("ts").toPandas()
     x = np.array([r[1].timestamp() for r in rows])
     g = np.array([v.to_pydatetime().timestamp() for v in out["ts"]])
     want = np.interp(g, x, np.cumsum([r[2] for r in rows]))
