@@ -8,6 +8,7 @@ each round; only the emptiness of a round's result reaches the driver.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -103,9 +104,62 @@ def segmented_fit(df: DataFrame, events: DataFrame, keys: Sequence[str], time: s
     )
 
 
-def _candidates(rows: DataFrame, segment: Sequence[str], time: str, value: str, alpha: float) -> DataFrame:
-    residuals = constant_residuals(rows, segment, value)
-    return strongest_change(scaled_cusum(residuals, segment, time), segment, time, alpha)
+def _prefix_sums(df: DataFrame, keys: Sequence[str], time: str, value: str) -> DataFrame:
+    """Rows of each series with their place and the sums of all rows before them, written once.
+
+    Values are taken from the mean of their series, so that sums of squares lose few digits.
+    """
+    d = F.col(value) - F.col("__mean")
+    rows = df.select(*keys, F.col(time).alias("event"), F.col(value)).filter(F.col(value).isNotNull())
+    whole = Window.partitionBy(*keys)
+    before = whole.orderBy("event").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumns({"__mean": F.avg(value).over(whole), "n": F.count("*").over(whole)})
+    rows = rows.select(
+        *keys, "event", "n", (F.row_number().over(whole.orderBy("event")) - 1).alias("i"),
+        F.coalesce(F.sum(d).over(before), F.lit(0.0)).alias("s"), F.coalesce(F.sum(d * d).over(before), F.lit(0.0)).alias("q"),
+        F.sum(d).over(whole).alias("s_all"), F.sum(d * d).over(whole).alias("q_all"),
+    )
+    return cut_lineage(rows)
+
+
+_ENDS = ["a", "sa", "qa", "b", "sb", "qb"]
+
+
+def _whole_series(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each series as one segment: first place, place after the last, and the sums before both."""
+    zero = F.lit(0.0)
+    ends = rows.groupBy(*keys).agg(F.max("n").alias("b"), F.max("s_all").alias("sb"), F.max("q_all").alias("qb"))
+    return ends.select(*keys, F.lit(0).alias("a"), zero.alias("sa"), zero.alias("qa"), F.col("b").cast("int").alias("b"), "sb", "qb")
+
+
+def _significant(rows: DataFrame, segments: DataFrame, keys: Sequence[str], alpha: float) -> DataFrame:
+    """Segments with a significant change: the row with the greatest scaled CUSUM, the earliest on ties.
+
+    The running residual sum of a segment is a difference of prefix sums, so only the rows of the given segments are read,
+    without ordering them.
+    """
+    inside = rows.join(segments, list(keys)).filter((F.col("i") > F.col("a")) & (F.col("i") < F.col("b")))
+    size = (F.col("b") - F.col("a")).cast("double")
+    mean = (F.col("sb") - F.col("sa")) / size
+    spread = (F.col("qb") - F.col("qa")) / size - mean * mean
+    sd = F.sqrt(F.greatest(spread, F.lit(0.0)))
+    past = (F.col("i") - F.col("a")).cast("double")
+    t = past / size
+    # Below this the spread is rounding of the sums.
+    flat = spread <= 1e-13 * (mean * mean + F.col("qb") / F.col("b"))
+    residual = F.col("s") - F.col("sa") - past * mean
+    lam = F.when(flat, F.lit(0.0)).otherwise(residual / (sd * F.sqrt(size)) / F.sqrt(t * (1 - t)))
+    significance = F.round(F.abs(lam), 9)
+    at = F.struct("event", F.col("i").alias("at"), F.col("s").alias("se"), F.col("q").alias("qe"), significance.alias("significance"))
+    best = inside.groupBy(*keys, *_ENDS).agg(F.min_by(at, F.struct(-significance, F.col("event"))).alias("e"))
+    return best.select(*keys, *_ENDS, "e.*").filter(F.col("significance") >= critical_value(alpha))
+
+
+def _halves(split: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The two segments on both sides of a change; their sums are known from the row of the change."""
+    left = F.struct("a", "sa", "qa", F.col("at").alias("b"), F.col("se").alias("sb"), F.col("qe").alias("qb"))
+    right = F.struct(F.col("at").alias("a"), F.col("se").alias("sa"), F.col("qe").alias("qa"), "b", "sb", "qb")
+    return split.select(*keys, F.inline(F.array(left, right)))
 
 
 def detect_events(
@@ -115,45 +169,70 @@ def detect_events(
 
     Per round each series gains its strongest change, or with ``every_segment``
     all of its segments are split at once (binary recursion level by level).
-    A split always leaves two shorter segments, so the loop ends; a series
-    without a new change is finished and left out of later rounds.
+    The work table holds one row per open segment, that is a segment with a
+    significant change not yet used; a round reads only the rows of segments
+    that the round before has split.  A split leaves two shorter segments, so
+    the loop ends.
     """
-    rows = cut_lineage(df.select(*keys, time, value))
-    events, active = None, rows
-    turn = 0
+    rows = _prefix_sums(df, keys, time, value)
+    waiting, events, turn = None, None, 0
+    fresh = _whole_series(rows, keys)
     while True:
         turn += 1
-        split = number_periods(active, events, keys, time) if events is not None else rows.withColumn("period", F.lit(0))
-        found = _candidates(split, [*keys, "period"], time, value, alpha)
-        if not every_segment:
-            top = F.max_by(F.struct("event", "significance"), F.struct("significance", "event")).alias("b")
-            found = found.groupBy(*keys).agg(top).select(*keys, "b.event", "b.significance")
-        found = cut_lineage(found.select(*keys, "event", "significance", F.lit(turn).alias("round")))
-        if found.isEmpty():
-            return events if events is not None else found
-        events = found if events is None else cut_lineage(events.unionByName(found))
-        active = rows.join(found.select(*keys).distinct(), list(keys), "left_semi")
-
-
-def confirm_events(
-    df: DataFrame, events: DataFrame, keys: Sequence[str], time: str, value: str, alpha: float, max_rounds: int = 25
-) -> DataFrame:
+        found = _significant(rows, fresh, keys, alpha)
+        pool = cut_lineage(found if waiting is None else waiting.unionByName(found))
+        if every_segment:
+            split, waiting = pool, None
+        else:
+            top = F.max(F.struct("significance", "event")).over(Window.partitionBy(*keys))
+            ranked = pool.withColumn("__top", F.struct("significance", "event") == top)
+            split, waiting = ranked.filter("__top").drop("__top"), ranked.filter("not __top").drop("__top")
+        new = split.select(*keys, "event", "significance", F.lit(turn).alias("round"))
+        events = new if events is None else events.unionByName(new)
+        if pool.isEmpty():
+            return events
+        fresh = _halves(split, keys)
+
+
+def confirm_events(df: DataFrame, events: DataFrame, keys: Sequence[str], time: str, value: str, alpha: float) -> DataFrame:
     """Re-estimate every event from its two neighbouring periods; move or drop it until all stand.
 
-    Every row takes part in at most two neighbourhoods: that of the event
-    before it and that of the event after it.
+    Returns (keys, event, converged, rounds).  A series is done when a round
+    leaves its events as they are.  Rounds can also lead back to events that a
+    series had before; it then keeps those of its last round, with ``converged``
+    false.  A series has finitely many sets of events, so every one ends.
     """
-    rows = cut_lineage(df.select(*keys, time, value))
-    current = cut_lineage(events.select(*keys, "event").distinct())
-    for _ in range(max_rounds):
-        counts = current.groupBy(*keys).agg(F.count("*").alias("__m"))
-        split = number_periods(rows, current, keys, time).join(counts, list(keys))
-        around = split.withColumn("k", F.explode(F.array(F.col("period"), F.col("period") + 1))).filter(
-            F.col("k").between(1, F.col("__m"))
-        )
-        moved = cut_lineage(_candidates(around, [*keys, "k"], time, value, alpha).select(*keys, "event").distinct())
-        stable = current.exceptAll(moved).isEmpty() and moved.exceptAll(current).isEmpty()
-        current = moved
-        if stable:
-            break
-    return current
+    rows = _prefix_sums(df, keys, time, value)
+    marks = events.select(*keys, "event").distinct()
+    places = rows.select(*keys, "event", "i", "s", "q")
+    current = cut_lineage(places.join(marks, [*keys, "event"], "left_semi"))
+    bounds = cut_lineage(_whole_series(rows, keys))
+    seen, done, turn = _states(current, keys), [], 0
+    while not current.isEmpty():
+        turn += 1
+        w = Window.partitionBy(*keys).orderBy("i")
+        around = current.withColumns({"__p": F.lag(F.struct("i", "s", "q")).over(w), "__n": F.lead(F.struct("i", "s", "q")).over(w)})
+        around = around.drop("i", "s", "q", "event").join(bounds, list(keys))
+        side = lambda end, names: [F.coalesce(end[x], F.col(c)).alias(c) for x, c in zip("isq", names, strict=True)]
+        segments = around.select(*keys, *side(F.col("__p"), _ENDS[:3]), *side(F.col("__n"), _ENDS[3:]))
+        # The rows of the neighbourhoods: each is in that of the event before it and that of the event after it.
+        moved = _significant(rows, segments, keys, alpha)
+        moved = cut_lineage(moved.select(*keys, "event", F.col("at").alias("i"), F.col("se").alias("s"), F.col("qe").alias("q")).distinct())
+        before, after = _states(current, keys), _states(moved, keys)
+        state = before.withColumnRenamed("state", "__was").join(after, list(keys), "left")
+        state = state.join(seen.groupBy(*keys, "state").agg(F.lit(True).alias("__again")), [*keys, "state"], "left")
+        stable = F.coalesce(F.col("state") == F.col("__was"), F.lit(False))
+        ended = stable | F.coalesce("__again", F.lit(False)) | F.col("state").isNull()
+        state = cut_lineage(state.select(*keys, (stable | F.col("state").isNull()).alias("converged"), ended.alias("__ended")))
+        ended = state.filter("__ended").select(*keys, "converged", F.lit(turn).alias("rounds"))
+        done.append(moved.select(*keys, "event").join(ended, list(keys)))
+        seen = cut_lineage(seen.unionByName(after))
+        current = moved.join(state.filter("not __ended").select(*keys), list(keys), "left_semi")
+    if not done:
+        return current.select(*keys, "event", F.lit(True).alias("converged"), F.lit(0).alias("rounds"))
+    return reduce(DataFrame.unionByName, done)
+
+
+def _states(events: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The set of events of each series as one value."""
+    return events.groupBy(*keys).agg(F.concat_ws(",", F.transform(F.array_sort(F.collect_set("i")), lambda i: i.cast("string"))).alias("state"))
