@@ -25,12 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterloom.llm import store
-from meterloom.llm.tokenfile import encoder_of
+from meterloom.llm.tokenfile import TEXT_BYTES, encoder_of
+from meterloom.llm.words import blocks
 
 LENGTH = 2048
 END = 1
 GROUP_PIECES = 8192
-TEXTS_AT_A_TIME = 200
 PIECES = "key long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
 
 
@@ -84,10 +84,9 @@ def pieces(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, key = encoder_of(vocabulary), TaskContext.get().partitionId() << 40
         for batch in batches:
-            for at in range(0, batch.num_rows, TEXTS_AT_A_TIME):
-                part = batch.slice(at, TEXTS_AT_A_TIME)
+            for part in blocks(batch, size=TEXT_BYTES):
                 out = []
-                for doc_id, raw in zip(part.column(0).to_pylist(), encoder.encode(part.column(1).to_pylist()), strict=True):
+                for doc_id, raw in zip(part.column(0).to_pylist(), encoder.encode(part.column(1)), strict=True):
                     raw += tail
                     for start in range(0, len(raw), 4 * length):
                         ids = raw[start : start + 4 * length]

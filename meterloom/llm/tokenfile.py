@@ -29,6 +29,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyarrow import fs
@@ -37,6 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterloom.llm import store
+from meterloom.llm.words import blocks
 
 SKIPPABLE = 0x184D2A5E
 SEEKABLE = 0x8F92EAB1
@@ -44,8 +46,10 @@ CHECKSUMS = 0x80
 FRAME_BYTES = 1 << 18
 # Words kept with their ids in a worker, some 200 bytes each, and words worked on at a time.
 CACHED_WORDS = 900_000
-HELD_WORDS = 200_000
+HELD_WORDS = 400_000
 END = 2
+# Bytes of texts that are encoded together.
+TEXT_BYTES = 1 << 22
 
 _RUNS = re.compile(rb"[a-z]+|[0-9]|[^a-z0-9]+")
 
@@ -72,8 +76,10 @@ def _by_word(vocabulary: str) -> bool:
 
 def _letters_only(text: str) -> bool:
     """Letters in the form given, the composed and the lower-case one: the pattern takes these as one run."""
+    if not text.isalpha():
+        return False
     plain = unicodedata.normalize("NFC", text)
-    return text.isalpha() and plain.isalpha() and all(c.lower().isalpha() for c in plain)
+    return plain.isalpha() and plain.lower().isalpha()
 
 
 class Encoder:
@@ -92,7 +98,7 @@ class Encoder:
         self.by_word = _by_word(vocabulary)
         n = self.tokenizer.get_vocab_size()
         self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(n)])
-        self.words: dict[bytes, bytes] = {}
+        self.words: dict[bytes, bytes] = {b"": b""}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -113,7 +119,7 @@ class Encoder:
                 self.words[w] = raw[last:cut]
                 last = cut
 
-    def learn(self, words: set[bytes]) -> None:
+    def learn(self, words: list[bytes]) -> None:
         """Words of ASCII without apostrophes and ``<`` split into the runs that the vocabulary's pattern takes apart."""
         known, split, rest, runs, signs = self.words, {}, [], {}, set()
         for w in words:
@@ -146,32 +152,46 @@ class Encoder:
         for w, parts in split.items():
             known[w] = b"".join(map(known.__getitem__, parts))
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Little-endian uint32 ids of each text."""
+    def encode(self, texts: pa.Array | list[str | None]) -> list[bytes]:
+        """Little-endian uint32 ids of each text.
+
+        Arrow splits the texts and tells their words apart, so that only distinct words are looked up one by one.
+        """
+        array = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        array = array.fill_null("")
         if not self.by_word:
-            return self._ids([text or "" for text in texts])
-        out = [[] for _ in texts]
-        held, size = [], 0
-        for i, text in enumerate(texts):
-            words = (text or "").encode().split()
-            for at in range(0, len(words), HELD_WORDS):
-                part = words[at : at + HELD_WORDS]
-                if size + len(part) > HELD_WORDS:
-                    self._join(held, out)
-                    held, size = [], 0
-                held.append((i, part))
-                size += len(part)
-        self._join(held, out)
-        return [b"".join(x) for x in out]
-
-    def _join(self, held: list[tuple[int, list[bytes]]], out: list[list[bytes]]) -> None:
-        new = set().union(*(w for _, w in held)).difference(self.words)
+            return self._ids(array.to_pylist())
+        split = pc.ascii_split_whitespace(array)
+        words, ends = split.flatten(), np.diff(split.offsets.to_numpy()).cumsum()
+        out: list[list[bytes]] = [[] for _ in range(len(array))]
+        for at in range(0, len(words), HELD_WORDS):
+            part = words.slice(at, HELD_WORDS)
+            ids = self._lookup(part)
+            # Texts with words in this part, and where they end in it.
+            first, last = np.searchsorted(ends, [at, at + len(part) - 1], side="right")
+            cuts = np.minimum(ends[first : last + 1] - at, len(part))
+            places = np.frombuffer(ids.buffers()[1], np.int32)[: len(part) + 1][np.append(0, cuts)].tolist()
+            raw = ids.buffers()[2].to_pybytes() if places[-1] else b""
+            for i, (a, b) in enumerate(zip(places[:-1], places[1:], strict=True), first):
+                out[i].append(raw[a:b])
+        return [x[0] if len(x) == 1 else b"".join(x) for x in out]
+
+    def _lookup(self, words: pa.Array) -> pa.Array:
+        """Ids of each word, learned before if need be."""
+        words = words.dictionary_encode()
+        _, ends, data = words.dictionary.buffers()
+        ends = np.frombuffer(ends, np.int32)[: len(words.dictionary) + 1].tolist()
+        raw = data.to_pybytes() if data is not None else b""
+        distinct = [raw[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        found = list(map(self.words.get, distinct))
+        new = [i for i, ids in enumerate(found) if ids is None]
         if len(self.words) + len(new) > CACHED_WORDS:
-            self.words.clear()
-            new = set().union(*(w for _, w in held))
-        self.learn(new)
-        for i, words in held:
-            out[i].append(b"".join(map(self.words.__getitem__, words)))
+            self.words = {b"": b""}
+            new = [i for i, w in enumerate(distinct) if w]
+        self.learn([distinct[i] for i in new])
+        for i in new:
+            found[i] = self.words[distinct[i]]
+        return pa.array(found, pa.binary()).take(words.indices)
 
 
 class Frame(NamedTuple):
@@ -294,9 +314,8 @@ def write(docs: DataFrame, vocabulary_path: str, folder: str, id_col: str = "doc
                 system.create_dir(name.rpartition("/")[0], recursive=True)
                 sink = system.open_output_stream(name, compression=None)
                 writer = Writer(sink)
-            for at in range(0, batch.num_rows, 200):
-                part_ = batch.slice(at, 200)
-                ids = encoder.encode(part_.column(1).to_pylist())
+            for part_ in blocks(batch, size=TEXT_BYTES):
+                ids = encoder.encode(part_.column(1))
                 tail = struct.pack("<I", end)
                 for doc_id, raw in zip(part_.column(0).to_pylist(), ids, strict=True):
                     writer.add(doc_id, raw + tail)
