@@ -113,23 +113,23 @@ def _prefix_sums(df: DataFrame, keys: Sequence[str], time: str, value: str) -> D
     rows = df.select(*keys, F.col(time).alias("event"), F.col(value)).filter(F.col(value).isNotNull())
     whole = Window.partitionBy(*keys)
     before = whole.orderBy("event").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumns({"__mean": F.avg(value).over(whole), "n": F.count("*").over(whole)})
+    rows = rows.withColumns({"__mean": F.avg(value).over(whole), "__n": F.count("*").over(whole)})
     rows = rows.select(
-        *keys, "event", "n", (F.row_number().over(whole.orderBy("event")) - 1).alias("i"),
-        F.coalesce(F.sum(d).over(before), F.lit(0.0)).alias("s"), F.coalesce(F.sum(d * d).over(before), F.lit(0.0)).alias("q"),
-        F.sum(d).over(whole).alias("s_all"), F.sum(d * d).over(whole).alias("q_all"),
+        *keys, "event", "__n", (F.row_number().over(whole.orderBy("event")) - 1).alias("__i"),
+        F.coalesce(F.sum(d).over(before), F.lit(0.0)).alias("__s"), F.coalesce(F.sum(d * d).over(before), F.lit(0.0)).alias("__q"),
+        F.sum(d).over(whole).alias("__s_all"), F.sum(d * d).over(whole).alias("__q_all"),
     )
     return cut_lineage(rows)
 
 
-_ENDS = ["a", "sa", "qa", "b", "sb", "qb"]
+_ENDS = ["__a", "__sa", "__qa", "__b", "__sb", "__qb"]
 
 
 def _whole_series(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Each series as one segment: first place, place after the last, and the sums before both."""
     zero = F.lit(0.0)
-    ends = rows.groupBy(*keys).agg(F.max("n").alias("b"), F.max("s_all").alias("sb"), F.max("q_all").alias("qb"))
-    return ends.select(*keys, F.lit(0).alias("a"), zero.alias("sa"), zero.alias("qa"), F.col("b").cast("int").alias("b"), "sb", "qb")
+    ends = rows.groupBy(*keys).agg(F.max("__n").alias("__b"), F.max("__s_all").alias("__sb"), F.max("__q_all").alias("__qb"))
+    return ends.select(*keys, F.lit(0).alias("__a"), zero.alias("__sa"), zero.alias("__qa"), F.col("__b").cast("int").alias("__b"), "__sb", "__qb")
 
 
 def _significant(rows: DataFrame, segments: DataFrame, keys: Sequence[str], alpha: float) -> DataFrame:
@@ -138,27 +138,27 @@ def _significant(rows: DataFrame, segments: DataFrame, keys: Sequence[str], alph
     The running residual sum of a segment is a difference of prefix sums, so only the rows of the given segments are read,
     without ordering them.
     """
-    inside = rows.join(segments, list(keys)).filter((F.col("i") > F.col("a")) & (F.col("i") < F.col("b")))
-    size = (F.col("b") - F.col("a")).cast("double")
-    mean = (F.col("sb") - F.col("sa")) / size
-    spread = (F.col("qb") - F.col("qa")) / size - mean * mean
+    inside = rows.join(segments, list(keys)).filter((F.col("__i") > F.col("__a")) & (F.col("__i") < F.col("__b")))
+    size = (F.col("__b") - F.col("__a")).cast("double")
+    mean = (F.col("__sb") - F.col("__sa")) / size
+    spread = (F.col("__qb") - F.col("__qa")) / size - mean * mean
     sd = F.sqrt(F.greatest(spread, F.lit(0.0)))
-    past = (F.col("i") - F.col("a")).cast("double")
+    past = (F.col("__i") - F.col("__a")).cast("double")
     t = past / size
     # Below this the spread is rounding of the sums.
-    flat = spread <= 1e-13 * (mean * mean + F.col("qb") / F.col("b"))
-    residual = F.col("s") - F.col("sa") - past * mean
+    flat = spread <= 1e-13 * (mean * mean + F.col("__qb") / F.col("__b"))
+    residual = F.col("__s") - F.col("__sa") - past * mean
     lam = F.when(flat, F.lit(0.0)).otherwise(residual / (sd * F.sqrt(size)) / F.sqrt(t * (1 - t)))
     significance = F.round(F.abs(lam), 9)
-    at = F.struct("event", F.col("i").alias("at"), F.col("s").alias("se"), F.col("q").alias("qe"), significance.alias("significance"))
-    best = inside.groupBy(*keys, *_ENDS).agg(F.min_by(at, F.struct(-significance, F.col("event"))).alias("e"))
-    return best.select(*keys, *_ENDS, "e.*").filter(F.col("significance") >= critical_value(alpha))
+    at = F.struct("event", F.col("__i").alias("__at"), F.col("__s").alias("__se"), F.col("__q").alias("__qe"), significance.alias("significance"))
+    best = inside.groupBy(*keys, *_ENDS).agg(F.min_by(at, F.struct(-significance, F.col("event"))).alias("__e"))
+    return best.select(*keys, *_ENDS, "__e.*").filter(F.col("significance") >= critical_value(alpha))
 
 
 def _halves(split: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The two segments on both sides of a change; their sums are known from the row of the change."""
-    left = F.struct("a", "sa", "qa", F.col("at").alias("b"), F.col("se").alias("sb"), F.col("qe").alias("qb"))
-    right = F.struct(F.col("at").alias("a"), F.col("se").alias("sa"), F.col("qe").alias("qa"), "b", "sb", "qb")
+    left = F.struct("__a", "__sa", "__qa", F.col("__at").alias("__b"), F.col("__se").alias("__sb"), F.col("__qe").alias("__qb"))
+    right = F.struct(F.col("__at").alias("__a"), F.col("__se").alias("__sa"), F.col("__qe").alias("__qa"), "__b", "__sb", "__qb")
     return split.select(*keys, F.inline(F.array(left, right)))
 
 
@@ -204,26 +204,26 @@ def confirm_events(df: DataFrame, events: DataFrame, keys: Sequence[str], time:
     """
     rows = _prefix_sums(df, keys, time, value)
     marks = events.select(*keys, "event").distinct()
-    places = rows.select(*keys, "event", "i", "s", "q")
+    places = rows.select(*keys, "event", "__i", "__s", "__q")
     current = cut_lineage(places.join(marks, [*keys, "event"], "left_semi"))
     bounds = cut_lineage(_whole_series(rows, keys))
     seen, done, turn = _states(current, keys), [], 0
     while not current.isEmpty():
         turn += 1
-        w = Window.partitionBy(*keys).orderBy("i")
-        around = current.withColumns({"__p": F.lag(F.struct("i", "s", "q")).over(w), "__n": F.lead(F.struct("i", "s", "q")).over(w)})
-        around = around.drop("i", "s", "q", "event").join(bounds, list(keys))
-        side = lambda end, names: [F.coalesce(end[x], F.col(c)).alias(c) for x, c in zip("isq", names, strict=True)]
+        w = Window.partitionBy(*keys).orderBy("__i")
+        around = current.withColumns({"__p": F.lag(F.struct("__i", "__s", "__q")).over(w), "__n": F.lead(F.struct("__i", "__s", "__q")).over(w)})
+        around = around.drop("__i", "__s", "__q", "event").join(bounds, list(keys))
+        side = lambda end, names: [F.coalesce(end[x], F.col(c)).alias(c) for x, c in zip(("__i", "__s", "__q"), names, strict=True)]
         segments = around.select(*keys, *side(F.col("__p"), _ENDS[:3]), *side(F.col("__n"), _ENDS[3:]))
         # The rows of the neighbourhoods: each is in that of the event before it and that of the event after it.
         moved = _significant(rows, segments, keys, alpha)
-        moved = cut_lineage(moved.select(*keys, "event", F.col("at").alias("i"), F.col("se").alias("s"), F.col("qe").alias("q")).distinct())
+        moved = cut_lineage(moved.select(*keys, "event", F.col("__at").alias("__i"), F.col("__se").alias("__s"), F.col("__qe").alias("__q")).distinct())
         before, after = _states(current, keys), _states(moved, keys)
-        state = before.withColumnRenamed("state", "__was").join(after, list(keys), "left")
-        state = state.join(seen.groupBy(*keys, "state").agg(F.lit(True).alias("__again")), [*keys, "state"], "left")
-        stable = F.coalesce(F.col("state") == F.col("__was"), F.lit(False))
-        ended = stable | F.coalesce("__again", F.lit(False)) | F.col("state").isNull()
-        state = cut_lineage(state.select(*keys, (stable | F.col("state").isNull()).alias("converged"), ended.alias("__ended")))
+        state = before.withColumnRenamed("__state", "__was").join(after, list(keys), "left")
+        state = state.join(seen.groupBy(*keys, "__state").agg(F.lit(True).alias("__again")), [*keys, "__state"], "left")
+        stable = F.coalesce(F.col("__state") == F.col("__was"), F.lit(False))
+        ended = stable | F.coalesce("__again", F.lit(False)) | F.col("__state").isNull()
+        state = cut_lineage(state.select(*keys, (stable | F.col("__state").isNull()).alias("converged"), ended.alias("__ended")))
         ended = state.filter("__ended").select(*keys, "converged", F.lit(turn).alias("rounds"))
         done.append(moved.select(*keys, "event").join(ended, list(keys)))
         seen = cut_lineage(seen.unionByName(after))
@@ -235,4 +235,4 @@ def confirm_events(df: DataFrame, events: DataFrame, keys: Sequence[str], time:
 
 def _states(events: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The set of events of each series as one value."""
-    return events.groupBy(*keys).agg(F.concat_ws(",", F.transform(F.array_sort(F.collect_set("i")), lambda i: i.cast("string"))).alias("state"))
+    return events.groupBy(*keys).agg(F.concat_ws(",", F.transform(F.array_sort(F.collect_set("__i")), lambda i: i.cast("string"))).alias("__state"))

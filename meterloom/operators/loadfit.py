@@ -388,43 +388,6 @@ def train_clusters(profiles: DataFrame, key: str, ks: Sequence[int] = (2, 3, 4))
     return profiles.select(key, "day", "total", *hours).groupBy(key).applyInPandas(run, schema)
 
 
-# --- days without usage ------------------------------------------------------------------
-
-BINS = 64
-# A valley is at most this part of the highest point before it.
-VALLEY = 0.5
-
-
-def no_usage_limits(df: DataFrame, key: str, value: str, bins: int = BINS, valley: float = VALLEY) -> DataFrame:
-    """Consumption at or below which an hour counts as unused, 0 if there is no such level.
-
-    The lower 70 % of a unit's hourly values go into equal bins, whose counts are averaged over five neighbours.  The
-    limit is the middle of the first bin that is a clear valley: lower than the bin before, not higher than the bin
-    behind, and at most ``valley`` of the highest bin before it.
-    """
-    ends = df.groupBy(key).agg(F.min(value).alias("a"), F.percentile(value, F.lit(0.7)).alias("b"))
-    width = (F.col("b") - F.col("a")) / bins
-    place = F.least(F.floor((F.col(value) - F.col("a")) / F.nullif(width, F.lit(0.0))), F.lit(bins - 1))
-    low = df.join(ends, key).filter(F.col(value) <= F.col("b"))
-    counts = low.groupBy(key, F.coalesce(place, F.lit(0)).cast("int").alias("bin")).agg(F.count("*").alias("c"))
-    grid = ends.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
-    row = Window.partitionBy(key).orderBy("bin")  # ``bins`` rows
-    smooth = grid.join(counts, [key, "bin"], "left").withColumn(
-        "d", F.avg(F.coalesce("c", F.lit(0))).over(row.rowsBetween(-2, 2))
-    )
-    top = F.max("d").over(row.rowsBetween(Window.unboundedPreceding, -1))
-    clear = (F.col("d") < F.lag("d").over(row)) & (F.col("d") <= F.lead("d").over(row)) & (F.col("d") <= top * valley)
-    middle = F.when(clear, F.col("a") + (F.col("bin") + 0.5) * width)
-    marked = smooth.withColumn("middle", middle)
-    return marked.groupBy(key).agg(F.coalesce(F.min("middle"), F.lit(0.0)).alias("limit"))
-
-
-def unused_days(df: DataFrame, limits: DataFrame, key: str, time: str, value: str) -> DataFrame:
-    """Days with an hourly value at or below the unit's limit."""
-    low = df.join(limits, key).filter(F.col(value) <= F.col("limit"))
-    return low.select(key, F.to_date(time).alias("day")).distinct()
-
-
 def training_days(day: str, share: int = 80):
     """Stable split: about ``share`` percent of the days train."""
     return F.pmod(F.crc32(F.col(day).cast("string")), F.lit(100)) < share

@@ -91,19 +91,22 @@ def _totals(value: str, temp: str | None) -> dict[str, Column]:
     return out
 
 
-def _bent(cp: Column, n: Column, syy: Column, m: Column, t: Column, tt: Column, y: Column, ty: Column) -> dict[str, Column]:
-    """Line on ``greatest(cp - t, 0)`` of a group of ``n`` rows, from moments of its ``m`` rows below the change point.
+def _bent(df: DataFrame, cp: Column, n: Column, syy: Column, m: Column, t: Column, tt: Column, y: Column, ty: Column) -> DataFrame:
+    """Add the line on ``greatest(cp - t, 0)`` of a group of ``n`` rows, from moments of its ``m`` rows below the change point.
 
     ``t`` and ``tt`` are sums of temperatures and their squares from any origin, ``y`` and ``ty`` sums of deviations from the
-    group's mean and of their products.  Written with the mean temperature below, so that few rows lose no digits.
+    group's mean and of their products.  Written with the mean temperature below, so that few rows lose no digits.  One
+    column a step: as one expression, each step would be computed again wherever it is used.
     """
-    mid = F.when(m > 0, t / m).otherwise(cp)
-    sx = m * (cp - mid)
-    sxx = m * (cp - mid) * (cp - mid) + (tt - t * mid) - sx * sx / n
-    sxy = y * (cp - mid) + (y * mid - ty)
-    slope = F.when(sxx < 1e-9, F.lit(0.0)).otherwise(sxy / sxx)
-    sse = syy - slope * sxy
-    return {"sse": sse, "slope": slope, "xmean": sx / n, "order": F.round(sse / F.greatest(syy, F.lit(1e-9)), 9)}
+    c = lambda name: F.col(f"__b_{name}")
+    out = df.withColumns({f"__b_{k}": v for k, v in {"cp": cp, "n": n, "syy": syy, "m": m, "t": t, "tt": tt, "y": y, "ty": ty}.items()})
+    out = out.withColumn("__b_mid", F.when(c("m") > 0, c("t") / c("m")).otherwise(c("cp")))
+    out = out.withColumns({"__b_off": c("cp") - c("mid"), "__b_rest": c("tt") - c("t") * c("mid"), "__b_cross": c("y") * c("mid") - c("ty")})
+    out = out.withColumn("__b_sx", c("m") * c("off"))
+    out = out.withColumns({"__b_sxx": c("sx") * c("off") + c("rest") - c("sx") * c("sx") / c("n"), "__b_sxy": c("y") * c("off") + c("cross")})
+    out = out.withColumn("__slope", F.when(c("sxx") < 1e-9, F.lit(0.0)).otherwise(c("sxy") / c("sxx")))
+    out = out.withColumns({"__sse": c("syy") - F.col("__slope") * c("sxy"), "__xmean": c("sx") / c("n")})
+    return out.withColumn("__order", F.round(F.col("__sse") / F.greatest(c("syy"), F.lit(1e-9)), 9))
 
 
 def _runs(first: Column, last: Column) -> Column:
@@ -154,12 +157,9 @@ def _grid_pass(df: DataFrame, keys: Sequence[str], value: str, temp: str, groups
     own = F.col("__i") == _START
     cp = F.when(own, F.lit(START_CHANGE_POINT)).otherwise(F.col("__from") + F.col("__i") * F.col("__step"))
     moments = [F.when(own, F.col(f"__e{c}")).otherwise(F.col(f"__{c}")) for c in sums]
-    fits = _bent(cp - F.col("__low"), F.col("__n"), F.col("__syy"), *moments)
-    best = F.min_by(
-        F.struct(*carried, F.col("__step"), cp.alias("__cp"), *[fits[c].alias(f"__{c}") for c in ("sse", "slope", "xmean")]),
-        F.struct(fits["order"], F.col("__i")),
-    )
-    return options.groupBy(*keys).agg(best.alias("b")).select(*keys, "b.*")
+    fits = _bent(options.withColumn("__cp", cp), F.col("__cp") - F.col("__low"), F.col("__n"), F.col("__syy"), *moments)
+    best = F.min_by(F.struct(*carried, "__step", "__cp", "__sse", "__slope", "__xmean"), F.struct("__order", "__i"))
+    return fits.groupBy(*keys).agg(best.alias("__best")).select(*keys, "__best.*")
 
 
 def fit(
@@ -380,15 +380,13 @@ def _fold_bends(rows: DataFrame, group: Sequence[str], folds: int, value: str, t
     found = ", ".join(_answers(f"__grids[{f}]", {c: f"__{c}{f}" for c in sums}) for f in range(1, folds + 1))
     tied = F.coalesce(F.col("__next") > F.col("__at"), F.lit(True))  # of equal temperatures the last row has them all
     options = known.filter(tied | F.col("__first")).select(*group, "__c", "__o", F.expr(f"explode(concat({found}))").alias("x"))
-    g, s = F.col("x.g"), F.col("x.s")
-    cp = F.when(F.col("x.i") == _START, F.lit(START_CHANGE_POINT)).otherwise(g["__from"] + F.col("x.i") * g["__step"])
-    off = g["__mean"] - F.col("__c")
-    fits = _bent(cp - F.col("__o"), g["__n"], g["__syy"], s["m"], s["t"], s["tt"], s["y"] - s["m"] * off, s["ty"] - s["t"] * off)
-    best = F.min_by(
-        F.struct(cp.alias("__cp"), g["__step"].alias("__width"), *[fits[c].alias(f"__{c}") for c in ("sse", "slope", "xmean")]),
-        F.struct(fits["order"], F.col("x.i")),
-    )
-    return options.groupBy(*group, g["fold"].alias("fold")).agg(best.alias("b")).select(*group, "fold", "b.*")
+    options = options.select(*group, "__c", "__o", F.col("x.i").alias("__i"), "x.g.*", "x.s.*")
+    cp = F.when(F.col("__i") == _START, F.lit(START_CHANGE_POINT)).otherwise(F.col("__from") + F.col("__i") * F.col("__step"))
+    options = options.withColumns({"__cp": cp, "__off": F.col("__mean") - F.col("__c")})
+    centred = [F.col("__y") - F.col("__m") * F.col("__off"), F.col("__ty") - F.col("__t") * F.col("__off")]
+    fits = _bent(options, F.col("__cp") - F.col("__o"), F.col("__n"), F.col("__syy"), *[F.col(f"__{c}") for c in ("m", "t", "tt")], *centred)
+    best = F.min_by(F.struct("__cp", F.col("__step").alias("__width"), "__sse", "__slope", "__xmean"), F.struct("__order", "__i"))
+    return fits.groupBy(*group, "fold").agg(best.alias("__best")).select(*group, "fold", "__best.*")
 
 
 def _answers(grid: str, sums: dict[str, str]) -> str:
@@ -403,7 +401,7 @@ def _answers(grid: str, sums: dict[str, str]) -> str:
     empty = f"__first AND __at >= {START_CHANGE_POINT}"
     held = f"__at < {START_CHANGE_POINT} AND coalesce(__next >= {START_CHANGE_POINT}, true)"
     start = f"if(({held}) OR ({empty}), array({_START}), CAST(array() AS ARRAY<INT>))"
-    values = ", ".join(f"'{c}', if(i = {_START} AND {empty}, 0D, {v})" for c, v in sums.items())
+    values = ", ".join(f"'__{c}', if(i = {_START} AND {empty}, 0D, {v})" for c, v in sums.items())
     steps = f"coalesce({steps}, CAST(array() AS ARRAY<INT>))"
     one = f"named_struct('g', {grid}, 'i', i, 's', named_struct({values}))"
     return f"if({grid} IS NULL, array(), transform(concat({start}, {steps}), i -> {one}))"

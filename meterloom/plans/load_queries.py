@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from meterloom.functions import scalars as S
-from meterloom.operators import align, loadfit, loadmodel
+from meterloom.operators import align, loadfit, loadmodel, usage
 from meterloom.plans import views
 from meterloom.plans.registry import query
 from meterloom.plans.shared import energy_grid, energy_hourly, load_input, r4, stamp, stored, text, whole
@@ -355,24 +355,53 @@ def m27_days(spark, folder):
     return _trained_days(spark, folder).select("energy", text("day"), "s")
 
 
+_DENSITY = f"""WITH low AS (SELECT energy, hour, value FROM energy_grid JOIN (SELECT energy, quantile_cont(value, {usage.LOWER_SHARE})
+      AS most FROM energy_grid GROUP BY energy) USING (energy) WHERE value <= most),
+    s AS (SELECT energy, count(*) AS n, stddev_samp(value) AS sd, quantile_cont(value, 0.75) - quantile_cont(value, 0.25) AS iqr,
+      min(value) AS a, max(value) AS b, quantile_cont(value, 0.2) AS q20, quantile_cont(value, 0.1) AS q10 FROM low GROUP BY energy),
+    h AS (SELECT *, 0.9 * coalesce(nullif(least(sd, iqr / 1.34), 0), nullif(sd, 0), nullif(abs(a), 0), 1) * n ** -0.2 AS bw FROM s),
+    g AS MATERIALIZED (SELECT energy, q20, q10, bw, a - 3 * bw AS lo, (b - a + 6 * bw) / 511 AS dx FROM h WHERE n > 1),
+    bins AS MATERIALIZED (SELECT energy, k + j AS k, sum(CASE j WHEN 0 THEN 1 - (u - k) ELSE u - k END) AS w FROM
+      (SELECT energy, (value - lo) / dx AS u, floor((value - lo) / dx)::INTEGER AS k FROM low JOIN g USING (energy)), range(2) r(j)
+      GROUP BY ALL),
+    d AS (SELECT energy, p, lo + p * dx AS x, sum(w * exp(-0.5 * ((p - k) * dx / bw) ** 2)) AS d FROM g JOIN bins USING (energy),
+      range(512) r(p) WHERE abs(p - k) <= floor(7 * bw / dx) GROUP BY energy, p, lo, dx),
+    e AS (SELECT energy, p, x, round(d / max(d) OVER (PARTITION BY energy), 9) AS d FROM d),
+    c AS (SELECT * FROM (SELECT *, lag(d) OVER w AS before, lag(x) OVER w AS lx FROM e WINDOW w AS (PARTITION BY energy ORDER BY p))
+      WHERE before IS DISTINCT FROM d),
+    f AS (SELECT *, lead(d) OVER w AS after, (x + lead(lx) OVER w) / 2 AS mid FROM c WINDOW w AS (PARTITION BY energy ORDER BY p)),
+    t AS MATERIALIZED (SELECT energy, mid AS x, d, d > before AS top, row_number() OVER (PARTITION BY energy ORDER BY p) AS k,
+      count(*) OVER (PARTITION BY energy) AS n, max(d) OVER (PARTITION BY energy) AS peak FROM f WHERE (d > before) <> (after > d)
+      AND before IS NOT NULL AND after IS NOT NULL),
+    m AS MATERIALIZED (SELECT t.energy, min(t.k) FILTER (t.top) AS one, min(t.k) FILTER (t.top AND o.d > 0 AND t.d / o.d > 3 AND t.x > q10)
+      AS k FROM t JOIN g USING (energy) LEFT JOIN t o ON o.energy = t.energy AND o.k = t.k - 2 GROUP BY t.energy),
+    l AS (SELECT m.energy, CASE WHEN f.n >= 3 AND z.x < 0.5 THEN y.x WHEN f.n >= 3 AND m.k IS NOT NULL THEN v.x
+        WHEN f.n >= 3 AND f.x <= q20 AND f.d > 0.2 * f.peak THEN s.x WHEN f.n = 1 AND f.x < 0.5 THEN f.x END AS lim
+      FROM m JOIN g USING (energy) JOIN t f ON f.energy = m.energy AND f.k = 1
+      LEFT JOIN t z ON z.energy = m.energy AND z.k = coalesce(m.k, m.one)
+      LEFT JOIN t y ON y.energy = m.energy AND y.k = coalesce(m.k, m.one) + 1
+      LEFT JOIN t v ON v.energy = m.energy AND v.k = m.k - 1 LEFT JOIN t s ON s.energy = m.energy AND s.k = 2)"""
+
+
+@query(
+    "w24_usage_limits",
+    _DENSITY + " SELECT g.energy, r4(coalesce(lim, 0)) AS usage_limit FROM g LEFT JOIN l USING (energy)",
+)
+def w24_limits(spark, folder):
+    limits = usage.usage_limits(stored(energy_grid(spark, folder)), ["energy"], "value")
+    return limits.select("energy", r4("limit", "usage_limit"))
+
+
 @query(
     "w24_unused_days",
-    f"""WITH ends AS (SELECT energy, min(value) AS a, quantile_cont(value, 0.7) AS b FROM energy_grid GROUP BY energy),
-    counts AS (SELECT energy, coalesce(least(floor((value - a) / nullif((b - a) / {loadfit.BINS}, 0)), {loadfit.BINS - 1}), 0)::INTEGER
-      AS bin, count(*) AS c FROM energy_grid JOIN ends USING (energy) WHERE value <= b GROUP BY 1, 2),
-    bins AS (SELECT energy, a, b, unnest(generate_series(0, {loadfit.BINS - 1}))::INTEGER AS bin FROM ends),
-    smooth AS (SELECT bins.*, avg(coalesce(c, 0)) OVER (PARTITION BY energy ORDER BY bin ROWS BETWEEN 2 PRECEDING AND 2
-      FOLLOWING) AS d FROM bins LEFT JOIN counts USING (energy, bin)),
-    near AS (SELECT *, lag(d) OVER w AS p, lead(d) OVER w AS n, max(d) OVER (PARTITION BY energy ORDER BY bin
-      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top FROM smooth WINDOW w AS (PARTITION BY energy ORDER BY bin)),
-    limits AS (SELECT energy, coalesce(min(CASE WHEN d < p AND d <= n AND d <= top * {loadfit.VALLEY}
-      THEN a + (bin + 0.5) * ((b - a) / {loadfit.BINS}) END), 0) AS lim FROM near GROUP BY energy)
-    SELECT DISTINCT energy, CAST(CAST(hour AS DATE) AS VARCHAR) AS day FROM energy_grid JOIN limits USING (energy) WHERE value <= lim""",
+    _DENSITY
+    + """ SELECT DISTINCT energy, CAST(CAST(hour AS DATE) AS VARCHAR) AS day FROM energy_grid LEFT JOIN l USING (energy)
+    WHERE value <= coalesce(lim, 0)""",
 )
 def w24(spark, folder):
     rows = stored(energy_grid(spark, folder))
-    limits = loadfit.no_usage_limits(rows, "energy", "value")
-    return loadfit.unused_days(rows, limits, "energy", "hour", "value").select("energy", text("day"))
+    limits = usage.usage_limits(rows, ["energy"], "value")
+    return usage.unused_days(rows, limits, ["energy"], "hour", "value").select("energy", text("day"))
 
 
 # --- features and fits ----------------------------------------------------------------------

@@ -399,12 +399,55 @@ def test_search_finds_occupancy_and_balance_between_grid_points(spark):
     assert len(got) == 1 and got[0].tbal == pytest.approx(tbal) and got[0].p == pytest.approx(p) and got[0].score > 0.999
 
 
-def test_no_usage_limit_finds_the_valley(spark):
+def plain_usage_limit(values):
+    """The rule on the exact density, point by point."""
+    v = np.sort(values)
+    v = v[v <= np.quantile(v, 0.7)]
+    iqr = np.quantile(v, 0.75) - np.quantile(v, 0.25)
+    spread = min(np.std(v, ddof=1), iqr / 1.34) or np.std(v, ddof=1) or abs(v[0]) or 1.0
+    bw = 0.9 * spread * len(v) ** -0.2
+    x = np.linspace(v[0] - 3 * bw, v[-1] + 3 * bw, 512)
+    d = np.exp(-0.5 * ((x[:, None] - v) / bw) ** 2).sum(axis=1)
+    turns = [i for i in range(1, 511) if (d[i] - d[i - 1]) * (d[i + 1] - d[i]) < 0]
+    if len(turns) == 1:
+        return x[turns[0]] if x[turns[0]] < 0.5 else 0.0
+    if len(turns) < 3:
+        return 0.0
+    limit = 0.0
+    if x[turns[0]] <= np.quantile(v, 0.2) and d[turns[0]] > 0.2 * d[turns].max():
+        limit = x[turns[1]]
+    modes = range(0, len(turns), 2)
+    big = [k for k in modes if k > 0 and d[turns[k]] > 3 * d[turns[k - 2]] and x[turns[k]] > np.quantile(v, 0.1)]
+    mode = big[0] if big else 0
+    if big:
+        limit = x[turns[mode - 1]]
+    if x[turns[mode]] < 0.5:
+        limit = x[turns[mode + 1]] if mode + 1 < len(turns) else 0.0
+    return limit
+
+
+def test_usage_limit_follows_the_density(spark):
+    from meterloom.operators import usage
+
     rng = np.random.default_rng(4)
-    rows = [("u", float(v)) for v in np.concatenate([rng.normal(1, 0.2, 300), rng.normal(6, 1, 1500)])]
-    rows += [("flat", 2.0)] * 50 + [("rising", float(i**0.5)) for i in range(1000)]
-    got = {r.k: r.limit for r in loadfit.no_usage_limits(spark.createDataFrame(rows, "k string, v double"), "k", "v").collect()}
-    assert 1.4 < got["u"] < 4 and got["flat"] == 0 and got["rising"] == 0
+    series = {
+        "valley": np.concatenate([rng.normal(1, 0.2, 300), rng.normal(6, 1, 1500)]),
+        "flat": np.full(50, 2.0),
+        "zeros": np.zeros(40),
+        "rising": np.arange(1000) ** 0.5,
+        # Most of the use within a sixty-fourth of the range, where equal bins see a single one.
+        "spike": np.concatenate([rng.normal(3, 0.01, 1500), rng.normal(3.1, 0.01, 1200), rng.uniform(0, 20, 400)]),
+        # A small dip early, then a mode over three times as high.
+        "growth": np.concatenate([rng.normal(2, 0.3, 60), rng.normal(4, 0.3, 90), rng.normal(9, 0.6, 1500)]),
+        "standby": np.concatenate([rng.normal(0.1, 0.02, 500), rng.normal(5, 1, 900)]),
+    }
+    rows = [(k, float(v)) for k, values in series.items() for v in values] + [("flat", None), ("one", 1.0), ("none", None)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r.k: r.limit for r in usage.usage_limits(df, ["k"], "v").collect()}
+    for k, values in series.items():
+        assert got[k] == pytest.approx(plain_usage_limit(values), abs=0.02 * (1 + abs(got[k]))), k
+    assert 1.4 < got["valley"] < 4 and 5 < got["growth"] < 8 and 0.2 < got["standby"] < 4
+    assert got["flat"] == got["one"] == 0 and got.get("none", 0) == 0
 
 
 def test_critical_values_go_on_beyond_the_table(spark):

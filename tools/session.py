@@ -19,6 +19,8 @@ def local_session(cpus: str | None = None, partitions: int = 8) -> SparkSession:
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Model fits work long on few bytes; a megabyte a task, the default, would leave them to one core.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.extraJavaOptions", "-Dlog4j2.level=ERROR")
         .getOrCreate()
