@@ -6,7 +6,7 @@ files were read, and ``availableNow`` stops once the source is exhausted.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,9 +20,27 @@ def document_stream(spark: SparkSession, path: str, schema: T.StructType, files_
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).json(path)
 
 
-def without_redelivery(stream: DataFrame, time: str, keys: list[str], delay: str) -> DataFrame:
-    """Drop documents delivered again within ``delay``; the watermark bounds the state."""
-    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
+INDEX = "id binary, month date, batch int"
+
+
+def _not_loaded(rows: DataFrame, index_path: str, identity: Sequence[str], time: str, number: int) -> DataFrame:
+    """Documents of a batch that no earlier batch has loaded, each once, with their ``id`` and ``month``.
+
+    The index of loaded ids lies in folders by the month of the document, so a batch reads the months it has documents of,
+    however late these come; nothing has to be kept in the state of the stream, and no document is too late.
+    """
+    parts = [F.to_json(F.struct(c)) for c in identity]
+    keyed = rows.withColumns({"id": F.unhex(F.sha2(F.concat_ws("\n", *parts), 256)), "month": F.trunc(time, "month")})
+    once = keyed.dropDuplicates(["month", "id"])
+    spark = rows.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(index_path)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return once
+    months = [r.month for r in once.select("month").distinct().collect()]  # bounded by the calendar
+    wanted = F.col("month").isin([m for m in months if m is not None]) | F.col("month").isNull()
+    # A batch that is run again does not find itself.
+    loaded = spark.read.schema(INDEX).parquet(index_path).filter(wanted & (F.col("batch") < number)).drop("batch")
+    return once.join(loaded, (once["id"] == loaded["id"]) & once["month"].eqNullSafe(loaded["month"]), "left_anti")
 
 
 def load_stream(
@@ -33,20 +51,27 @@ def load_stream(
     error_path: str,
     checkpoint: str,
     detected_at: str,
+    index_path: str,
+    identity: Sequence[str],
+    time: str,
 ) -> None:
-    """Look up readings, write good rows and dead letters; each batch replaces its own
-    partition, so a repeated batch leaves no duplicates."""
+    """Look up readings, write good rows and dead letters, each document once.
+
+    Documents are the same if they agree in the columns ``identity``.  Each batch replaces its own partition of every output
+    and of the index, so a repeated batch leaves no duplicates.
+    """
 
     def write_batch(batch: DataFrame, number: int) -> None:
-        # Both writes read the batch; without persisting, its state would be evaluated twice.
-        found = ingest.with_reading(batch, metadata).persist()
-        good, bad = ingest.split_errors(found, detected_at)
-        for part, path in ((shape(good), good_path), (bad, error_path)):
+        # All writes read the batch; without persisting, the index would be read for each.
+        found = ingest.with_reading(_not_loaded(batch, index_path, identity, time, number), metadata).persist()
+        good, bad = ingest.split_errors(found.drop("id", "month"), detected_at)
+        outputs = [(shape(good), good_path, []), (bad, error_path, []), (found.select("id", "month"), index_path, ["month"])]
+        for part, path, folders in outputs:
             (
                 part.withColumn("batch", F.lit(number))
                 .write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("batch")
+                .partitionBy("batch", *folders)
                 .parquet(path)
             )
         found.unpersist()
