@@ -18,6 +18,17 @@ from meterloom.functions.ordered import Step, ordered_scan
 STEPS = {1800: "interval 30 minutes", 3600: "interval 1 hour", 86400: "interval 1 day"}
 
 
+def step_of(seconds: str) -> str:
+    """SQL text of the interval that a column with whole seconds names, for series with steps of their own."""
+    return f"make_dt_interval(0, 0, 0, `{seconds}`)"
+
+
+def bin_of(time: str, seconds: str) -> Column:
+    """Start of the bin of a timestamp, for bins as wide as a column says."""
+    width = F.col(seconds)
+    return F.timestamp_seconds(F.floor(F.unix_seconds(F.col(time).cast("timestamp")) / width) * width)
+
+
 def fill_grid(binned: DataFrame, keys: Sequence[str], time: str, step: str) -> DataFrame:
     """Add the missing bins between each key's first and last one.
 
@@ -51,14 +62,16 @@ def resample_counter(
     return counter_movement(tops, keys, out_time, "__c", step_s)
 
 
-def counter_movement(df: DataFrame, keys: Sequence[str], time: str, counter: str, step_s: int) -> DataFrame:
+def counter_movement(df: DataFrame, keys: Sequence[str], time: str, counter: str, step_s: int | str) -> DataFrame:
     """Difference of a counter interpolated on its grid.
 
     Between two known counts the interpolated difference is the same for every
     bin, so each known count fills the bins since the one before it.  The first
     known bin and anything before it is null, bins after the last one are 0.
+    ``step_s`` may name a key column with the seconds of each series.
     """
-    width = F.expr(STEPS[step_s])
+    width = F.expr(step_of(step_s) if isinstance(step_s, str) else STEPS[step_s])
+    step_s = F.col(step_s) if isinstance(step_s, str) else step_s
     w = Window.partitionBy(*keys)
     ends = df.withColumns({"__a": F.min(time).over(w), "__b": F.max(time).over(w)})
     known = ends.filter(F.col(counter).isNotNull())

@@ -4,6 +4,7 @@ from meterloom.plans import (  # noqa: F401
     clean_queries,
     compare_queries,
     event_queries,
+    job_queries,
     load_queries,
     model_queries,
     quality_queries,

@@ -68,6 +68,11 @@ def _file(spark: SparkSession, path: str):
     return name, name.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    name, fs = _file(spark, path)
+    return fs.exists(name)
+
+
 def _current(spark: SparkSession, path: str) -> str:
     return spark.read.text(f"{path}/current").first()[0]
 
