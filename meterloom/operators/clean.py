@@ -248,18 +248,19 @@ def remove_extreme_rates(
     list.  Only series that lost a row in the first round are set aside for the
     next ones, each of which reads those that the one before took some from.
     """
-    removed, work = None, df.select(*keys, time, value)
+    removed, rows = None, df.select(*keys, time, value)
+    work = rows
     while True:
-        left = work if removed is None else work.join(removed, [*keys, time], "left_anti")
+        left = rows if removed is None else rows.join(removed, [*keys, time], "left_anti")
         judged = consumption_rates(left, keys, time, value, chunk)
         limits = _limits(judged, keys, "rate", sd_limit, allow_negative=False).drop("__n")
         bad = cut_lineage(judged.join(limits, list(keys)).filter(_beyond("rate")).select(*keys, time))
         if bad.isEmpty():
             return df if removed is None else df.join(removed, [*keys, time], "left_anti")
         turn = bad.select(*keys).distinct()
-        work = work.join(turn, list(keys), "left_semi")
         if removed is None:
-            work = cut_lineage(work)
+            work = cut_lineage(work.join(turn, list(keys), "left_semi"))
+        rows = work.join(turn, list(keys), "left_semi")
         removed = bad if removed is None else removed.unionByName(bad)
 
 

@@ -67,6 +67,8 @@ def load_stream(
         good, bad = ingest.split_errors(found.drop("id", "month"), detected_at)
         outputs = [(shape(good), good_path, []), (bad, error_path, []), (found.select("id", "month"), index_path, ["month"])]
         for part, path, folders in outputs:
+            # One file a folder, unless a folder has much.
+            part = part.hint("rebalance", *folders) if folders else part
             (
                 part.withColumn("batch", F.lit(number))
                 .write.mode("overwrite")
