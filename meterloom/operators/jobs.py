@@ -14,8 +14,9 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterloom.functions import scalars as S
 from meterloom.functions.recovery import cut_lineage
-from meterloom.operators import align, clean, grid
+from meterloom.operators import align, clean, grid, models
 from meterloom.sources import sinks
 
 DAY = 86400
@@ -172,3 +173,66 @@ def store(spark: SparkSession, folder: str, found: Cleaned, keys: Sequence[str],
             sinks.replace_in_table(spark, path, rows, keys, partitions)
         else:
             sinks.create_table(rows, path, partitions)
+
+
+# --- hourly baseline -------------------------------------------------------------------------------------------------
+
+
+HALF_HOUR, HOUR = 1800, 3600
+WEEK = 7 * DAY
+FOLDS = 16
+
+
+def unit_series(
+    consumption: DataFrame, bridge: DataFrame, weather: DataFrame, preference: Sequence[str], tie: Sequence[str] = ()
+) -> DataFrame:
+    """Consumption of units with their station's temperature: (unit, energy, step_s, hour, value, temperature).
+
+    ``consumption``: (device, energy, step_s, ts, value, source), clean series of several sources; ``bridge``: (device, unit,
+    multiplier, station); ``weather``: (station, hour, temperature).  Of several sources the preferred one counts, and a
+    unit has a value only where all its devices of an energy type and step have one.
+    """
+    own = ["device", "energy", "step_s"]
+    best = align.prefer_source(consumption, [*own, "ts"], "source", preference, tie, ["value"])
+    # The devices of a unit are aligned for each energy type and step by themselves.
+    name = lambda first: F.struct(F.col(first).alias("id"), "energy", "step_s")
+    rows = best.withColumn("device", name("device")).select("device", F.col("ts").alias("hour"), "value")
+    parts = best.select(*own).distinct().join(bridge, "device")
+    pairs = parts.select(name("device").alias("device"), name("unit").alias("unit"), "multiplier")
+    units = align.align_devices(rows, pairs, "hour")
+    stations = bridge.select(F.col("unit").alias("__unit"), "station").distinct()
+    placed = units.join(stations, F.col("unit.id") == F.col("__unit")).select(
+        F.col("unit.id").alias("unit"), "unit.energy", "unit.step_s", "station", "hour", "value"
+    )
+    at = F.date_trunc("hour", "hour")
+    return align.weather_join(placed, weather, at, F.col("hour"), ["temperature"], prefix="out_").select(
+        "unit", "energy", "step_s", F.col("hour"), "value", F.col("out_temperature").alias("temperature")
+    )
+
+
+def baseline(
+    series: DataFrame, step_s: int, water: Sequence[str] = (), folds: int = FOLDS, floor: float = -10.0
+) -> DataFrame:
+    """Rolling predictions of the last weeks with residual bands and scores, for the series of one step.
+
+    Each slot of the week has its own model, the constant alone for hourly series and for ``water``, else the best of all
+    candidates.  Impossible values of the hourly bands are smoothed.  ``series``: (unit, energy, hour, value, temperature).
+    """
+    keys, width = ["unit", "energy"], WEEK // step_s
+    rows = cut_lineage(series.withColumn("slot", S.week_slot("hour")))
+    plain = F.lit(True) if step_s >= HOUR else F.col("energy").isin(list(water))
+    run = lambda part, candidates: models.backtest(part, keys, "hour", "value", "slot", width, folds, "temperature", candidates)
+    out = run(rows.filter(plain), ("constant",))
+    if step_s < HOUR:
+        out = out.unionByName(run(rows.filter(~plain), models.ALL_MODELS))
+    if step_s >= HOUR:
+        for band in models.BANDS:
+            out = models.smooth_band(out, keys, "hour", f"p{band}", "smooth", floor).drop(f"p{band}").withColumnRenamed("smooth", f"p{band}")
+    return out
+
+
+def baseline_documents(predicted: DataFrame, created: str) -> DataFrame:
+    """One document a series: its times, values, predictions and bands as arrays; a series has ``FOLDS`` weeks at the most."""
+    columns = ["hour", "value", "prediction", *[f"p{b}" for b in models.BANDS], "score"]
+    rows = predicted.groupBy("unit", "energy").agg(F.array_sort(F.collect_list(F.struct(*columns))).alias("r"))
+    return rows.select("unit", "energy", F.lit(created).alias("created"), *[F.col(f"r.{c}").alias(c) for c in columns])

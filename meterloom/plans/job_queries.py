@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from meterloom.functions.ordered import running_total
 from meterloom.operators import jobs
 from meterloom.plans import views
+from meterloom.plans.model_queries import _SHOW, _backtest_sql, _backtest_tail
 from meterloom.plans.registry import query
 from meterloom.plans.shared import by_month, r4, stamp, text
 from meterloom.sources import sinks
@@ -178,3 +179,57 @@ def clean_station_weather(spark, folder):
 )
 def quality_weather(spark, folder):
     return _stations(spark, folder).quality.select("station", "n_rows", "n_duplicated", "n_below", "n_above", "n_gap")
+
+
+# --- hourly baseline -------------------------------------------------------------------------------
+
+# Clean series as two sources, the second one with every other value and a tenth less; two devices a unit.
+_UNITS = (
+    _HOURLY
+    + """, cons AS (SELECT device, energy, w, bin, CASE WHEN NOT negative AND NOT outlier THEN v END AS v FROM fl),
+  two AS (SELECT *, 'A' AS source FROM cons UNION ALL SELECT device, energy, w, bin, v * 0.9, 'R' FROM cons WHERE hour(bin) % 2 = 0),
+  pref AS (SELECT device, energy, w, bin, arg_max(ROW(v), CASE source WHEN 'R' THEN 1 ELSE 0 END) AS r FROM two GROUP BY ALL),
+  dev AS (SELECT device, device // 2 AS unit, 1 + 0.5 * (device % 3) AS multiplier FROM (SELECT DISTINCT device FROM cons)),
+  need AS (SELECT unit, energy, w, count(*) AS m FROM (SELECT DISTINCT device, energy, w FROM pref) JOIN dev USING (device) GROUP BY ALL),
+  total AS (SELECT unit, energy, w, bin AS hour, sum(r[1] * multiplier) AS value, count(*) AS n FROM pref JOIN dev USING (device)
+    WHERE r[1] IS NOT NULL GROUP BY ALL),
+  units_at AS MATERIALIZED (SELECT t.unit, t.energy, t.w, t.hour, t.value, m.temperature + t.unit / 10.0 AS temperature FROM total t
+    JOIN need USING (unit, energy, w) JOIN (SELECT hour, avg(temperature) AS temperature FROM meteo_hourly GROUP BY hour) m
+    ON m.hour = date_trunc('hour', t.hour) WHERE n = need.m)"""
+)
+_SLOT = "strftime(hour, '%a %H:%M')"
+
+
+def _baseline_sql(step: int) -> str:
+    source = f"SELECT unit, energy, hour, value, temperature, {_SLOT} AS slot FROM units_at WHERE w = {step}"
+    tail = _backtest_tail("unit, energy", "hour", f"strftime(hour, {TS})")
+    body = _backtest_sql(source, "unit, energy", "hour", 7 * 86400 // step, jobs.FOLDS, False, tail, step < jobs.HOUR)
+    return f"{_UNITS}, {body.strip()[5:]}"
+
+
+def _unit_series(spark, folder):
+    found = _hourly(spark, folder).clean.withColumn("source", F.lit("A"))
+    second = found.filter(F.hour("ts") % 2 == 0).withColumns({"source": F.lit("R"), "value": F.col("value") * 0.9})
+    bridge = found.select("device").distinct().withColumns(
+        {"unit": F.floor(F.col("device") / 2), "multiplier": 1 + 0.5 * (F.col("device") % 3), "station": F.floor(F.col("device") / 2)}
+    )
+    # The units' stations have the mean of all stations and a little more, so that no hour is without weather.
+    weather = views.meteo_hourly(spark, folder).groupBy("hour").agg(F.avg("temperature").alias("t"))
+    weather = weather.withColumn("station", F.explode(F.array(*[F.lit(i).cast("bigint") for i in range(5)])))
+    weather = weather.withColumn("temperature", F.col("t") + F.col("station") / 10)
+    return jobs.unit_series(found.unionByName(second), bridge, weather, ["R", "A"])
+
+
+def _baseline(spark, folder, step):
+    out = jobs.baseline(_unit_series(spark, folder).filter(F.col("step_s") == step), step, water=["view"])
+    return out.select("unit", "energy", stamp("hour"), F.col("fold").cast("bigint").alias("fold"), *[r4(c) for c in _SHOW])
+
+
+@query("baseline_hourly", _baseline_sql(jobs.HOUR))
+def baseline_hourly(spark, folder):
+    return _baseline(spark, folder, jobs.HOUR)
+
+
+@query("baseline_half_hourly", _baseline_sql(jobs.HALF_HOUR))
+def baseline_half_hourly(spark, folder):
+    return _baseline(spark, folder, jobs.HALF_HOUR)
