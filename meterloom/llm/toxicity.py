@@ -51,12 +51,15 @@ SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8":
 
 _LOOKS = str.maketrans(HOMOGLYPHS)
 _PUT = str.maketrans(SUBSTITUTES)
-_MIXED = re.compile(r"\w*[^\W\d_][\d@$!|]+[^\W\d_]\w*(?:[\d@$!|]+[^\W\d_]\w*)*|\d+[^\W\d_]\w*")
 _GAP = re.compile(r"[\W_]+")
 # Other readings of a word: signs before it and digits behind it count too, and 1, ! and | are each i or l.
 _WAYS = [str.maketrans(SUBSTITUTES | {"1": x, "!": x, "|": x}) for x in "il"]
-_WHOLE = re.compile(r"(?<![\d@$!|])[\d@$!|]*+[^\W\d_](?:[^\W_]|[@$!|])*+")
-_ODD = re.compile(r"[@$!|][^\W_]|[^\W\d_][\d@$|]|\d[^\W\d_]")
+_ODD = re.compile(r"[@$!|][^\W_]|[^\W\d_][\d@$!|]|\d[^\W\d_]")
+_RUN = re.compile(r"(?:[^\W_]|[@$!|])*")
+_NOT_RUN = re.compile(r"[^\w@$!|]|_")
+# A digit or sign between letters, or digits before a letter, after signs.
+_BETWEEN = re.compile(r"[^\W\d_][\d@$!|]++[^\W\d_]|^[@$!|]*+\d++[^\W\d_]")
+_SIGNS = "@$!|"
 
 
 def _plain(text: str) -> str:
@@ -68,24 +71,65 @@ def _spaced(text: str) -> str:
     return " " + _GAP.sub(" ", text).strip() + " "
 
 
-def fold(text: str) -> str:
-    """Words of letters, each behind one space, and a space at the end."""
-    return _spaced(_MIXED.sub(lambda m: m[0].translate(_PUT), _plain(text)))
+def _odd_runs(plain: str) -> Iterator[tuple[int, int]]:
+    """Runs of letters, digits and signs in which a letter stands next to a digit or a sign.
+
+    Each run is walked through once, so a word of any length takes time in proportion to it.
+    """
+    at = 0
+    while odd := _ODD.search(plain, at):
+        start = odd.start()
+        while start > at and not _NOT_RUN.match(plain, start - 1):
+            start -= 1
+        at = _RUN.match(plain, odd.end()).end()
+        yield start, at
+
+
+def _folded(run: str) -> str:
+    if not _BETWEEN.search(run):
+        return run
+    core = run.strip(_SIGNS)
+    start = run.index(core)
+    return run[:start] + core.translate(_PUT) + run[start + len(core) :]
+
+
+def _read(run: str, way: dict[int, str]) -> str:
+    """Signs ``!`` and ``|`` at the end of a word are punctuation."""
+    word = run.rstrip("!|")
+    return word.translate(way) + run[len(word) :] if any(c.isalpha() for c in word) else run
+
+
+def _replaced(plain: str, runs: list[tuple[int, int]], new: list[str]) -> str:
+    parts, last = [], 0
+    for (a, b), word in zip(runs, new, strict=True):
+        parts += (plain[last:a], word)
+        last = b
+    return "".join([*parts, plain[last:]])
 
 
 def readings(text: str) -> list[str]:
-    """:func:`fold` and the other readings that differ from it; all have the same number of words."""
-    out, plain = [fold(text)], _plain(text)
-    if _ODD.search(plain):
-        for way in _WAYS:
-            # Signs ! and | at the end of a word are punctuation.
-            read = lambda m, way=way: (word := m[0].rstrip("!|")).translate(way) + m[0][len(word) :]
-            other = _spaced(_WHOLE.sub(read, plain))
+    """:func:`fold` and the other readings that differ from it."""
+    plain = _plain(text)
+    runs = list(_odd_runs(plain))
+    words = [plain[a:b] for a, b in runs]
+    base = [_folded(w) for w in words]
+    out = [_spaced(_replaced(plain, runs, base))]
+    for way in _WAYS:
+        read = [_read(w, way) for w in words]
+        if read != base:
+            other = _spaced(_replaced(plain, runs, read))
             if other not in out:
                 out.append(other)
     return out
 
 
+def fold(text: str) -> str:
+    """Words of letters, each behind one space, and a space at the end."""
+    plain = _plain(text)
+    runs = list(_odd_runs(plain))
+    return _spaced(_replaced(plain, runs, [_folded(plain[a:b]) for a, b in runs]))
+
+
 @dataclass
 class Lexicon:
     entries: dict[str, float] = field(default_factory=dict)
@@ -135,7 +179,16 @@ class Matcher:
         for end, (length, weight) in self.automaton.iter(folded):
             (spared if weight is None else hits).append((end - length + 1, end, weight))
         if spared:
-            hits = [h for h in hits if not any(a <= h[0] and h[1] <= b for a, b, _ in spared)]
+            # One sweep: of the phrases that begin at or before a match, does the farthest reach behind it?
+            spared.sort(key=lambda h: h[0])
+            hits.sort(key=lambda h: h[0])
+            left, at, reach = [], 0, -1
+            for hit in hits:
+                while at < len(spared) and spared[at][0] <= hit[0]:
+                    reach, at = max(reach, spared[at][1]), at + 1
+                if reach < hit[1]:
+                    left.append(hit)
+            hits = left
         return [(h[0], h[2]) for h in hits]
 
     @staticmethod
