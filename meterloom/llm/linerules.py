@@ -1,11 +1,12 @@
 """Quality rules on texts and on lines that many documents of a host share.
 
-A line counts once for each distinct text of its host.  Lines above both limits are removed, and a document that keeps
-too small a part of its words is rejected.
+A line counts once for each document of its host, copies of a document included.  Lines of more documents than the limit are
+removed, and a document that keeps too small a part of its words is rejected.  The limit is a number of documents, the same
+for a host of any size; rows with the same id and text in one host are one document.
 
 Defined results: null and empty texts have no words and no lines and fail the base rules; a null host is a host of its
-own; rows with the same id and text get the same result, rows with the same id and another text are judged apart; a null
-id is a value like any other; an empty table gives an empty result; columns other than id, text and host are not read.
+own; rows with the same id, host and text get the same result, others with that id are judged apart; a null id is a value
+like any other; an empty table gives an empty result; columns other than id, text and host are not read.
 """
 
 from __future__ import annotations
@@ -25,9 +26,8 @@ SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PCT = 30
-# A line is removed if more than MAX_DOCS distinct texts and more than MAX_SHARE of the host's texts have it.
-MAX_DOCS = 10
-MAX_SHARE = 0.1
+# A line is removed if more than MAX_DOCS documents of its host have it.
+MAX_DOCS = 30
 MIN_LEFT = 0.5
 
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -45,19 +45,19 @@ def keyed(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFra
 
 
 def base_features(rows: DataFrame) -> DataFrame:
-    """``doc_id``, ``text_key`` and the counts of :data:`BASE` for each row of :func:`keyed`."""
-    schema = rows.select("doc_id", "text_key").schema
+    """``doc_id``, ``host``, ``text_key`` and the counts of :data:`BASE` for each row of :func:`keyed`."""
+    schema = rows.select("doc_id", "host", "text_key").schema
     for name in BASE:
         schema = schema.add(name, "long", False)
-    return rows.select("doc_id", "text_key", "text").mapInArrow(_features, schema)
+    return rows.select("doc_id", "host", "text_key", "text").mapInArrow(_features, schema)
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in blocks(batch):
-            counts = _counts(part.column(2))
-            columns = [part.column(0), part.column(1), *(pa.array(c.astype(np.int64)) for c in counts)]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_key", *BASE])
+            counts = _counts(part.column(3))
+            columns = [*(part.column(i) for i in range(3)), *(pa.array(c.astype(np.int64)) for c in counts)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "host", "text_key", *BASE])
 
 
 def _counts(texts: pa.Array) -> list[np.ndarray]:
@@ -104,26 +104,34 @@ def document_lines(rows: DataFrame) -> DataFrame:
     )
 
 
-def common_lines(rows: DataFrame, max_docs: int = MAX_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
-    """Lines above the limits: ``host``, ``line``, ``n_docs``.
+DOCUMENT = ["doc_id", "host", "text_key"]
 
-    Both counts are two-step aggregates with map-side combine, so a hot host or line arrives as one row per task.
+
+def common_lines(rows: DataFrame, max_docs: int = MAX_DOCS) -> DataFrame:
+    """Lines above the limit: ``host``, ``line``, ``n_docs``.
+
+    Both steps are aggregates with map-side combine, so a hot host or line arrives as one row per task.
     """
-    texts = rows.select("host", "text_key").distinct().groupBy("host").agg(F.count("*").alias("n_texts"))
-    seen = document_lines(rows).select("host", "line", "text_key").distinct()
-    n = seen.groupBy("host", "line").agg(F.count("*").alias("n_docs")).filter(F.col("n_docs") > max_docs)
-    hit = n.join(texts.withColumnRenamed("host", "of"), F.col("host").eqNullSafe(F.col("of")))
-    return hit.filter(F.col("n_docs") > F.col("n_texts") * max_share).select("host", "line", "n_docs")
+    seen = document_lines(rows).select(*DOCUMENT, "line").distinct()
+    return seen.groupBy("host", "line").agg(F.count("*").alias("n_docs")).filter(F.col("n_docs") > max_docs)
 
 
 def removed_lines(rows: DataFrame, common: DataFrame) -> DataFrame:
-    """Per document with such lines: their digests, ``removed_words`` and ``line_words`` before the removal."""
-    found = store.small(common.select(F.col("host").alias("of"), F.col("line").alias("hit")), 64)
+    """Per document with such lines: their digests, and ``removed_words`` of one of its rows."""
+    found = store.bounded(common.select(F.col("host").alias("of"), F.col("line").alias("hit")))
     lines = document_lines(rows)
     joined = lines.join(found, lines.host.eqNullSafe(F.col("of")) & (lines.line == F.col("hit")))
-    return joined.groupBy("doc_id", "text_key").agg(
-        F.collect_set("line").alias("lines"), F.sum("words").alias("removed_words")
-    )
+    gone = joined.groupBy(*DOCUMENT).agg(F.collect_set("line").alias("lines"), F.sum("words").alias("words"))
+    # Equal rows of a document were summed above.
+    times = rows.groupBy(*DOCUMENT).agg(F.count("*").alias("times")).filter("times > 1")
+    out = gone.join(times, _same_document(gone, times), "left")
+    removed = (F.col("words") / F.coalesce("times", F.lit(1))).cast("bigint")
+    return out.select(*[gone[c].alias(f"of_{c}") for c in DOCUMENT], "lines", removed.alias("removed_words"))
+
+
+def _same_document(left: DataFrame, right: DataFrame, prefix: str = "") -> Column:
+    a, b, c = (left[x].eqNullSafe(right[prefix + x]) for x in DOCUMENT)
+    return a & b & c
 
 
 def filter_lines(
@@ -132,14 +140,12 @@ def filter_lines(
     text_col: str = "text",
     host_col: str = "source",
     max_docs: int = MAX_DOCS,
-    max_share: float = MAX_SHARE,
     min_left: float = MIN_LEFT,
 ) -> DataFrame:
     """``doc_id``, ``clean_text`` without the common lines, and ``depleted``."""
     rows = keyed(docs, id_col, text_col, host_col)
-    gone = store.stored(removed_lines(rows, store.stored(common_lines(rows, max_docs, max_share), "lines")), "gone")
-    gone = gone.select(F.col("doc_id").alias("id"), F.col("text_key").alias("key"), "lines")
-    joined = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key")), "left")
+    gone = store.stored(removed_lines(rows, store.stored(common_lines(rows, max_docs), "lines")), "gone")
+    joined = rows.join(gone, _same_document(rows, gone, "of_"), "left")
     digest = lambda x: F.xxhash64(F.trim(F.lower(F.regexp_replace(x, SPACE, " "))))
     kept = F.filter(
         F.split(F.coalesce("text", F.lit("")), "\n"),
@@ -157,24 +163,16 @@ def judge(
     text_col: str = "text",
     host_col: str = "source",
     max_docs: int = MAX_DOCS,
-    max_share: float = MAX_SHARE,
     min_left: float = MIN_LEFT,
 ) -> DataFrame:
     """One row per document: the base counts, ``base_failed``, ``removed_words`` and ``kept``."""
     rows = keyed(docs, id_col, text_col, host_col)
-    common = store.stored(common_lines(rows, max_docs, max_share), "lines")
-    gone = removed_lines(rows, common).select(
-        F.col("doc_id").alias("id"), F.col("text_key").alias("key"), "removed_words"
-    )
-    # Rows with the same id and text were summed above.
-    times = rows.groupBy("doc_id", "text_key").agg(F.count("*").alias("times")).filter("times > 1")
-    times = times.select(F.col("doc_id").alias("id2"), F.col("text_key").alias("key2"), "times")
+    common = store.stored(common_lines(rows, max_docs), "lines")
+    gone = removed_lines(rows, common).drop("lines")
     base = base_features(rows)
-    out = base.join(gone, base.doc_id.eqNullSafe(F.col("id")) & (base.text_key == F.col("key")), "left").join(
-        times, base.doc_id.eqNullSafe(F.col("id2")) & (base.text_key == F.col("key2")), "left"
-    )
+    out = base.join(gone, _same_document(base, gone, "of_"), "left")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words"))
-    removed = (F.coalesce("removed_words", F.lit(0)) / F.coalesce("times", F.lit(1))).cast("bigint")
+    removed = F.coalesce("removed_words", F.lit(0))
     left = F.col("n_words") - removed
     return out.select(
         "doc_id",

@@ -53,10 +53,8 @@ WITH d AS (
 ), ln AS (
   SELECT doc_id, source, text, trim(lower(regexp_replace(x, '{SPACE}', ' ', 'g'))) AS line
   FROM (SELECT doc_id, source, text, unnest(lines) AS x FROM base)
-), hosts AS (SELECT source, count(DISTINCT text) AS n_texts FROM base GROUP BY source
 ), common AS (
-  SELECT source, line FROM ln JOIN hosts USING (source) GROUP BY source, line
-  HAVING count(DISTINCT text) > {linerules.MAX_DOCS} AND count(DISTINCT text) > {linerules.MAX_SHARE} * any_value(n_texts)
+  SELECT source, line FROM ln GROUP BY source, line HAVING count(DISTINCT doc_id) > {linerules.MAX_DOCS}
 ), gone AS (
   SELECT doc_id, sum(len(string_split(line, ' '))) AS removed_words FROM ln JOIN common USING (source, line) GROUP BY doc_id
 ), f AS (
