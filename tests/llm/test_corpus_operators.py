@@ -131,18 +131,17 @@ def plain_counts(text):
 
 
 def test_line_rules(docs, rows, nothing):
-    limits = {"max_docs": 5, "max_share": 0.05, "min_left": 0.5}
+    limits = {"max_docs": 5, "min_left": 0.5}
     normal = lambda x: re.sub(linerules.SPACE, " ", x).strip().lower()
     lines = lambda t: [normal(x) for x in (t or "").split("\n") if WORD.search(x)]
-    texts, holders = defaultdict(set), defaultdict(set)
-    for _, t, s in rows:
-        texts[s].add(t or "")
+    holders = defaultdict(set)
+    for i, t, s in rows:
         for x in lines(t):
-            holders[s, x].add(t)
+            holders[s, x].add((i, t))
     want = Counter()
     for i, t, s in rows:
         counts = plain_counts(t)
-        gone = sum(len(x.split(" ")) for x in lines(t) if len(holders[s, x]) > max(5, 0.05 * len(texts[s])))
+        gone = sum(len(x.split(" ")) for x in lines(t) if len(holders[s, x]) > 5)
         failed = counts[0] < 20 or 100 * counts[4] > 30 * counts[0]
         want[i, *counts, failed, gone, not failed and counts[0] - gone >= 0.5 * counts[0]] += 1
     got = linerules.judge(docs, **limits)
@@ -153,10 +152,19 @@ def test_line_rules(docs, rows, nothing):
 def test_cleaned_texts_lose_only_common_lines(spark):
     texts = [f"Menu\nown {i} " + "text " * 30 for i in range(20)] + ["menu \n"]
     rows = spark.createDataFrame([(i, t, "h") for i, t in enumerate(texts)], "doc_id long, text string, source string")
-    got = {r.doc_id: r for r in linerules.filter_lines(rows).collect()}
+    got = {r.doc_id: r for r in linerules.filter_lines(rows, max_docs=10).collect()}
     assert got[3].clean_text == "own 3 " + "text " * 30 and not got[3].depleted and got[20].depleted
 
 
+def test_the_limit_does_not_grow_with_the_host(spark):
+    """A line of 400 among 4,000 documents goes; under one id, a text loses it only in the host where it is common."""
+    rows = [(i, ("Menu\n" if i < 400 else "") + f"own {i} " + "text " * 30, "h") for i in range(4000)]
+    rows += [(1, rows[1][1], "other"), (2, "Menu " + "text " * 30, "other")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = Counter((r.doc_id, r.removed_words) for r in linerules.judge(table).collect())
+    assert got[1, 1] == 1 and got[1, 0] == 1 and sum(n for (_, gone), n in got.items() if gone == 1) == 400
+
+
 # -- rule ensemble -----------------------------------------------------------------------------------------------------
 
 
@@ -384,6 +392,42 @@ def test_disguised_ends_of_words_match():
     assert m.density("k1ll and kill") == (pytest.approx(200 / 3), 2)
 
 
+def test_a_plain_matcher_finds_the_same():
+    """Every entry at every word, outside every exception, in each reading."""
+    rng = random.Random(12)
+    entries = {"kil": 1.5, "ass": 2.0, "lo": 1.0, "idio": 3.0, "aa": 0.5}
+    exceptions = ["kil it", "pass on it", "idiot box", "lo"]
+    lexicon = toxicity.Lexicon(entries, exceptions[:3], 1.0, 0.0)
+    m = toxicity.Matcher(lexicon)
+
+    def hits(folded):
+        found = [(i, len(e), w) for i in range(len(folded)) for e, w in entries.items() if folded.startswith(" " + e, i)]
+        spans = [(i, i + len(toxicity.fold(p))) for p in lexicon.exceptions for i in range(len(folded)) if folded.startswith(toxicity.fold(p), i)]
+        return [(folded.count(" ", 0, i), w) for i, n, w in found if not any(a <= i and i + 1 + n <= b for a, b in spans)]
+
+    words = ["kill", "kil", "it", "ki1", "@ss", "a$$", "pass", "on", "idiot", "1diot", "box", "loud", "l0", "aa", "aaa!", "Lo,", "x|y", "no"]
+    for _ in range(400):
+        text = " ".join(rng.choice(words) for _ in range(rng.randrange(1, 25)))
+        weights, taken = [], set()
+        for way in toxicity.readings(text):
+            new = [(at, w) for at, w in hits(way) if at not in taken]
+            weights += [w for _, w in new]
+            taken |= {at for at, _ in new}
+        n = max(1, toxicity.fold(text).count(" ") - 1)
+        assert m.density(text) == (pytest.approx(100 * sum(weights) / n), len(weights)), text
+
+
+def test_folding_takes_time_in_proportion():
+    import time
+
+    m = toxicity.Matcher(toxicity.Lexicon({"trash": 2.0}, ["trash can"], 1.0, 0.0))
+    n = 1_000_000
+    for text in ("a" * n, "1" * n + " a", "a1" * (n // 2), "a" * n + "1", "a!" * (n // 2), ("a" + "1" * 50) * (n // 51), "trash can " * 100_000):
+        start = time.process_time()
+        m.density(text)
+        assert time.process_time() - start < 5, text[:10]
+
+
 def test_lexicon_has_no_limit_on_entries(spark):
     words = ["".join(w) for w in itertools.product("bcdfghjklm", "aeiou", "npqrstvwxz", "aeiou", "z", "yo")]
     rows = [(i, " ".join(words) if i < 8 else "plain harmless speech about nothing", int(i < 8)) for i in range(400)]
