@@ -15,7 +15,7 @@ from tools.check import rows_of
 FOLDER = "/root/testdata/sf0.001"
 SAMPLE = """a01 a02 a03 a05 a07 a08 a12 a14 a16 a17 a19 a22 a25 a27 a28 a30 a32 a33 a35 a38 a39 f05 f10 f15 f17 f20 j05 j07
 j10 j11 j14 j16 m03 m05 m06 m08 m10 m15 m16_backtest_hourly m17 m21 m22 m28 m29 m35 o06 p02 p10 s05 s08 s09 s13 u03 w04 w07 w09
-w12 w15 w16 w18 w19 w21 w22 w25 w27 w28""".split()
+w12 w15 w16 w18 w19 w20 w21 w22 w24 w25 w27 w28 m23 m24 m25 clean_h clean_d clean_st quality baseline""".split()
 NAMES = [
     n for n in entry.oracle_sql() if os.environ.get("METERLOOM_ALL") or any(n.startswith(s) for s in SAMPLE)
 ]
