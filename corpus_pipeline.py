@@ -46,9 +46,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, done = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
         path = store.new_path(spark, name)
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if done is not None:
+            store.release(done)  # no later stage reads what came before this one
+        done = docs
     return STAGES[-1][1](spark, docs, sf_dir)
