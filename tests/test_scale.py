@@ -320,3 +320,19 @@ def test_late_documents_are_loaded_once(spark, tmp_path):
     good = sorted((r.device, r.value) for r in spark.read.parquet(paths[0]).collect())
     assert good == [("a", 1.0), ("b", 1.0), ("b", 2.0), ("z", 1.0)]
     assert spark.read.parquet(paths[1]).count() == 1
+
+
+def test_month_degrees_are_not_sent_through_the_driver(spark):
+    import re
+
+    from meterloom.functions.recovery import cut_lineage
+
+    units = spark.range(40).select(F.col("id").alias("unit"))
+    months = spark.sql("SELECT explode(sequence(DATE'2020-01-01', DATE'2023-08-01', INTERVAL 1 MONTH)) AS month")
+    rows = units.crossJoin(months).withColumns({"value": F.month("month") + F.col("unit") / 10, "n_days": F.lit(30)})
+    cold = F.greatest(F.lit(0.0), 12.0 - F.month("month"))
+    degrees = units.crossJoin(months).select("unit", "month", cold.alias("hdd"), F.lit(0.0).alias("cdd"))
+    out = models.monthly_baseline(cut_lineage(rows), cut_lineage(degrees), ["unit"])
+    # The files of both tables are small whatever their rows, so that a join of the two in the result would be a broadcast.
+    assert not re.search(r"BroadcastHashJoin \[unit#\d+L, month#\d+\]", out._jdf.queryExecution().sparkPlan().toString())
+    assert out.filter("status = 'ok'").count() == 40 * 12
