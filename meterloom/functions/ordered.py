@@ -144,6 +144,14 @@ def ordered_scan(
     return out.drop(_CHUNK, *helper)
 
 
+def spread_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Deal rows out by key before a step makes many rows of each.
+
+    A number of partitions that is named is not merged by adaptive execution, which would go by the rows before the step.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def first_difference(df: DataFrame, keys, order, value: str, out: str, chunk: Column | None = None) -> DataFrame:
     """``value`` minus the previous row's value; the first row of a key is null."""
     prev = ordered_scan(df, keys, order, [Step("__prev", "prev", F.col(value))], chunk)

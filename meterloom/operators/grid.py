@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from meterloom.functions.ordered import Step, ordered_scan
+from meterloom.functions.ordered import Step, ordered_scan, spread_keys
 
 STEPS = {1800: "interval 30 minutes", 3600: "interval 1 hour", 86400: "interval 1 day"}
 
@@ -33,10 +33,12 @@ def fill_grid(binned: DataFrame, keys: Sequence[str], time: str, step: str) -> D
     """Add the missing bins between each key's first and last one.
 
     ``binned`` has one row per (key, time).  Every row brings along the empty
-    bins up to its successor, so no grid has to be built and joined.
+    bins up to its successor, so no grid has to be built and joined.  Keys keep
+    all shuffle partitions: merged by the size of the rows before they grow,
+    they would leave later windows a few tasks with large parts of the grid.
     """
     width = F.expr(step)
-    near = ordered_scan(binned, keys, [time], [Step("__next", "next", F.col(time))])
+    near = ordered_scan(spread_keys(binned, keys), keys, [time], [Step("__next", "next", F.col(time))])
     bins = F.sequence(F.col(time), F.coalesce(F.col("__next") - width, F.col(time)), width)
     rest = [c for c in binned.columns if c not in keys and c != time]
     own = F.col("__at") == F.col(time)

@@ -336,3 +336,11 @@ def test_month_degrees_are_not_sent_through_the_driver(spark):
     # The files of both tables are small whatever their rows, so that a join of the two in the result would be a broadcast.
     assert not re.search(r"BroadcastHashJoin \[unit#\d+L, month#\d+\]", out._jdf.queryExecution().sparkPlan().toString())
     assert out.filter("status = 'ok'").count() == 40 * 12
+
+
+def test_grid_keeps_the_partitions_of_its_keys(spark):
+    ends = spark.createDataFrame([(k, d) for k in range(40) for d in ("2020-01-01", "2022-01-01")], "k int, d string")
+    full = grid.fill_grid(ends.select("k", F.to_date("d").alias("day")), ["k"], "day", "interval 1 day")
+    assert full.count() == 40 * 732
+    # Two rows a key would be merged into one partition before they become 732.
+    assert full.select(F.spark_partition_id()).distinct().count() > 1
