@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from meterloom.functions.ordered import Step, most_frequent, ordered_scan
+from meterloom.functions.ordered import Step, most_frequent, ordered_scan, spread_keys
 from meterloom.functions.recovery import cut_lineage
 from meterloom.operators.grid import spread_interval
 
@@ -301,11 +301,16 @@ def bill_days(df: DataFrame, keys: Sequence[str], keep_all: bool = False) -> Dat
     A day covered by several bills keeps the one that starts last, unless
     ``keep_all`` asks for all of them.
     """
-    days = spread_interval(df, "ini", "fin", "value")
     if keep_all:
-        return days
+        return spread_interval(df, "ini", "fin", "value")
+    # Bills travel, not their days: of bills of one period only the last can count, so that a key has no more of them than
+    # the calendar has periods, and a key's bills become days where they are.
+    last = F.when(F.max("bill_id").isNull(), F.first("value")).otherwise(F.max_by("value", "bill_id"))
+    bills = df.filter(F.col("ini") <= F.col("fin")).groupBy(*keys, "ini", "fin")
+    bills = bills.agg(last.alias("value"), F.max("bill_id").alias("bill_id"), F.count("*").alias("__n"))
+    days = spread_interval(spread_keys(bills, keys), "ini", "fin", "value")
     return days.groupBy(*keys, "day").agg(
-        F.max_by("value", F.struct("ini", "bill_id")).alias("value"), F.count("*").alias("n_bills")
+        F.max_by("value", F.struct("ini", "bill_id")).alias("value"), F.sum("__n").alias("n_bills")
     )
 
 

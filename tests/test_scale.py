@@ -344,3 +344,17 @@ def test_grid_keeps_the_partitions_of_its_keys(spark):
     assert full.count() == 40 * 732
     # Two rows a key would be merged into one partition before they become 732.
     assert full.select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_days_of_bills_are_not_shuffled(spark):
+    bills = spark.createDataFrame(
+        [(1, "2020-01-01", "2020-01-04", 4.0, 1), (1, "2020-01-01", "2020-01-04", 8.0, 2), (1, "2020-01-03", "2020-01-03", 7.0, None),
+         (2, "2020-01-01", "2020-01-02", 6.0, None), (2, "2020-01-05", "2020-01-04", 6.0, 3)],
+        "k int, ini string, fin string, value double, bill_id int",
+    )
+    bills = bills.withColumns({"ini": F.to_date("ini"), "fin": F.to_date("fin")})
+    days = clean.bill_days(bills, ["k"])
+    found = {(r.k, r.day.day): (r.value, r.n_bills) for r in days.collect()}
+    assert found == {(1, 1): (2.0, 2), (1, 2): (2.0, 2), (1, 3): (7.0, 3), (1, 4): (2.0, 2), (2, 1): (3.0, 1), (2, 2): (3.0, 1)}
+    plan = days._jdf.queryExecution().sparkPlan().toString(), days._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" in plan[0] and plan[1].index("Generate") < plan[1].index("Exchange")
