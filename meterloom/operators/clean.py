@@ -243,24 +243,19 @@ def remove_extreme_rates(
 ) -> DataFrame:
     """Drop rows whose consumption rate is below 0 or outside mean +- ``sd_limit`` population deviations until nothing changes.
 
-    A rate depends on the reading before it, so what a round has removed is kept
-    as a list of (key, time), and a round writes no more than its part of that
-    list.  Only series that lost a row in the first round are set aside for the
-    next ones, each of which reads those that the one before took some from.
+    A rate depends on the reading before it, so a round judges the rows that the one before left of the series it took some
+    from.  Rates are written once a round, for the limits, the rows beyond them and the next round; what has been removed is
+    kept as a list of (key, time).
     """
     removed, rows = None, df.select(*keys, time, value)
-    work = rows
     while True:
-        left = rows if removed is None else rows.join(removed, [*keys, time], "left_anti")
-        judged = consumption_rates(left, keys, time, value, chunk)
+        judged = cut_lineage(consumption_rates(rows, keys, time, value, chunk))
         limits = _limits(judged, keys, "rate", sd_limit, allow_negative=False).drop("__n")
         bad = cut_lineage(judged.join(limits, list(keys)).filter(_beyond("rate")).select(*keys, time))
         if bad.isEmpty():
             return df if removed is None else df.join(removed, [*keys, time], "left_anti")
         turn = bad.select(*keys).distinct()
-        if removed is None:
-            work = cut_lineage(work.join(turn, list(keys), "left_semi"))
-        rows = work.join(turn, list(keys), "left_semi")
+        rows = judged.select(*keys, time, value).join(turn, list(keys), "left_semi").join(bad, [*keys, time], "left_anti")
         removed = bad if removed is None else removed.unionByName(bad)
 
 
@@ -285,8 +280,13 @@ def clean_series(
     chunk: Column | None = None,
     arrival_chunk: Column | None = None,
 ) -> DataFrame:
-    """Dates, ends and extremes in one go; temperature is judged by value, others by rate."""
-    body = trim_ends(increasing_times(df, keys, arrival, time, arrival_chunk), keys, time, chunk=chunk)
+    """Dates, ends and extremes in one go; temperature is judged by value, others by rate.
+
+    The rows with increasing times and those without loose ends are written once, as each is read several times: pass only
+    the columns that are wanted.
+    """
+    rising = cut_lineage(increasing_times(df, keys, arrival, time, arrival_chunk))
+    body = cut_lineage(trim_ends(rising, keys, time, chunk=chunk))
     if commodity == "temperature":
         return remove_extremes(body, keys, value, sd_limit)
     return remove_extreme_rates(body, keys, time, value, sd_limit, chunk)

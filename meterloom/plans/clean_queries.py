@@ -366,7 +366,7 @@ _CLEAN = (
 @query("m36_clean_series", _CLEAN + f" SELECT device, strftime(ts, {TS}) AS ts, r4(value) AS value FROM r{ROUNDS}")
 def m36(spark, folder):
     out = clean.clean_series(
-        views.readings(spark, folder),
+        views.readings(spark, folder).select("device", "event_id", "ts", "value"),
         ["device"],
         ["event_id"],
         "ts",

@@ -358,3 +358,20 @@ def test_days_of_bills_are_not_shuffled(spark):
     assert found == {(1, 1): (2.0, 2), (1, 2): (2.0, 2), (1, 3): (7.0, 3), (1, 4): (2.0, 2), (2, 1): (3.0, 1), (2, 2): (3.0, 1)}
     plan = days._jdf.queryExecution().sparkPlan().toString(), days._jdf.queryExecution().executedPlan().toString()
     assert "Generate" in plan[0] and plan[1].index("Generate") < plan[1].index("Exchange")
+
+
+def test_rounds_of_extreme_rates_read_the_input_once(spark, monkeypatch, tmp_path):
+    rows = [(k, f"2020-01-{d:02d} {h:02d}:00:00", 900.0 if (d, h) in ((5, 3), (9, 7)) else 1.0 + h % 2) for k in (1, 2) for d in range(1, 15) for h in range(24)]
+    rows += [(3, f"2020-01-01 {h:02d}:00:00", 1.0) for h in range(24)]
+    path = str(tmp_path / "readings")
+    spark.createDataFrame(rows, "k int, ts string, v double").withColumn("ts", F.to_timestamp("ts")).write.parquet(path)
+    read, cut = [], clean.cut_lineage
+
+    def watched(df):
+        read.append(any(path in f for f in df.inputFiles()))
+        return cut(df)
+
+    monkeypatch.setattr(clean, "cut_lineage", watched)
+    out = clean.remove_extreme_rates(spark.read.parquet(path), ["k"], "ts", "v", 3.0, F.trunc("ts", "month"))
+    assert out.filter("v > 800").count() == 0 and out.count() == len(rows) - 4
+    assert read[0] and not any(read[1:]) and len(read) >= 4
