@@ -226,7 +226,8 @@ def j17(spark, folder):
     rows = _rolling(spark, folder)
     keys = [*PEERS, "month"]
     groups = compare.peer_percentiles(rows, keys, "per_area", TEST_MIN_GROUP, [50])
-    out = groups.join(rows.select(*keys, "unit", "annual"), keys, "left")
+    # Shuffled whatever the size of the stored file, which is far smaller than its rows: these would not fit a broadcast.
+    out = groups.join(rows.select(*keys, "unit", "annual").hint("merge"), keys, "left")
     return out.select(*PEERS, text("month"), r4("p50"), "unit", r4("annual"))
 
 

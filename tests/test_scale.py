@@ -375,3 +375,19 @@ def test_rounds_of_extreme_rates_read_the_input_once(spark, monkeypatch, tmp_pat
     out = clean.remove_extreme_rates(spark.read.parquet(path), ["k"], "ts", "v", 3.0, F.trunc("ts", "month"))
     assert out.filter("v > 800").count() == 0 and out.count() == len(rows) - 4
     assert read[0] and not any(read[1:]) and len(read) >= 4
+
+
+def test_rows_of_peer_groups_are_not_broadcast(spark, monkeypatch):
+    from meterloom.functions.recovery import cut_lineage
+    from meterloom.plans import compare_queries
+
+    month = F.to_date(F.lit("2024-01-01")).alias("month")
+    rows = spark.range(60).select(
+        F.lit("type").alias("criteria"), (F.col("id") % 3).cast("string").alias("criteria_values"), F.lit("gas").alias("energy_type"),
+        month, F.col("id").alias("unit"), F.col("id").cast("double").alias("per_area"), F.col("id").cast("double").alias("annual"),
+    )
+    stored = cut_lineage(rows)
+    monkeypatch.setattr(compare_queries, "_rolling", lambda spark, folder: stored)
+    out = compare_queries.j17(spark, "")
+    assert "BroadcastHashJoin [criteria" not in out._jdf.queryExecution().sparkPlan().toString()
+    assert out.count() == 60
