@@ -73,11 +73,15 @@ def rolling_annual(df: DataFrame, keys: Sequence[str], value: str, rows: int = 1
 def group_cost(
     own: DataFrame, peers: DataFrame, on: Sequence[str], value: str, average: str, dispersion: str, fixed: float = 50.0
 ) -> DataFrame:
-    """Cost of belonging to a peer group: distance to its mean weighted by its dispersion."""
+    """Cost of belonging to a peer group: distance to its mean weighted by its dispersion.
+
+    ``own`` is shuffled whatever the size of its file: a stored table has far more rows than its file tells.
+    """
     part = fixed / 100
     diff = F.abs((F.col(value) - F.col(average)) / F.nullif(F.col(average), F.lit(0.0))) * 100
     return (
-        own.join(peers, list(on))
+        own.hint("merge")
+        .join(peers, list(on))
         .withColumn("diff", diff)
         .withColumn("cost", F.col(dispersion) * part + F.col(dispersion) * (1 - part) * F.col("diff"))
     )

@@ -377,6 +377,18 @@ def test_rounds_of_extreme_rates_read_the_input_once(spark, monkeypatch, tmp_pat
     assert read[0] and not any(read[1:]) and len(read) >= 4
 
 
+def test_costs_of_a_stored_table_are_not_broadcast(spark):
+    from meterloom.functions.recovery import cut_lineage
+    from meterloom.operators import compare
+
+    rows = spark.range(2000).select((F.col("id") % 3).alias("g"), (F.col("id") % 7).cast("double").alias("v"))
+    own = cut_lineage(rows)
+    peers = own.groupBy("g").agg(F.avg("v").alias("mean"), F.stddev_samp("v").alias("disp"))
+    cost = compare.group_cost(own, peers, ["g"], "v", "mean", "disp")
+    assert "BroadcastHashJoin" not in cost._jdf.queryExecution().sparkPlan().toString()
+    assert cost.count() == 2000
+
+
 def test_rows_of_peer_groups_are_not_broadcast(spark, monkeypatch):
     from meterloom.functions.recovery import cut_lineage
     from meterloom.plans import compare_queries
