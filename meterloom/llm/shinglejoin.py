@@ -1,14 +1,13 @@
 """Near-duplicate join by the Jaccard similarity of word shingles, exact up to 64-bit hashes.
 
-Documents with equal shingle sets are one node.  Candidates come from prefix filters under several global orders: if two
-sets are similar enough, then under any order of all tokens their prefixes share one.  Each order is a hash order in which
-tokens with more than ``COMMON`` holders come last, so no prefix bucket is large; pairs have to pass every order before
-their texts are compared.
+Documents with equal shingle sets are one node.  The range of hashes is cut into parts, more than the number of tokens in
+which two similar sets of about that size can differ, so that they agree in all tokens of some part: its digest is a
+signature, and nodes with a common signature are candidates.  Unlike a prefix of tokens, a part is shared only if it is
+shared whole, hence frequent tokens need no care.  A bitmap of the parities of the tokens in each slot differs in at most as
+many bits as the sets have different tokens, so pairs whose bitmaps are too far apart go before any text is read.
 
-Large groups of near copies never give all their pairs.  Nodes that agree in two least hashes are first compared with one
-leader; those similar to it form its star.  The filters then work on stars: two stars whose centres are far apart can't
-have a similar pair, as 1 - Jaccard is a metric; near ones are compared member by centre, then member by member,
-as far as the metric allows and only while the two are not connected yet.
+Large groups of near copies never give all their pairs: each node is first compared with its nearest leader, then only nodes
+of different components are paired, of two components first the nearest pair.
 
 Defined results: null and empty texts have the empty set, are linked with nothing and are components of their own; texts
 with fewer words than a shingle are one shingle; rows that repeat an id are kept apart by content, and a component's id
@@ -19,12 +18,14 @@ read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from meterloom.llm import store
 from meterloom.llm.components import components
@@ -32,15 +33,41 @@ from meterloom.llm.words import blocks, coefficients, grams, mix, signed, words_
 
 SHINGLE = 5
 PERCENT = 80
-ORDERS = 3
-# Pairs of least hashes that choose leaders.
-BANDS = 4
-# Stars with a token in their prefix from which on the token comes last.
+# Nodes with a common signature from which on they are compared with two leaders.
 COMMON = 32
+# 64-bit words of a bitmap; sets with more tokens than half its bits have a wider one as well.
+BITMAP = 16
+# Bytes of text worked on at a time.
+BLOCK = 1 << 20
 
 _SALTS = coefficients(64, 9)
 
 
+class Parts(NamedTuple):
+    """Cuts of the range of hashes for each class of sizes.
+
+    A class ends at the greatest size that can be similar to its least one, so partners are in the same or the next class.
+    """
+
+    last: np.ndarray  # greatest size of the class
+    parts: np.ndarray  # 0: similar sets are equal
+    spare: np.ndarray  # sets with more empty parts than this have signatures of these as well
+
+
+def parts_of(percent: int) -> Parts:
+    """At least ``spare + 1`` parts have no token in which two similar sets differ."""
+    last = [0]
+    while percent < 100 and last[-1] < 1 << 40:
+        last.append((last[-1] + 1) * 100 // percent)
+    last = np.array([*last, 1 << 62])
+    least = np.append(1, last[:-1] + 1)
+    differ = np.minimum(last, 1 << 41) * 2 * (100 - percent) // (100 + percent)
+    # Parts without a token, as expected for the least size, and three times their deviation.
+    empty = (differ + 2) * np.exp(-least / (differ + 2))
+    spare = np.ceil(empty + 3 * np.sqrt(empty)).astype(np.int64)
+    return Parts(last, np.where(differ > 0, differ + 1 + spare, 0), spare)
+
+
 def token_sets(texts: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct shingle hashes, sorted within each text; where each text's begin; the text of each."""
     w = words_of(texts, lower=True)
@@ -71,41 +98,84 @@ def _nodes(token: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def describe(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str = "text", bands: int = BANDS) -> DataFrame:
-    """``doc_id``, ``text_key``, ``n``, ``node`` (digest of the set, null if empty) and ``bands`` of every row."""
+WORDS = [f"bits{i}" for i in range(BITMAP)]
+
+
+def _bitmaps(token: np.ndarray, first: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """Bitmap of each set, a row of words; and its wider one, null for sets of at most half the bits."""
+    n, bits = np.diff(first), 64 * BITMAP
+    wide = np.maximum(1 << np.ceil(np.log2(np.maximum(2 * n, 1))).astype(np.int64), bits)
+    start = np.append(0, np.cumsum(wide))
+    slot = start[owner] + (token & (wide[owner] - 1).astype(np.uint64)).astype(np.int64)
+    words = np.zeros(start[-1] // 64, np.uint64)
+    np.bitwise_xor.at(words, slot >> 6, np.uint64(1) << (slot & 63).astype(np.uint64))
+    folded = words.reshape(-1, BITMAP)
+    if len(folded) > len(n):
+        folded = np.bitwise_xor.reduceat(folded, start[:-1] // bits, axis=0)
+    more = np.repeat(wide > bits, wide // 64)
+    ends = np.append(0, np.cumsum(np.where(wide > bits, wide // 8, 0))).astype(np.int32)
+    valid = pa.py_buffer(np.packbits(wide > bits, bitorder="little"))
+    return folded, pa.Array.from_buffers(pa.binary(), len(n), [valid, pa.py_buffer(ends), pa.py_buffer(words[more])])
+
+
+def describe(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id``, ``text_key``, ``n``, ``node`` (digest of the set, null if empty), ``wide`` and the words of the bitmap."""
     key = F.xxhash64(F.col(text_col)).alias("text_key")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), key)
-    schema = rows.select("doc_id", "text_key").schema.add("n", "long", False).add("node", "long").add("bands", T.ArrayType(T.LongType()))
+    schema = rows.select("doc_id", "text_key").schema.add("n", "long", False).add("node", "long").add("wide", "binary")
+    for name in WORDS:
+        schema = schema.add(name, "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in blocks(batch):
-                token, first, _ = token_sets(part.column(1), shingle)
+            for part in blocks(batch, size=BLOCK):
+                token, first, owner = token_sets(part.column(1), shingle)
                 node, n = _nodes(token, first), np.diff(first)
-                full = np.flatnonzero(n)
-                keys = np.zeros((len(n), bands), np.uint64)
-                if len(full):
-                    least = [np.minimum.reduceat(mix(token ^ _SALTS[i]), first[:-1][full]) for i in range(2 * bands)]
-                    for i in range(bands):
-                        keys[full, i] = mix(least[2 * i] * _SALTS[40] + least[2 * i + 1] * _SALTS[41] + np.uint64(i))
-                lists = pa.FixedSizeListArray.from_arrays(pa.array(signed(keys.ravel())), bands).cast(pa.list_(pa.int64()))
-                columns = [part.column(0), part.column(2), pa.array(n.astype(np.int64)), pa.array(signed(node), mask=n == 0), lists]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_key", "n", "node", "bands"])
+                bits, wide = _bitmaps(token, first, owner)
+                columns = [part.column(0), part.column(2), pa.array(n.astype(np.int64)), pa.array(signed(node), mask=n == 0), wide]
+                columns += [pa.array(signed(np.ascontiguousarray(bits[:, i]))) for i in range(BITMAP)]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_key", "n", "node", "wide", *WORDS])
 
     return rows.mapInArrow(run, schema)
 
 
+def signatures(token: np.ndarray, first: np.ndarray, owner: np.ndarray, cuts: Parts) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of all sets for their own class and the next one, and the set of each."""
+    found, of = [], []
+    own, value = np.searchsorted(cuts.last, np.diff(first)), mix(token ^ _SALTS[62])
+    for kind in (own, np.minimum(own + 1, len(cuts.last) - 1)):
+        at = np.flatnonzero(cuts.parts[kind][owner] > 0)
+        if not len(at):
+            continue
+        mine, count = owner[at], cuts.parts[kind].astype(np.uint64)
+        # Tokens are sorted within a set, so those of a part are neighbours.
+        part = ((token[at] >> np.uint64(40)) * count[mine]) >> np.uint64(24)
+        new = np.ones(len(at), bool)
+        new[1:] = (part[1:] != part[:-1]) | (mine[1:] != mine[:-1])
+        new = np.flatnonzero(new)
+        salt = lambda k, p: mix((k.astype(np.uint64) << np.uint64(48)) ^ p ^ _SALTS[61])
+        found.append(mix(np.add.reduceat(value[at], new) + salt(kind[mine[new]], part[new])))
+        of.append(mine[new])
+        empty = cuts.parts[kind] - np.bincount(mine[new], minlength=len(kind))
+        for i in np.flatnonzero((empty > cuts.spare[kind]) & (np.diff(first) > 0) & (count > 0)):
+            none = np.setdiff1d(np.arange(count[i], dtype=np.uint64), part[new[mine[new] == i]])
+            found.append(mix(salt(np.full(len(none), kind[i]), none)))
+            of.append(np.full(len(none), i))
+    if not found:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return np.concatenate(found), np.concatenate(of)
+
+
 class Join:
     """The join of one table with itself; steps are stored tables."""
 
-    def __init__(self, docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, orders: int = ORDERS, id_col: str = "doc_id", text_col: str = "text"):
-        self.shingle, self.percent, self.orders = shingle, percent, orders
+    def __init__(self, docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text"):
+        self.shingle, self.percent = shingle, percent
         self.rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
         self.described = store.stored(describe(self.rows, shingle), "sets")
         nodes = self.described.filter("node is not null").groupBy("node")
-        self.nodes = store.stored(
-            nodes.agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.first("bands").alias("bands")), "nodes"
-        )
+        facts = [F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), *[F.first(c).alias(c) for c in ("wide", *WORDS)]]
+        self.nodes = store.stored(nodes.agg(*facts), "nodes")
 
     # -- texts ---------------------------------------------------------------------------------------------------
 
@@ -158,174 +228,119 @@ class Join:
     def _linked(self) -> Column:
         return F.col("shared") * 100 >= F.col("joint") * self.percent
 
-    # -- stars ---------------------------------------------------------------------------------------------------
-
-    def _stars(self) -> tuple[DataFrame, DataFrame]:
-        """``node``, ``star``, ``apart`` (distance from the centre), ``n``; and the links found."""
-        keys = self.nodes.select("node", "n", F.explode("bands").alias("key"))
-        leaders = keys.groupBy("key").agg(F.min("node").alias("b"), F.count("*").alias("of")).filter("of > 1")
-        edges = keys.join(leaders, "key").filter("node != b").select(F.col("node").alias("a"), "b").distinct()
-        compared = self.compare(store.stored(edges, "leaders"))
-        links = store.stored(compared.filter(self._linked()), "links")
-        apart = 1 - F.col("shared") / F.col("joint")
-        star = links.groupBy("a").agg(F.min(F.struct("b", apart.alias("apart"))).alias("s"))
-        star = star.select(F.col("a").alias("node"), F.col("s.b").alias("star"), F.col("s.apart").alias("apart"))
-        out = self.nodes.select("node", "n").join(star, "node", "left").select(
-            "node", F.coalesce("star", "node").alias("star"), F.coalesce("apart", F.lit(0.0)).alias("apart"), "n"
-        )
-        return store.stored(out, "stars"), links.select("a", "b")
-
-    # -- prefix filters ------------------------------------------------------------------------------------------
+    # -- candidates ----------------------------------------------------------------------------------------------
 
-    def _prefix_length(self, n: Column) -> Column:
-        return n - F.ceil(n * self.percent / 100) + 1
-
-    def _tokens(self, nodes: DataFrame, order: int, whole: bool) -> DataFrame:
-        """Tokens of stored ``nodes`` (``node``, ``star``, ``label``) by their rank in a hash order.
-
-        Of each set a prefix and half as many again, or all if ``whole``.
-        """
-        held = self.nodes.join(nodes, "node").select(
-            F.col("doc_id").alias("id"), F.col("node").alias("want"), F.col("star"), F.col("label")
-        )
-        held = store.small(store.stored(held, "held"), 48)
-        joined = self.rows.join(held, F.col("doc_id").eqNullSafe(F.col("id"))).select("want", "star", "label", "text")
-        shingle, percent, salt = self.shingle, self.percent, _SALTS[20 + order]
+    def _spots(self) -> DataFrame:
+        """``signature``, ``node``, the least and greatest node and the number of nodes with it, if there are several."""
+        held = self.nodes.select(F.col("doc_id").alias("id"), F.col("node").alias("want"))
+        held = store.small(store.stored(held, "held"), 32)
+        joined = self.rows.join(held, F.col("doc_id").eqNullSafe(F.col("id"))).select("want", "text")
+        shingle, cuts = self.shingle, parts_of(self.percent)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for part in blocks(batch):
-                    token, first, owner = token_sets(part.column(3), shingle)
-                    right = signed(_nodes(token, first)) == part.column(0).to_numpy()
-                    n = np.diff(first)
-                    prefix = n - (n * percent + 99) // 100 + 1
-                    most = n if whole else prefix + prefix // 2 + 4
-                    value = mix(token ^ salt)
-                    value = value[np.lexsort((value, owner))]
-                    rank = np.arange(len(owner)) - first[owner]
-                    keep = np.flatnonzero((rank < most[owner]) & right[owner])
-                    row = owner[keep]
-                    columns = [
-                        pa.array(signed(value[keep])),
-                        *(pa.array(part.column(i).to_numpy()[row]) for i in range(3)),
-                        pa.array(rank[keep].astype(np.int32)),
-                        pa.array(n[row].astype(np.int32)),
-                    ]
-                    yield pa.RecordBatch.from_arrays(columns, names=["token", "node", "star", "label", "rank", "n"])
-
-        return joined.mapInArrow(run, "token long, node long, star long, label long, rank int, n int")
-
-    def _order_pairs(self, nodes: DataFrame, order: int) -> DataFrame:
-        """Pairs of stars (``a`` < ``b``) with a common token in the prefixes under one order."""
-        tokens = store.stored(self._tokens(nodes, order, whole=False), "tokens")
-        holders = tokens.select("token", "star").distinct().groupBy("token").agg(F.count("*").alias("stars"))
-        holders = store.stored(holders.filter("stars > 1"), "holders")
-        common = holders.filter(F.col("stars") > COMMON).select("token")
-        shared = store.stored(tokens.join(holders, "token"), "shared")
-        # The prefix ends where enough tokens that are not common have come.
-        late = shared.filter(F.col("stars") > COMMON).groupBy("node").agg(F.sort_array(F.collect_set("rank")).alias("late"))
-        prefix = self._prefix_length(F.col("n")).cast("int")
-        cut = F.aggregate("late", F.col("p") - 1, lambda c, r: F.when(r <= c, c + 1).otherwise(c))
-        sizes = nodes.select("node").join(self.nodes.select("node", "n"), "node")
-        ends = late.join(sizes, "node").withColumn("p", prefix).select(
-            "node", cut.alias("cut"), F.least(F.col("p") + F.floor(F.col("p") / 2).cast("int") + 4, "n").alias("had")
-        )
-        ends = store.stored(ends.withColumn("short", F.col("cut") >= F.col("had")), "ends")
-        # Sets that run out of tokens are taken whole; the common ones follow behind the others there too.
-        short = store.stored(nodes.join(ends.filter("short").select("node"), "node"), "short")
-        cuts = ends.select("node", "cut", "short")
-        plain = shared.filter(F.col("stars") <= COMMON).join(cuts, "node", "left")
-        plain = plain.filter(~F.coalesce("short", F.lit(False)) & (F.col("rank") <= F.coalesce("cut", prefix - 1)))
-        rows = plain.select("token", "star", "label", "n")
-        if not short.isEmpty():
-            all_tokens = self._tokens(short, order, whole=True)
-            marked = all_tokens.join(common.withColumn("late", F.lit(1)), "token", "left")
-            place = F.row_number().over(Window.partitionBy("node").orderBy(F.coalesce("late", F.lit(0)), "rank"))
-            taken = marked.withColumn("place", place).filter(F.col("place") <= prefix).select("token", "star", "label", "n")
-            taken = store.stored(taken, "whole")
-            # Others have these tokens too, maybe alone among the prefixes above.
-            sought = store.small(store.stored(taken.select("token").distinct(), "sought"), 32)
-            rare = tokens.join(holders, "token", "left_anti").join(sought, "token").join(cuts, "node", "left")
-            rare = rare.filter(~F.coalesce("short", F.lit(False)) & (F.col("rank") <= F.coalesce("cut", prefix - 1)))
-            rows = rows.unionByName(taken).unionByName(rare.select("token", "star", "label", "n"))
-        held = rows.groupBy("token", "star").agg(
-            F.min("label").alias("label"), F.min("n").alias("low"), F.max("n").alias("high")
-        )
-        held = store.stored(held, "buckets")
-        a, b = held.alias("a"), held.alias("b")
-        near = lambda x, y: F.col(f"{x}.low") * self.percent <= F.col(f"{y}.high") * 100
-        pairs = a.join(b, F.col("a.token") == F.col("b.token")).filter(
-            (F.col("a.star") < F.col("b.star")) & (F.col("a.label") != F.col("b.label")) & near("a", "b") & near("b", "a")
+                for part in blocks(batch, size=BLOCK):
+                    token, first, owner = token_sets(part.column(1), shingle)
+                    want = part.column(0).to_numpy()
+                    right = signed(_nodes(token, first)) == want
+                    found, of = signatures(token, first, owner, cuts)
+                    found, of = found[right[of]], of[right[of]]
+                    yield pa.RecordBatch.from_arrays([pa.array(signed(found)), pa.array(want[of])], names=["signature", "node"])
+
+        same = Window.partitionBy("signature")
+        out = joined.mapInArrow(run, "signature long, node long").select(
+            "signature", "node", F.min("node").over(same).alias("low"), F.max("node").over(same).alias("high"), F.count("*").over(same).alias("of")
         )
-        return store.stored(pairs.select(F.col("a.star").alias("a"), F.col("b.star").alias("b")).distinct(), "pairs")
+        return store.stored(out.filter("low < high"), "spots")
+
+    def _facts(self, prefix: str) -> DataFrame:
+        return self.nodes.select(F.col("node").alias(prefix), *[F.col(c).alias(f"{prefix}_{c}") for c in ("n", *WORDS)])
+
+    def _apart(self) -> Column:
+        """Bits in which the bitmaps differ: at most the tokens that only one of the sets has."""
+        return reduce(add, [F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in WORDS])
+
+    def _maybe(self) -> Column:
+        """Sizes and bitmaps allow that the sets are similar."""
+        a, b = F.col("a_n"), F.col("b_n")
+        sizes = (a * 100 >= b * self.percent) & (b * 100 >= a * self.percent)
+        return sizes & (self._apart() * (100 + self.percent) <= (a + b) * (100 - self.percent))
+
+    def _leaders(self, spots: DataFrame) -> DataFrame:
+        """``a`` and ``b``: each node and its nearest leaders among the least nodes, and the greatest of crowded signatures."""
+        least = spots.select(F.col("node").alias("a"), F.col("low").alias("b"), F.lit(0).alias("end"))
+        greatest = spots.filter(F.col("of") > COMMON).select(F.col("node").alias("a"), F.col("high").alias("b"), F.lit(1).alias("end"))
+        edges = least.unionByName(greatest).filter("a != b").distinct()
+        near = edges.join(self._facts("a"), "a").join(self._facts("b"), "b").filter(self._maybe())
+        near = near.groupBy("a", "end").agg(F.min(F.struct(self._apart().alias("apart"), "b")).alias("to"))
+        pair = [F.least("a", "to.b").alias("a"), F.greatest("a", "to.b").alias("b")]
+        return store.stored(near.select(*pair).distinct(), "leaders")
+
+    def _pairs(self, spots: DataFrame, links: DataFrame) -> DataFrame:
+        """Candidates (``a`` < ``b``, ``apart``) of which the links connect none."""
+        labels = store.stored(components(links), "labels").select("node", F.col("component").alias("label"))
+        held = spots.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        same = Window.partitionBy("signature")
+        held = held.select("signature", "node", "label", F.min("label").over(same).alias("main"), F.max("label").over(same).alias("other"))
+        held = store.stored(held.filter("main < other"), "buckets")
+        side = lambda x, rows: rows.select("signature", F.col("node").alias(x), F.col("label").alias(f"{x}_label"), F.col("main").alias(f"{x}_main"))
+        # One node of a pair is not of the main component of the signature.
+        a = side("a", held.filter("label != main")).join(self._facts("a"), "a")
+        b = side("b", held).join(self._facts("b"), "b")
+        once = (F.col("a_label") != F.col("b_label")) & ((F.col("b_label") == F.col("b_main")) | (F.col("a") < F.col("b")))
+        pairs = a.join(b.withColumnRenamed("signature", "also"), (F.col("signature") == F.col("also")) & once & self._maybe())
+        pair = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), self._apart().alias("apart")]
+        return self._narrow(store.stored(pairs.select(*pair).distinct(), "pairs"))
+
+    def _narrow(self, pairs: DataFrame) -> DataFrame:
+        """Those of the stored pairs that the wider bitmaps allow as well."""
+        wide = self.nodes.filter("wide is not null")
+        side = lambda x: wide.select(F.col("node").alias(x), F.col("n").alias(f"{x}_n"), F.col("wide").alias(f"{x}_wide"))
+        both, percent = pairs.join(side("a"), "a").join(side("b"), "b"), self.percent
 
-    def _candidates(self, stars: DataFrame, labels: DataFrame) -> DataFrame:
-        """Pairs of stars that pass the filters of all orders."""
-        of = labels.select(F.col("node").alias("m"), F.col("component").alias("label"))
-        nodes = stars.join(of, F.col("node") == F.col("m"), "left").select(
-            "node", "star", F.coalesce("label", "node").alias("label")
-        )
-        nodes, pairs = store.stored(nodes, "labelled"), None
-        for order in range(self.orders):
-            new = self._order_pairs(nodes, order)
-            pairs = new if pairs is None else store.stored(pairs.join(new, ["a", "b"], "left_semi"), "pairs")
-            if order + 1 == self.orders or pairs.isEmpty():
-                break
-            left = pairs.select(F.col("a").alias("star")).unionByName(pairs.select(F.col("b").alias("star"))).distinct()
-            nodes = store.stored(nodes.join(left, "star", "left_semi").select("node", "star", "label"), "left")
-        return pairs
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                n = batch.column(2).to_numpy() + batch.column(4).to_numpy()
+                far = np.zeros(len(n), np.int64)
+                for i, (x, y) in enumerate(zip(batch.column(3), batch.column(5), strict=True)):
+                    x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                    short = min(len(x), len(y))
+                    x, y = (np.bitwise_xor.reduce(v.reshape(-1, short)) for v in (x, y))
+                    far[i] = np.bitwise_count(x ^ y).sum()
+                out = pa.array(far * (100 + percent) > n * (100 - percent))
+                yield pa.RecordBatch.from_arrays([batch.column(i).filter(out) for i in range(2)], names=["a", "b"])
+
+        both = both.select("a", "b", "a_n", "a_wide", "b_n", "b_wide")
+        return store.stored(pairs.join(both.mapInArrow(run, "a long, b long"), ["a", "b"], "left_anti"), "pairs")
 
     # -- links ---------------------------------------------------------------------------------------------------
 
     def links(self) -> DataFrame:
         """Enough links (``a``, ``b``: nodes) to connect all components."""
-        stars, links = self._stars()
-        labels = store.stored(components(links), "labels")
-        pairs = self._candidates(stars, labels)
+        spots = self._spots()
+        found = self.compare(self._leaders(spots)).filter(self._linked()).select("a", "b")
+        links = store.stored(found, "links")
+        pairs = self._pairs(spots, links)
         if pairs.isEmpty():
             return links
-        limit = 1 - self.percent / 100 + 1e-9
-        centres = self.compare(pairs)
-        links = store.stored(links.unionByName(centres.filter(self._linked()).select("a", "b")), "links")
-        widest = stars.groupBy("star").agg(F.max("apart").alias("wide")).filter("wide > 0")
-        # Centres that aren't similar, but near enough for their members to be.
-        open_ = centres.filter(~self._linked()).select("a", "b", (1 - F.col("shared") / F.col("joint")).alias("d"))
-        wide = lambda c: widest.select(F.col("star").alias(c), F.col("wide").alias(f"wide_{c}"))
-        open_ = open_.join(wide("a"), "a", "left").join(wide("b"), "b", "left").fillna(0.0, ["wide_a", "wide_b"])
-        open_ = store.stored(open_.filter(F.col("d") <= limit + F.col("wide_a") + F.col("wide_b")), "open")
-        if open_.isEmpty():
+        # Of two components the nearest pair first.
+        pairs = self._unconnected(pairs, links)
+        best = pairs.groupBy(F.least("label_a", "label_b"), F.greatest("label_a", "label_b")).agg(F.min(F.struct("apart", "a", "b")).alias("of"))
+        best = store.stored(best.select("of.a", "of.b"), "best")
+        links = store.stored(links.unionByName(self.compare(best).filter(self._linked()).select("a", "b")), "links")
+        rest = self._unconnected(pairs.select("a", "b").join(best, ["a", "b"], "left_anti"), links)
+        if rest.isEmpty():
             return links
-        open_ = self._unconnected(open_, links)
-        # Members against the other centre.
-        side = lambda mine, other: (
-            open_.join(stars.filter("apart > 0").withColumnRenamed("star", mine), mine)
-            .filter(F.col("d") - F.col("apart") <= limit + F.col(f"wide_{other}"))
-            .select(F.col("node").alias("a"), F.col(other).alias("b"))
-        )
-        cross = self.compare(store.stored(side("a", "b").unionByName(side("b", "a")).distinct(), "cross"))
-        links = store.stored(links.unionByName(cross.filter(self._linked()).select("a", "b")), "links")
-        open_ = self._unconnected(open_, links)
-        if open_.isEmpty():
-            return links
-        far = cross.select(F.col("a").alias("node"), F.col("b").alias("other"), (1 - F.col("shared") / F.col("joint")).alias("to"))
-        member = lambda mine, other: (
-            open_.select(F.col("a").alias("pa"), F.col("b").alias("pb"))
-            .join(stars.filter("apart > 0").withColumnRenamed("star", mine), mine)
-            .join(far.withColumnRenamed("other", other), ["node", other])
-            .select("pa", "pb", F.col("node").alias(f"n_{mine}"), F.col("apart").alias(f"x_{mine}"), F.col("to").alias(f"to_{mine}"))
-        )
-        rest = member("pa", "pb").join(member("pb", "pa"), ["pa", "pb"])
-        rest = rest.filter((F.col("to_pa") - F.col("x_pb") <= limit) & (F.col("to_pb") - F.col("x_pa") <= limit))
-        rest = self.compare(store.stored(rest.select(F.col("n_pa").alias("a"), F.col("n_pb").alias("b")).distinct(), "rest"))
+        rest = self.compare(rest.select("a", "b"))
         return store.stored(links.unionByName(rest.filter(self._linked()).select("a", "b")), "links")
 
     def _unconnected(self, pairs: DataFrame, links: DataFrame) -> DataFrame:
-        """Pairs of stars that the links do not connect yet."""
+        """Pairs that the links do not connect yet, with the components of both nodes."""
         labels = store.stored(components(links), "labels")
         label = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(f"label_{c}"))
         out = pairs.join(label("a"), "a", "left").join(label("b"), "b", "left")
-        out = out.filter(F.coalesce("label_a", "a") != F.coalesce("label_b", "b"))
-        return store.stored(out.drop("label_a", "label_b"), "open")
+        out = out.withColumns({f"label_{c}": F.coalesce(f"label_{c}", c) for c in ("a", "b")})
+        return store.stored(out.filter("label_a != label_b"), "open")
 
     def groups(self) -> DataFrame:
         """``doc_id``, ``text_key``, ``n_shingles``, ``component_id``, ``set_id`` and ``stays`` of every row.

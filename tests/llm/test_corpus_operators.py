@@ -519,6 +519,44 @@ def test_shingle_join_of_chains_and_borders(spark, seed, percent, monkeypatch):
     assert collected(got, "doc_id", "n_shingles", "component_id") == plain_groups(rows, 4, percent)
 
 
+def test_similar_sets_share_a_signature():
+    """Also sets with empty parts; and bitmaps never differ in more bits than the sets in tokens."""
+    rng, alone = random.Random(5), 0
+    for percent in (70, 85):
+        cuts = shinglejoin.parts_of(percent)
+        for size in [*range(3, 60), 513, 700, 1500]:
+            a = [rng.getrandbits(64) for _ in range(size)]
+            for part in (2, 3, 5):
+                b = a[: size - rng.randint(0, size // part)] + [rng.getrandbits(64) for _ in range(rng.randint(0, size // part))]
+                sets = [np.array(sorted(x), np.uint64) for x in (a, b)]
+                both = len(set(a) & set(b))
+                token, n = np.concatenate(sets), [len(x) for x in sets]
+                first, owner = np.array([0, n[0], sum(n)]), np.repeat([0, 1], n)
+                found, of = shinglejoin.signatures(token, first, owner, cuts)
+                if set(a) != set(b) and 100 * both >= percent * (sum(n) - both):
+                    assert set(found[of == 0]) & set(found[of == 1])
+                    alone += 1
+                bits, wide = shinglejoin._bitmaps(token, first, owner)
+                assert np.bitwise_count(bits[0] ^ bits[1]).sum() <= sum(n) - 2 * both
+                assert [x is not None for x in wide.to_pylist()] == [x > 512 for x in n]
+    assert alone > 50
+
+
+def test_texts_alike_below_the_limit_are_not_compared_pair_by_pair(spark, monkeypatch):
+    rng, rows, compared = random.Random(3), [], []
+    start = sentence(rng, 120).split()
+    for i in range(60):
+        w = list(start)
+        for at in rng.sample(range(len(w)), 6):
+            w[at] = f"e{i}x{at}"
+        rows.append((i, " ".join(w), "a"))
+    compare = shinglejoin.Join.compare
+    monkeypatch.setattr(shinglejoin.Join, "compare", lambda self, pairs: compared.append(pairs.count()) or compare(self, pairs))
+    got = shinglejoin.Join(spark.createDataFrame(rows, "doc_id long, text string, source string"), 4, 85).groups()
+    assert collected(got, "doc_id", "n_shingles", "component_id") == plain_groups(rows, 4, 85)
+    assert sum(compared) < 300  # of 1,770
+
+
 def test_one_document_of_a_group_stays(docs, rows):
     left = shinglejoin.keep_one(docs)
     assert left.columns == docs.columns
