@@ -172,7 +172,7 @@ class Join:
     def __init__(self, docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text"):
         self.shingle, self.percent = shingle, percent
         self.rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-        self.described = store.stored(describe(self.rows, shingle), "sets")
+        self.described = store.stored(describe(self.rows, shingle), "sets", store.BATCH_BYTES)
         nodes = self.described.filter("node is not null").groupBy("node")
         facts = [F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), *[F.first(c).alias(c) for c in ("wide", *WORDS)]]
         self.nodes = store.stored(nodes.agg(*facts), "nodes")
@@ -201,7 +201,7 @@ class Join:
     def compare(self, pairs: DataFrame) -> DataFrame:
         """``a``, ``b``, ``shared`` and ``joint`` (sizes of intersection and union) of stored pairs of nodes."""
         need = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        texts = store.stored(self._texts(need), "texts")
+        texts = store.stored(self._texts(need), "texts", store.BATCH_BYTES)
         left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
         right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
         both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
@@ -223,7 +223,7 @@ class Join:
                     columns = [part.column(0), part.column(1), pa.array(shared), pa.array(joint)]
                     yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "shared", "joint"])
 
-        return store.stored(both.mapInArrow(run, "a long, b long, shared long, joint long"), "compared")
+        return store.stored(both.mapInArrow(run, "a long, b long, shared long, joint long"), "compared", store.BATCH_BYTES)
 
     def _linked(self) -> Column:
         return F.col("shared") * 100 >= F.col("joint") * self.percent
@@ -251,7 +251,7 @@ class Join:
         out = joined.mapInArrow(run, "signature long, node long").select(
             "signature", "node", F.min("node").over(same).alias("low"), F.max("node").over(same).alias("high"), F.count("*").over(same).alias("of")
         )
-        return store.stored(out.filter("low < high"), "spots")
+        return store.stored(out.filter("low < high"), "spots", store.BATCH_BYTES)
 
     def _facts(self, prefix: str) -> DataFrame:
         return self.nodes.select(F.col("node").alias(prefix), *[F.col(c).alias(f"{prefix}_{c}") for c in ("n", *WORDS)])
@@ -311,7 +311,7 @@ class Join:
                 yield pa.RecordBatch.from_arrays([batch.column(i).filter(out) for i in range(2)], names=["a", "b"])
 
         both = both.select("a", "b", "a_n", "a_wide", "b_n", "b_wide")
-        return store.stored(pairs.join(both.mapInArrow(run, "a long, b long"), ["a", "b"], "left_anti"), "pairs")
+        return store.stored(pairs.join(both.mapInArrow(run, "a long, b long"), ["a", "b"], "left_anti"), "pairs", store.BATCH_BYTES)
 
     # -- links ---------------------------------------------------------------------------------------------------
 

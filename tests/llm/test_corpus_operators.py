@@ -23,6 +23,7 @@ from meterloom.llm import (  # noqa: E402
     piecebpe,
     ruleensemble,
     shinglejoin,
+    store,
     substrings,
     textstats,
     tokenfile,
@@ -557,6 +558,23 @@ def test_texts_alike_below_the_limit_are_not_compared_pair_by_pair(spark, monkey
     assert sum(compared) < 300  # of 1,770
 
 
+def test_near_copy_join_gets_texts_in_short_batches(spark, monkeypatch):
+    most, rng, blocks = 1 << 15, random.Random(5), shinglejoin.blocks
+    rows = [(i, sentence(rng, 100), "a") for i in range(300)]
+    rows += [(300 + i, f"{text} more", "a") for i, text, _ in rows[:150]]
+
+    def short(batch, *args, **named):
+        if batch.nbytes > 3 * most:
+            raise ValueError(f"a batch of {batch.nbytes} bytes")
+        return blocks(batch, *args, **named)
+
+    monkeypatch.setattr(store, "BATCH_BYTES", most, raising=False)
+    monkeypatch.setattr(shinglejoin, "blocks", short)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(1)
+    assert collected(shinglejoin.Join(docs, 4, 85).groups(), "doc_id", "n_shingles", "component_id") == plain_groups(rows, 4, 85)
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None
+
+
 def test_one_document_of_a_group_stays(docs, rows):
     left = shinglejoin.keep_one(docs)
     assert left.columns == docs.columns
